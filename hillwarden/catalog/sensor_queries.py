@@ -222,10 +222,10 @@ def _(i):
     return K.velocity(_nodes(i)).select(*NODE, "ts", "vel_xz", "vel_xy")
 
 
-@query("node_fit_displacement", "W7", f"""WITH {SERIES_SQL}, p AS (SELECT tsm_id, node_id, ts, CASE WHEN count(*) OVER w = 7 THEN {R('regr_slope(xz, k) OVER w * k + regr_intercept(xz, k) OVER w', 4)} END AS predicted FROM (SELECT *, row_number() OVER (PARTITION BY tsm_id, node_id ORDER BY ts)::DOUBLE AS k FROM smo) WINDOW w AS (PARTITION BY tsm_id, node_id ORDER BY ts ROWS 6 PRECEDING))
-SELECT *, {R('predicted - lag(predicted, 144) OVER (PARTITION BY tsm_id, node_id ORDER BY ts)', 4)} AS displacement FROM p""")
+@query("node_fit_displacement", "W7", f"""WITH {SERIES_SQL}, p AS (SELECT tsm_id, node_id, ts, CASE WHEN count(*) OVER w = 7 THEN {R('regr_slope(xz, k) OVER w * k + regr_intercept(xz, k) OVER w', 6)} END AS predicted FROM (SELECT *, row_number() OVER (PARTITION BY tsm_id, node_id ORDER BY ts)::DOUBLE AS k FROM smo) WINDOW w AS (PARTITION BY tsm_id, node_id ORDER BY ts ROWS 6 PRECEDING))
+SELECT *, {R('predicted - lag(predicted, 144) OVER (PARTITION BY tsm_id, node_id ORDER BY ts)', 6)} AS displacement FROM p""")
 def _(i):
-    return K.linreg_displacement(_nodes(i), NODE, "xz").select(*NODE, "ts", "predicted", "displacement")
+    return K.linreg_displacement(_nodes(i), NODE, "xz", digits=6).select(*NODE, "ts", "predicted", "displacement")
 
 
 DISP = f"dsp AS (SELECT tsm_id, node_id, ts, {R('abs(xz - lag(xz, 144) OVER w)', 4)} AS disp_xz, {R('abs(xy - lag(xy, 144) OVER w)', 4)} AS disp_xy FROM smo WINDOW w AS (PARTITION BY tsm_id, node_id ORDER BY ts))"
@@ -383,10 +383,10 @@ def _(i):
     return P.mode_pick(i.evals, ["site_id"], "alert_level")
 
 
-@query("site_trigger", "P8,A9", """SELECT s.site_id, max(alert_level) AS alert_level FROM (SELECT CAST(site_id % 5 AS INT) AS tsm_id, ts, ts_updated, alert_level FROM {intervals}) i JOIN {sensors} s ON i.tsm_id = s.tsm_id WHERE ts <= TIMESTAMP '1997-06-01 06:00:00' AND ts_updated >= TIMESTAMP '1997-06-01 06:00:00' GROUP BY s.site_id""")
+@query("site_trigger", "P8,A9", """SELECT s.site_id, max(alert_level) AS alert_level FROM (SELECT CAST(site_id % 5 AS INT) AS tsm_id, ts, ts_updated, alert_level FROM {intervals}) i JOIN {sensors} s ON i.tsm_id = s.tsm_id WHERE ts <= TIMESTAMP '1997-06-01 00:20:00' AND ts_updated >= TIMESTAMP '1997-06-01 00:20:00' GROUP BY s.site_id""")
 def _(i):
     d = i.intervals.withColumn("tsm_id", (F.col("site_id") % 5).cast("int")).drop("site_id")
-    return P.site_trigger(d, i.sensors, at("1997-06-01 06:00:00"))
+    return P.site_trigger(d, i.sensors, at("1997-06-01 00:20:00"))
 
 
 COLPOS = f"""cp0 AS (SELECT tsm_id, node_id, ts, xz, xy, coalesce(CASE WHEN 1 - xz*xz - xy*xy >= 0 THEN sqrt(1.0 - xz*xz - xy*xy) END, 1.0) AS seg FROM kin WHERE date_diff('minute', ts, end_ts) % 240 = 0 AND date_diff('minute', ts, end_ts) < 1680),
@@ -418,17 +418,17 @@ def _(i):
 
 
 @query("offset_displacement", "W20,W18", f"""WITH {KIN}, {OFFS}, f AS (SELECT tsm_id, node_id, arg_min(xz, ts) AS a, arg_min(xy, ts) AS b FROM kin GROUP BY ALL)
-SELECT tsm_id, node_id, ts, {R('round(xz - a, 4) + (10 - node_id) * o', 3)} AS xz, {R('round(xy - b, 4) + (10 - node_id) * o', 3)} AS xy FROM kin JOIN f USING (tsm_id, node_id) JOIN po USING (tsm_id)""")
+SELECT tsm_id, node_id, ts, {R('round(xz - a, 4) + (10 - node_id) * o', 6)} AS xz, {R('round(xy - b, 4) + (10 - node_id) * o', 6)} AS xy FROM kin JOIN f USING (tsm_id, node_id) JOIN po USING (tsm_id)""")
 def _(i):
-    d = P.disp_offset(_kin(i), i.sensors)
-    return d.select(*NODE, "ts", *[clean_round(c, 3).alias(c) for c in ("xz", "xy")])
+    d = P.disp_offset(_kin(i), i.sensors, digits=6)
+    return d.select(*NODE, "ts", "xz", "xy")
 
 
 @query("cumulative_surface", "W20", f"""WITH {KIN}, {OFFS}, t AS (SELECT tsm_id, ts, sum(xz) AS sz, sum(xy) AS sy FROM kin GROUP BY ALL), f AS (SELECT tsm_id, arg_min(sz, ts) AS a, arg_min(sy, ts) AS b FROM t GROUP BY tsm_id)
-SELECT tsm_id, ts, {R('sz - a + o * 10', 3)} AS xz, {R('sy - b + o * 10', 3)} AS xy FROM t JOIN f USING (tsm_id) JOIN po USING (tsm_id)""")
+SELECT tsm_id, ts, {R('sz - a + o * 10', 6)} AS xz, {R('sy - b + o * 10', 6)} AS xy FROM t JOIN f USING (tsm_id) JOIN po USING (tsm_id)""")
 def _(i):
-    d = P.cumulative_surface(_kin(i), i.sensors)
-    return d.select("tsm_id", "ts", *[clean_round(c, 3).alias(c) for c in ("xz", "xy")])
+    d = P.cumulative_surface(_kin(i), i.sensors, digits=6)
+    return d.select("tsm_id", "ts", "xz", "xy")
 
 
 @query("classify_velocity", "W21", f"""WITH {KIN}, l AS (SELECT end_ts, tsm_id, node_id, ts, 'vel_xz' AS axis, vel_xz AS velocity FROM kin UNION ALL SELECT end_ts, tsm_id, node_id, ts, 'vel_xy', vel_xy FROM kin) SELECT *, CASE WHEN abs(velocity) > 0.5 THEN 3 ELSE 2 END AS level FROM l WHERE abs(velocity) > 0.032""")
@@ -436,10 +436,10 @@ def _(i):
     return P.classify_velocity(_kin(i))
 
 
-BAND = """hb AS (SELECT tsm_id, node_id, CAST(round(xz / 0.001) AS BIGINT) AS b, count(*) AS n FROM kin GROUP BY ALL),
+BAND = """hb AS (SELECT tsm_id, node_id, CAST(round(xz / 0.001::DOUBLE) AS BIGINT) AS b, count(*) AS n FROM kin GROUP BY ALL),
 dn AS (SELECT tsm_id, node_id, b + o AS bin, round(sum(n * exp(-(o * o) / 8.0)), 6) AS dens FROM hb CROSS JOIN range(-6, 7) AS r(o) GROUP BY ALL),
 pk AS (SELECT * FROM (SELECT *, CASE WHEN lag(bin) OVER w = bin - 1 THEN lag(dens) OVER w ELSE 0 END AS l, CASE WHEN lead(bin) OVER w = bin + 1 THEN lead(dens) OVER w ELSE 0 END AS r, max(dens) OVER (PARTITION BY tsm_id, node_id) AS top FROM dn WINDOW w AS (PARTITION BY tsm_id, node_id ORDER BY bin)) WHERE dens > l AND dens >= r AND dens >= top * 0.05),
-bd AS (SELECT tsm_id, node_id, CASE WHEN min(bin) <> max(bin) THEN round(min(bin) * 0.001, 6) END AS low, CASE WHEN min(bin) <> max(bin) THEN round(max(bin) * 0.001, 6) END AS high FROM pk GROUP BY ALL)"""
+bd AS (SELECT tsm_id, node_id, CASE WHEN min(bin) <> max(bin) THEN round(min(bin) * 0.001::DOUBLE, 6) END AS low, CASE WHEN min(bin) <> max(bin) THEN round(max(bin) * 0.001::DOUBLE, 6) END AS high FROM pk GROUP BY ALL)"""
 
 
 @query("noise_band", "W22", f"WITH {KIN}, {BAND} SELECT tsm_id, node_id, low + 0.0 AS low, high + 0.0 AS high FROM bd")
@@ -452,11 +452,11 @@ def _(i):
     return P.cumulative_band(P.noise_band(_kin(i), "xz")).drop("end_ts")
 
 
-@query("noise_envelope", "W22", f"""WITH {KIN}, {BAND}, {OFFS}, f AS (SELECT tsm_id, node_id, arg_min(xz, ts) AS a FROM kin GROUP BY ALL) SELECT tsm_id, node_id, {R('low - a + (10 - node_id) * o', 3)} AS low, {R('high - a + (10 - node_id) * o', 3)} AS high FROM bd JOIN f USING (tsm_id, node_id) JOIN po USING (tsm_id)""")
+@query("noise_envelope", "W22", f"""WITH {KIN}, {BAND}, {OFFS}, f AS (SELECT tsm_id, node_id, arg_min(xz, ts) AS a FROM kin GROUP BY ALL) SELECT tsm_id, node_id, {R('low - a + (10 - node_id) * o', 6)} AS low, {R('high - a + (10 - node_id) * o', 6)} AS high FROM bd JOIN f USING (tsm_id, node_id) JOIN po USING (tsm_id)""")
 def _(i):
     k = _kin(i)
-    d = P.noise_envelope(k, P.noise_band(k, "xz"), i.sensors)
-    return d.select(*NODE, *[clean_round(c, 3).alias(c) for c in ("low", "high")])
+    d = P.noise_envelope(k, P.noise_band(k, "xz"), i.sensors, digits=6)
+    return d.select(*NODE, "low", "high")
 
 
 @query("displacement_bundle", "P22,I13")

@@ -76,7 +76,7 @@ def velocity(df: DataFrame, keys: Sequence[str] = NODE, n: int = 7, start: Colum
     return d if start is None else d.filter(F.col("ts") >= start)
 
 
-def linreg_displacement(df: DataFrame, keys: Sequence[str], value: str, n: int = 7, lag: int = 144) -> DataFrame:
+def linreg_displacement(df: DataFrame, keys: Sequence[str], value: str, n: int = 7, lag: int = 144, digits: int = 4) -> DataFrame:
     """Rolling line fit evaluated at the row, and its change over ``lag`` rows."""
     w = _series(keys)
     frame = w.rowsBetween(1 - n, 0)
@@ -88,9 +88,9 @@ def linreg_displacement(df: DataFrame, keys: Sequence[str], value: str, n: int =
         F.regr_slope(F.col(value), F.col("__x")).over(frame) * F.col("__x")
         + F.regr_intercept(F.col(value), F.col("__x")).over(frame),
     )
-    d = d.withColumn("predicted", clean_round(pred, 4)).drop("__x")
+    d = d.withColumn("predicted", clean_round(pred, digits)).drop("__x")
     return d.withColumn(
-        "displacement", clean_round(F.col("predicted") - F.lag("predicted", lag).over(w), 4)
+        "displacement", clean_round(F.col("predicted") - F.lag("predicted", lag).over(w), digits)
     )
 
 

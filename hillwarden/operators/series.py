@@ -168,45 +168,43 @@ def zeroed(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: Seque
 # --- gaussian weights ------------------------------------------------------
 
 
-def gaussian_smooth(
-    df: DataFrame, keys: Sequence[str], index: str, value: str, sigma: float = 3.0, width: int = 39
+def gaussian_mean(
+    df: DataFrame, keys: Sequence[str], index: str, value: str, sigma: float = 3.0, width: int = 39, out: str = "mean"
 ) -> DataFrame:
-    """Weighted mean and variance about it, edges reflected.
+    """Weighted mean around each row, edges reflected.
 
     ``index`` is the 1-based row number. Each row is sent to the targets its
-    weight reaches (itself plus at most ``width`` // 2 on each side, and the
-    mirrored positions at the edges), then summed per target: no task ever
-    needs a whole series.
+    weight reaches (at most ``width`` of them, plus mirrored ones at the
+    edges), then summed per target: no task ever needs a whole series.
     """
     half = width // 2
     size = df.groupBy(*keys).agg(F.max(index).alias("__n"))
     d = df.join(size, list(keys))
     i, n = F.col(index), F.col("__n")
     period = 2 * n
-    # A reflected series repeats with period 2n: row i also sits at 1 - i and
-    # 2n + 1 - i, shifted by multiples of 2n.
+    # A reflected series repeats with period 2n: row i also sits at 1 - i,
+    # both shifted by multiples of 2n.
+    reach = F.ceil(F.lit(half + 1) / period) + 1
     copies = F.flatten(
-        F.transform(
-            F.sequence(-F.ceil(F.lit(half + 1) / period) - 1, F.ceil(F.lit(half + 1) / period) + 1),
-            lambda m: F.array(i + m * period, F.lit(1) - i + m * period),
-        )
+        F.transform(F.sequence(-reach, reach), lambda m: F.array(i + m * period, F.lit(1) - i + m * period))
     )
-    d = d.select(*keys, "__n", F.col(value).alias("__v"), F.explode(copies).alias("__pos")).filter(
-        (F.col("__pos") >= 1 - half) & (F.col("__pos") <= F.col("__n") + half)
-    )
-    lo, hi = F.greatest(F.lit(1), F.col("__pos") - half), F.least(F.col("__n"), F.col("__pos") + half)
+    d = d.select(*keys, "__n", F.col(value).alias("__v"), F.explode(copies).alias("__pos"))
+    lo = F.greatest(F.lit(1), F.col("__pos") - half)
+    hi = F.least(F.col("__n"), F.col("__pos") + half)
     d = d.filter(lo <= hi).select(*keys, "__v", "__pos", F.explode(F.sequence(lo.cast("long"), hi.cast("long"))).alias(index))
     off = (F.col("__pos") - F.col(index)).cast("double")
-    wgt = F.exp(-(off * off) / F.lit(2 * sigma * sigma))
-    d = d.withColumn("__w", wgt).groupBy(*keys, index).agg(
-        F.sum("__w").alias("__sw"),
-        F.sum(F.col("__w") * F.col("__v")).alias("__swv"),
-        F.sum(F.col("__w") * F.col("__v") * F.col("__v")).alias("__swvv"),
-    )
-    mean = F.col("__swv") / F.col("__sw")
-    return d.select(
-        *keys,
-        index,
-        mean.alias("mean"),
-        F.greatest(F.lit(0.0), F.col("__swvv") / F.col("__sw") - mean * mean).alias("variance"),
+    d = d.withColumn("__w", F.exp(-(off * off) / F.lit(2 * sigma * sigma)))
+    return d.groupBy(*keys, index).agg(
+        (F.sum(F.col("__w") * F.col("__v")) / F.sum("__w")).alias(out)
     )
+
+
+def gaussian_smooth(
+    df: DataFrame, keys: Sequence[str], index: str, value: str, sigma: float = 3.0, width: int = 39
+) -> DataFrame:
+    """Weighted mean, and weighted mean of the squared distance from it."""
+    m = gaussian_mean(df, keys, index, value, sigma, width)
+    on = [*keys, index]
+    r = df.join(m, on).withColumn("__sq", (F.col(value) - F.col("mean")) * (F.col(value) - F.col("mean")))
+    v = gaussian_mean(r.select(*on, "__sq"), keys, index, "__sq", sigma, width, "variance")
+    return m.join(v, on)

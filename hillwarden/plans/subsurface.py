@@ -321,7 +321,7 @@ def plot_offset(kin: DataFrame, how: str = "mean") -> DataFrame:
     return per.groupBy("end_ts", "tsm_id").agg(f("__r").alias("plot_offset"))
 
 
-def disp_offset(kin: DataFrame, sensors: DataFrame, how: str = "mean") -> DataFrame:
+def disp_offset(kin: DataFrame, sensors: DataFrame, how: str = "mean", digits: int = 4) -> DataFrame:
     """Series zeroed at the window start and spread apart by node."""
     first = kin.groupBy(*SERIES).agg(F.min_by("xz", "ts").alias("__xz"), F.min_by("xy", "ts").alias("__xy"))
     d = kin.join(first, list(SERIES)).join(plot_offset(kin, how), ["end_ts", "tsm_id"])
@@ -329,18 +329,18 @@ def disp_offset(kin: DataFrame, sensors: DataFrame, how: str = "mean") -> DataFr
     lift = (F.col("number_of_segments") - F.col("node_id")) * F.col("plot_offset")
     return d.select(
         *SERIES, "ts",
-        *[clean_round(F.round(F.col(c) - F.col(f"__{c}"), 4) + lift, 4).alias(c) for c in ("xz", "xy")],
+        *[clean_round(F.round(F.col(c) - F.col(f"__{c}"), 4) + lift, digits).alias(c) for c in ("xz", "xy")],
     )
 
 
-def cumulative_surface(kin: DataFrame, sensors: DataFrame, how: str = "mean") -> DataFrame:
+def cumulative_surface(kin: DataFrame, sensors: DataFrame, how: str = "mean", digits: int = 4) -> DataFrame:
     """Sum over nodes per time, zeroed at the window start, lifted above all nodes."""
     tot = kin.groupBy("end_ts", "tsm_id", "ts").agg(F.sum("xz").alias("xz"), F.sum("xy").alias("xy"))
     first = tot.groupBy("end_ts", "tsm_id").agg(F.min_by("xz", "ts").alias("__xz"), F.min_by("xy", "ts").alias("__xy"))
     d = tot.join(first, ["end_ts", "tsm_id"]).join(plot_offset(kin, how), ["end_ts", "tsm_id"])
     d = d.join(sensors.select("tsm_id", "number_of_segments"), "tsm_id")
     lift = F.col("plot_offset") * F.col("number_of_segments")
-    return d.select("end_ts", "tsm_id", "ts", *[clean_round(F.col(c) - F.col(f"__{c}") + lift, 4).alias(c) for c in ("xz", "xy")])
+    return d.select("end_ts", "tsm_id", "ts", *[clean_round(F.col(c) - F.col(f"__{c}") + lift, digits).alias(c) for c in ("xz", "xy")])
 
 
 def classify_velocity(kin: DataFrame, cfg: Subsurface = SUBSURFACE) -> DataFrame:
@@ -384,13 +384,13 @@ def cumulative_band(band: DataFrame) -> DataFrame:
     return band.withColumns({c: clean_round(F.sum(c).over(w), 6) for c in ("low", "high")})
 
 
-def noise_envelope(kin: DataFrame, band: DataFrame, sensors: DataFrame, value: str = "xz", how: str = "mean") -> DataFrame:
+def noise_envelope(kin: DataFrame, band: DataFrame, sensors: DataFrame, value: str = "xz", how: str = "mean", digits: int = 4) -> DataFrame:
     """Band re-based to the window start and lifted like the plotted series."""
     first = kin.groupBy(*SERIES).agg(F.min_by(value, "ts").alias("__0"))
     d = band.join(first, list(SERIES)).join(plot_offset(kin, how), ["end_ts", "tsm_id"])
     d = d.join(sensors.select("tsm_id", "number_of_segments"), "tsm_id")
     lift = (F.col("number_of_segments") - F.col("node_id")) * F.col("plot_offset")
-    return d.select(*SERIES, *[clean_round(F.col(c) - F.col("__0") + lift, 4).alias(c) for c in ("low", "high")])
+    return d.select(*SERIES, *[clean_round(F.col(c) - F.col("__0") + lift, digits).alias(c) for c in ("low", "high")])
 
 
 def bundle(kin: DataFrame, sensors: DataFrame) -> DataFrame:
