@@ -1,6 +1,6 @@
 """All registered queries; importing this package fills the registry."""
 
-from . import field_queries, sensor_queries  # noqa: F401
+from . import field_queries, message_queries, sensor_queries  # noqa: F401
 from .registry import COVERS, ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES", "COVERS"]

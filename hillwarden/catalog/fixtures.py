@@ -59,11 +59,40 @@ VIEWS: dict[str, str] = {
     "marker_history": """SELECT user_id AS marker_id, event_id AS hist_id, ts, CASE WHEN event_type = 'view' THEN 'add' WHEN event_type = 'click' THEN 'rename' WHEN event_type = 'purchase' THEN 'reposition' ELSE 'mute' END AS event, 'M' || CAST(event_id % 26 AS VARCHAR(20)) AS marker_name FROM {events} WHERE event_id % 17 = 0""",
     "triggers": """SELECT event_id AS trigger_id, CAST(user_id % 50 AS INT) AS site_id, CASE WHEN event_type = 'view' THEN 'rainfall' WHEN event_type = 'click' THEN 'subsurface' WHEN event_type = 'purchase' THEN 'surficial' WHEN event_type = 'error' THEN 'earthquake' ELSE 'on demand' END AS trigger_source,
         CAST(event_id % 4 AS INT) AS alert_level, ts, ts + INTERVAL 1 MINUTE * CAST(event_id % 7 * 30 AS INT) AS ts_updated FROM {events}""",
-    "alert_status": """SELECT trigger_id, ts_updated - INTERVAL 1 MINUTE * CAST(trigger_id % 5 * 600 AS INT) AS ts_last_retrigger, CAST(trigger_id % 3 - 1 AS INT) AS alert_status, CAST(trigger_id % 40 AS INT) AS user_id FROM {triggers} WHERE trigger_id % 6 = 0""",
+    "alert_status": """SELECT trigger_id, ts_updated - INTERVAL 1 MINUTE * CAST(trigger_id % 7 * 600 AS INT) AS ts_last_retrigger, CAST(trigger_id % 3 - 1 AS INT) AS alert_status, CAST(trigger_id % 40 AS INT) AS user_id FROM {triggers} WHERE trigger_id % 5 = 0""",
     "public_alerts": """SELECT event_id AS public_id, site_id, ts, ts_updated, alert_level FROM {intervals}""",
 }
 
-_REF = re.compile(r"\{(\w+)\}")
+# --- text messages: one format per event_id % 16 ---
+_S = "CAST({} AS VARCHAR(20))"
+_TS = "replace(replace(replace(substr(CAST(ts AS VARCHAR(30)), 3, 17), '-', ''), ':', ''), ' ', '')"
+_V, _K, _E = _S.format("CAST(floor(value) AS INT)"), _S.format("event_id % 100"), _S.format("event_id")
+_CSQ = _S.format("event_id % 31")
+FORMATS = [
+    f"'INAXA*U*LA:' || {_V} || '*MX:' || {_K} || '.5*MI:' || {_S.format('event_id % 4000')} || '*TP:23.31*' || {_TS}",
+    f"'IMULA*L*LR:' || {_V} || '.25*BV:8.45*BI:128.60*AC:' || {_K} || '.5,-0.1089,-0.3942*MG:1.5,2.5,3.5*GR:4.5,5.5,' || {_K} || '*TP:33.25*' || {_TS}",
+    f"'LTESA*m* 0.70*14.12*136.80*14.' || {_S.format('10 + event_id % 90')} || '* 0.90*14.02>' || {_K} || '*' || {_TS}",
+    f"'ARQ+' || {_S.format('event_id % 40')} || '+0+4.158+4.204+0.1268+5.088+0.121+1000+' || {_CSQ} || '+31.5+84.1+233+' || substr({_TS}, 1, 6) || '/' || substr({_TS}, 7, 6)",
+    f"'IMUW,' || substr({_TS}, 3, 2) || '/' || substr({_TS}, 5, 2) || '/' || substr({_TS}, 1, 2) || ',' || substr(CAST(ts AS VARCHAR(30)), 12, 8) || ',0,,' || {_K} || '.5,' || {_V} || '.25,13.03,' || {_CSQ}",
+    f"'IMUG,25.5,' || {_V} || '.5,13.03,' || {_CSQ} || ',' || {_TS}",
+    f"'COORDINATOR*RSSI,SITE,ROUTA,' || {_K} || ',3.5,ROUTB,' || {_CSQ} || ',,ROUTZ,5,*' || {_TS}",
+    f"'INAST*R*1.5,' || {_K} || '.5,3.5,4,5,6,7,8,9,' || {_V} || ',' || {_TS}",
+    f"'SINUA:16.723474503,120.' || {_S.format('781250000 + event_id % 1000')} || ',2324.02,0.3946:33.00,4.' || {_S.format('10 + event_id % 80')} || '*' || {_TS}",
+    f"'ACK ' || {_E} || CASE WHEN event_id % 3 = 0 THEN ' valid' WHEN event_id % 3 = 1 THEN ' Invalid' ELSE ' validating' END || ' seen by ' || {_K}",
+    f"'EQInfo1: ' || {_S.format('10 + event_id % 19')} || 'Mar2018 0' || {_S.format('1 + event_id % 9')} || ':05AM Ms=' || {_S.format('1 + event_id % 7')} || '.5 D=0' || {_S.format('10 + event_id % 80')} || 'km 08.26N, 126.02E - 011km N20E of Bunawan (Agusan Del Sur) <RAP>'",
+    f"'RiskAssessmentSummary:a' || {_K} || '<*>b||c<*>' || {_V}",
+    "CASE event_id % 5 WHEN 0 THEN 'Registered ok' WHEN 1 THEN 'system startup' WHEN 2 THEN 'manual reset' WHEN 3 THEN 'POWER SAVING ACTIVATED' ELSE 'SMS RESET' END",
+    f"'Routine ina jan 1' || {_S.format('event_id % 9')} || ' 2024 8:45am a ' || {_K} || '.1cm b 61.5cm maulan juan delacruz'",
+    f"'hello ' || {_K}",
+    f"'PUGBPZ*' || substr({_S.format('1000000000 + (event_id * 7919) % 1000000000')}, 1, 10) || '*' || {_TS}",
+]
+VIEWS["messages"] = (
+    "SELECT event_id AS inbox_id, CASE "
+    + " ".join(f"WHEN event_id % 16 = {n} THEN {f}" for n, f in enumerate(FORMATS))
+    + " END AS msg, '639' || substr(CAST(1000000000 + user_id AS VARCHAR(20)), 2, 9) AS sim_num, ts, CASE WHEN event_id % 2 = 0 THEN 'loggers' ELSE 'users' END AS source, CASE WHEN event_id % 3 = 0 THEN 'READ-SUCCESS' ELSE 'UNREAD' END AS status, user_id, value FROM {events}"
+)
+
+_REF = re.compile(r"\{([a-z_]+)\}")
 
 
 def _needs(names: list[str]) -> list[str]:

@@ -170,7 +170,7 @@ def roc(df: DataFrame, score: str, label: str, keys: Sequence[str] = (), bucket:
     g = df.groupBy(*keys, score).agg(
         F.sum(F.col(label).cast("bigint")).alias("__p"), F.sum((1 - F.col(label)).cast("bigint")).alias("__n")
     )
-    tot = g.groupBy(*keys).agg(F.sum("__p").alias("__P"), F.sum("__n").alias("__N"))
+    tot = g.groupBy(*keys).agg(F.sum("__p").alias("__pos"), F.sum("__n").alias("__neg"))
     k = list(keys)
     if not k:
         g, tot, k = g.withColumn("__all", F.lit(0)), tot.withColumn("__all", F.lit(0)), ["__all"]
@@ -180,8 +180,8 @@ def roc(df: DataFrame, score: str, label: str, keys: Sequence[str] = (), bucket:
     ).join(tot, k)
     return d.select(
         *keys, F.col(score).alias("threshold"), "tp", "fp",
-        clean_round(F.try_divide(F.col("tp").cast("double"), F.col("__P")), 6).alias("tpr"),
-        clean_round(F.try_divide(F.col("fp").cast("double"), F.col("__N")), 6).alias("fpr"),
+        clean_round(F.try_divide(F.col("tp").cast("double"), F.col("__pos")), 6).alias("tpr"),
+        clean_round(F.try_divide(F.col("fp").cast("double"), F.col("__neg")), 6).alias("fpr"),
     )
 
 
@@ -205,16 +205,16 @@ def sweep(df: DataFrame, value: str, label: str, keys: Sequence[str], step: floa
     g = df.groupBy(*keys, F.least(cell, F.lit(n + 1)).alias("__c")).agg(
         F.sum(F.col(label).cast("bigint")).alias("__p"), F.sum((1 - F.col(label)).cast("bigint")).alias("__q")
     )
-    tot = g.groupBy(*keys).agg(F.sum("__p").alias("__P"), F.sum("__q").alias("__Q"))
-    full = tot.select(*keys, "__P", "__Q", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("__c"))
+    tot = g.groupBy(*keys).agg(F.sum("__p").alias("__pos"), F.sum("__q").alias("__neg"))
+    full = tot.select(*keys, "__pos", "__neg", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("__c"))
     d = full.join(g, [*keys, "__c"], "left")
     w = W.partitionBy(*keys).orderBy("__c").rowsBetween(W.unboundedPreceding, 0)
     tp, fp = F.sum(F.coalesce("__p", F.lit(0))).over(w), F.sum(F.coalesce("__q", F.lit(0))).over(w)
-    d = d.select(*keys, (F.col("__c") * step).alias("threshold"), tp.alias("tp"), fp.alias("fp"), "__P", "__Q")
+    d = d.select(*keys, (F.col("__c") * step).alias("threshold"), tp.alias("tp"), fp.alias("fp"), "__pos", "__neg")
     return d.select(
-        *keys, "threshold", "tp", "fp", (F.col("__P") - F.col("tp")).alias("fn"), (F.col("__Q") - F.col("fp")).alias("tn"),
-        clean_round(F.try_divide(F.col("tp").cast("double"), F.col("__P")), 6).alias("tpr"),
-        clean_round(F.try_divide(F.col("fp").cast("double"), F.col("__Q")), 6).alias("fpr"),
+        *keys, "threshold", "tp", "fp", (F.col("__pos") - F.col("tp")).alias("fn"), (F.col("__neg") - F.col("fp")).alias("tn"),
+        clean_round(F.try_divide(F.col("tp").cast("double"), F.col("__pos")), 6).alias("tpr"),
+        clean_round(F.try_divide(F.col("fp").cast("double"), F.col("__neg")), 6).alias("fpr"),
     )
 
 
