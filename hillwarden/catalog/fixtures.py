@@ -60,6 +60,15 @@ VIEWS: dict[str, str] = {
     "triggers": """SELECT event_id AS trigger_id, CAST(user_id % 50 AS INT) AS site_id, CASE WHEN event_type = 'view' THEN 'rainfall' WHEN event_type = 'click' THEN 'subsurface' WHEN event_type = 'purchase' THEN 'surficial' WHEN event_type = 'error' THEN 'earthquake' ELSE 'on demand' END AS trigger_source,
         CAST(event_id % 4 AS INT) AS alert_level, ts, ts + INTERVAL 1 MINUTE * CAST(event_id % 7 * 30 AS INT) AS ts_updated FROM {events}""",
     "alert_status": """SELECT trigger_id, ts_updated - INTERVAL 1 MINUTE * CAST(trigger_id % 7 * 600 AS INT) AS ts_last_retrigger, CAST(trigger_id % 3 - 1 AS INT) AS alert_status, CAST(trigger_id % 40 AS INT) AS user_id FROM {triggers} WHERE trigger_id % 5 = 0""",
+    "event_rows": """SELECT o_orderkey AS event_id, o_custkey AS site_id, data_ts, CASE WHEN o_orderkey % 7 = 0 THEN 'E' WHEN o_orderkey % 5 = 0 THEN 'm' WHEN o_orderkey % 11 = 0 THEN 'D' ELSE 'R' END AS alert_symbol, CAST(2 + o_orderkey % 3 AS INT) AS pub_sym_id,
+        data_ts + INTERVAL 30 MINUTE + INTERVAL 1 DAY * CAST(1 + o_orderkey % 2 AS INT) AS validity, CAST(CASE WHEN o_custkey % 4 = 0 THEN 0 ELSE 1 END AS INT) AS has_markers FROM {orders} JOIN {schedule} ON o_orderkey = release_id WHERE o_orderkey % 40 = 0
+        UNION ALL SELECT o_orderkey AS event_id, o_custkey AS site_id, data_ts + INTERVAL 300 MINUTE + INTERVAL 30 MINUTE * CAST(o_orderkey / 80 % 7 AS INT) AS data_ts, CASE WHEN o_orderkey % 3 = 0 THEN 'M' ELSE 's' END AS alert_symbol, CAST(3 + o_orderkey % 2 AS INT) AS pub_sym_id,
+        data_ts + INTERVAL 30 MINUTE + INTERVAL 3 DAY AS validity, CAST(CASE WHEN o_custkey % 4 = 0 THEN 0 ELSE 1 END AS INT) AS has_markers FROM {orders} JOIN {schedule} ON o_orderkey = release_id WHERE o_orderkey % 80 = 0""",
+    "seasons": """SELECT c_custkey AS site_id, CAST(m AS INT) AS month, CASE WHEN (c_custkey + m) % 2 = 0 THEN 'wet' ELSE 'dry' END AS season_type FROM {customer} CROSS JOIN (VALUES (1),(2),(3),(4),(5),(6),(7),(8),(9),(10),(11),(12)) AS mm(m) WHERE c_custkey % 3 = 0""",
+    "plan": """SELECT * FROM (VALUES ('wet', 2), ('wet', 5), ('dry', 3)) AS p(season_type, iso_week_day)""",
+    "releases": """SELECT release_id, site_id, data_ts, event, raising, lowering, 0 AS extended, CAST(1 + release_id % 4 AS INT) AS pub_sym_id FROM {schedule}""",
+    "sent_log": """SELECT release_id + 10000000 * k AS sent_id, site_id, site_id AS user_id, data_ts + INTERVAL 10 MINUTE * CAST(release_id % 31 + k * 9 AS INT) AS ts_written FROM {schedule} CROSS JOIN (VALUES (0),(1)) AS kk(k) WHERE release_id % 5 <> 0""",
+    "versions": """SELECT s_suppkey AS tsm_id, 'snr' || CAST(s_suppkey % 40 AS VARCHAR(20)) AS tsm_name, s_suppkey % 35 AS logger_id, CAST('2015-01-01 00:00:00' AS TIMESTAMP) + INTERVAL 1 DAY * CAST(s_suppkey % 50 AS INT) AS date_activated, CASE WHEN s_suppkey % 3 = 0 THEN CAST('2016-01-01 00:00:00' AS TIMESTAMP) + INTERVAL 1 DAY * CAST(s_suppkey AS INT) END AS date_deactivated FROM {supplier}""",
     "public_alerts": """SELECT event_id AS public_id, site_id, ts, ts_updated, alert_level FROM {intervals}""",
 }
 

@@ -12,8 +12,18 @@ from .sensor_queries import R
 M = "{messages}"
 
 
+def _text(d):
+    """Texts as a plain column: a generator keeps the decoders' filters from
+    being pushed into the expressions that build the sample texts."""
+    return d.select(*[c for c in d.columns if c != "msg"], F.explode(F.array("msg")).alias("msg"))
+
+
+def _all(i):
+    return _text(i.messages)
+
+
 def _only(i, n):
-    return i.messages.filter(F.col("inbox_id") % 16 == n)
+    return _text(i.messages.filter(F.col("inbox_id") % 16 == n))
 
 
 MIN = "date_trunc('minute', ts)"
@@ -25,18 +35,18 @@ ROUTES = ["extensometer", "lidar", "diagnostics", "rain_arq", "rain_csv", "rain_
 
 @query("message_routes", "M1", "SELECT inbox_id, CASE " + " ".join(f"WHEN inbox_id % 16 = {n} THEN '{r}'" for n, r in enumerate(ROUTES)) + f" END AS route FROM {M}")
 def _(i):
-    return RT.route(i.messages).select("inbox_id", "route")
+    return RT.route(_all(i)).select("inbox_id", "route")
 
 
 @query("route_counts", "M1,F22", r"""SELECT count(*) FILTER (regexp_matches(msg, '^[A-Z]{3}X[A-Z]{1}\*U\*')) AS extensometer, count(*) FILTER (regexp_matches(upper(msg), '^ACK \d+ .+')) AS acknowledgement, count(*) FILTER (regexp_matches(msg, 'PZ\*')) AS piezo FROM {messages}""")
 def _(i):
-    r = RT.route(i.messages)
+    r = RT.route(_all(i))
     return r.agg(*[F.count_if(F.col("route") == n).alias(n) for n in ("extensometer", "acknowledgement", "piezo")])
 
 
 @query("status_codes", "M2", f"SELECT inbox_id, CASE WHEN inbox_id % 16 = 12 THEN CASE inbox_id % 5 WHEN 0 THEN 4 WHEN 1 THEN 8 WHEN 2 THEN 6 WHEN 3 THEN 11 ELSE 9 END END AS status_code FROM {M} WHERE inbox_id % 16 IN (12, 14)")
 def _(i):
-    return RT.classify_status(i.messages.filter("inbox_id % 16 IN (12, 14)")).select("inbox_id", "status_code")
+    return RT.classify_status(_text(i.messages.filter("inbox_id % 16 IN (12, 14)"))).select("inbox_id", "status_code")
 
 
 # --- round trips: integers -> hex text -> integers ---------------------------
@@ -66,7 +76,7 @@ NAME4 = "lower('T' || chr(65 + tsm_id % 26) || chr(65 + (tsm_id // 26) % 26) ||
 
 def _msgs(i, letter, payload, suffix="TA", where=GOOD):
     d = i.readings.filter(where)
-    return d.select(F.col("event_id").alias("inbox_id"), F.concat(_name(suffix), F.lit(letter), payload, F.lit("*"), _stamp()).alias("msg"), F.lit("639").alias("sim_num"), "ts")
+    return _text(d.select(F.col("event_id").alias("inbox_id"), F.concat(_name(suffix), F.lit(letter), payload, F.lit("*"), _stamp()).alias("msg"), F.lit("639").alias("sim_num"), "ts"))
 
 
 @query("decode_tilt_v2", "M4", f"SELECT event_id AS inbox_id, {NAME5} AS tsm_name, {MIN} AS ts, node_id, 11 AS type_num, x, y, z, batt FROM {{readings}} WHERE {GOOD}")
@@ -88,7 +98,7 @@ def _v1(i):
     c, ax = F.col, lambda a: _hex(F.col(a).cast("long").bitwiseAND(4095), 3)
     p = F.concat(_hex(c("node_id"), 2), ax("x"), ax("y"), ax("z"), _hex(F.round(c("batt") * 10), 4), F.lit("7"))
     d = i.readings.filter(GOOD + " AND x <= 1024 AND y <= 1024")
-    return D.decode_v1(d.select(F.col("event_id").alias("inbox_id"), F.concat(_name("T"), F.lit("DUE*"), p, F.lit("*"), _stamp()).alias("msg"), "ts"))
+    return D.decode_v1(_text(d.select(F.col("event_id").alias("inbox_id"), F.concat(_name("T"), F.lit("DUE*"), p, F.lit("*"), _stamp()).alias("msg"), "ts")))
 
 
 @query("decode_tilt_v1", "M3", f"SELECT event_id AS inbox_id, {NAME4} AS tsm_name, {MIN} AS ts, node_id, x, y, z FROM {{readings}} WHERE {GOOD} AND x <= 1024 AND y <= 1024")
@@ -121,7 +131,7 @@ def _(i):
     # node 10 reads as a command at the start of a raw message
     d = i.readings.filter(GOOD + " AND y <= 1024 AND node_id <> 10")
     m = d.select(F.col("event_id").alias("inbox_id"), F.concat(_name(), letter, F.repeat(F.when(even, raw).otherwise(cal), F.lit(2)), F.lit("*"), _stamp()).alias("msg"), "ts")
-    return D.decode_soms(m).select("inbox_id", "node_id", "type_num", "mval1", "mval2")
+    return D.decode_soms(_text(m)).select("inbox_id", "node_id", "type_num", "mval1", "mval2")
 
 
 def _b64(c, n):
@@ -139,14 +149,14 @@ def _(i):
     p = F.when(even, F.concat(_b64(F.col("node_id"), 1), *ax(4095, 2), b)).otherwise(F.concat(_b64(F.col("node_id"), 1), *ax(65535, 3), b))
     d = i.readings.filter(GOOD)
     m = d.select(F.col("event_id").alias("inbox_id"), F.concat(_name(), F.lit("*"), F.when(even, _b64(F.lit(11), 2)).otherwise(_b64(F.lit(51), 2)), F.lit("*"), p, F.lit("*"), _stamp()).alias("msg"), "ts")
-    return D.decode_b64(m)[0]
+    return D.decode_b64(_text(m))[0]
 
 
 @query("decode_base64_temperature", "M7", f"SELECT event_id AS inbox_id, {NAME5} AS tsm_name, {MIN} AS ts, node_id, 23 AS type_num, CASE WHEN 1000 + z >= 1022 THEN 0 ELSE 1000 + z END AS temp_val FROM {{readings}} WHERE {GOOD}")
 def _(i):
     p = F.concat(_b64(F.col("node_id"), 1), _b64(F.col("z") + 1000, 2))
     m = i.readings.filter(GOOD).select(F.col("event_id").alias("inbox_id"), F.concat(_name(), F.lit("*"), _b64(F.lit(23), 2), F.lit("*"), p, F.lit("*"), _stamp()).alias("msg"), "ts")
-    return D.decode_b64(m)[1]
+    return D.decode_b64(_text(m))[1]
 
 
 @query("decode_tilt_vector_hex", "M13", f"SELECT event_id AS inbox_id, {MIN} AS ts, n AS node_id, x AS ac_x, y AS ac_y, z AS ac_z, 7 AS temp, 0 AS taps, 18.75::DOUBLE AS temp_rtc FROM {{readings}} CROSS JOIN (VALUES (0), (1)) AS v(n)")
@@ -156,7 +166,7 @@ def _(i):
     m = i.readings.select(
         F.col("event_id").alias("inbox_id"), F.concat(F.lit("SINNB*0:"), v, F.lit(",;1:"), v, F.lit(";0,18.75,4.14*"), _stamp()).alias("msg"), "ts"
     )
-    return D.decode_tilt_vector_v2(m).select("inbox_id", "ts", "node_id", "ac_x", "ac_y", "ac_z", "temp", "taps", "temp_rtc")
+    return D.decode_tilt_vector_v2(_text(m)).select("inbox_id", "ts", "node_id", "ac_x", "ac_y", "ac_z", "temp", "taps", "temp_rtc")
 
 
 # --- plain formats -----------------------------------------------------------
@@ -201,7 +211,7 @@ def _(i):
 
 @query("decode_rain_fields", "M9", f"SELECT inbox_id, 'imug' AS gauge_name, {SEC} AS ts, CASE WHEN inbox_id % 16 = 4 THEN {V} + 0.25 ELSE {V} + 0.5 END::DOUBLE AS rain, CASE WHEN inbox_id % 16 = 4 THEN {K} + 0.5 ELSE 25.5 END::DOUBLE AS temperature, 13.03::DOUBLE AS battery1, CAST(inbox_id % 31 AS INT) AS csq FROM {M} WHERE inbox_id % 16 IN (4, 5)")
 def _(i):
-    return D.decode_rain_csv(i.messages.filter("inbox_id % 16 IN (4, 5)"))
+    return D.decode_rain_csv(_text(i.messages.filter("inbox_id % 16 IN (4, 5)")))
 
 
 @query("decode_router_signal", "M14", f"SELECT inbox_id, {SEC} AS ts, CASE r WHEN 'routa' THEN 1 ELSE 2 END AS logger_id, r AS router_name, CAST(CASE r WHEN 'routa' THEN {K} ELSE inbox_id % 31 END AS INT) AS rssi_val, CASE r WHEN 'routa' THEN 3.5::DOUBLE END AS battery FROM {M} CROSS JOIN (VALUES ('routa'), ('routb')) AS v(r) WHERE inbox_id % 16 = 6")
@@ -235,7 +245,7 @@ def _(i):
     d = i.messages.withColumn("msg", F.concat(
         F.lit("Earthquake Information Date and Time: "), F.date_format("ts", "dd MMM yyyy - hh:mm a"), F.lit(" Magnitude = "), (F.col("inbox_id") % 7 + 1).cast("string"),
         F.lit(".5 Depth = "), (F.col("inbox_id") % 100).cast("string"), F.lit(" kilometers Location = 08.50N, 126.25E - 011 km N 20 E of Bunawan (Agusan Del Sur)")))
-    return X.extract_posts(d)
+    return X.extract_posts(_text(d))
 
 
 @query("sync_records", "M20", f"SELECT inbox_id, 'risk_assessment_summary' AS target, CAST(r AS INT) AS row_no, CASE WHEN r = 0 THEN 'a' || {K} ELSE 'c' END AS first, CASE WHEN r = 0 THEN 'b' ELSE CAST({V} AS VARCHAR) END AS second FROM {M} CROSS JOIN (VALUES (0), (1)) AS v(r) WHERE inbox_id % 16 = 11")
@@ -248,7 +258,7 @@ def _(i):
     name = F.when(F.col("inbox_id") % 5 == 0, "NOGAUGE").otherwise("UMIG")
     d = i.messages.withColumn("msg", F.concat_ws("|?=", name, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), (F.col("inbox_id") % 100).cast("string"), F.lit("25.5"), F.lit("80"), F.lit("4.1"), F.lit("4.2"), (F.col("inbox_id") % 31).cast("string")))
     g = i.spark.sql("SELECT 'UMIG' AS gauge_name")
-    return X.decode_sync_rain(d, g).select("inbox_id", "gauge_name", "ts", "rain", "csq")
+    return X.decode_sync_rain(_text(d), g).select("inbox_id", "gauge_name", "ts", "rain", "csq")
 
 
 @query("decode_piezo", "M11", f"""SELECT inbox_id, 'pugb' AS piezo_name, {MIN} AS ts, {R("CAST('0x' || substr(d, 1, 2) AS INT) * 100 + CAST('0x' || substr(d, 3, 2) AS INT) + CAST('0x' || substr(d, 5, 2) AS INT) * 0.01::DOUBLE", 4)} AS frequency_shift, {R("CAST('0x' || substr(d, 7, 2) AS INT) + CAST('0x' || substr(d, 9, 2) AS INT) * 0.01::DOUBLE", 4)} AS temperature FROM (SELECT *, substr(CAST(1000000000 + (inbox_id * 7919) % 1000000000 AS VARCHAR), 1, 10) AS d FROM {M}) WHERE inbox_id % 16 = 15""")
@@ -259,7 +269,7 @@ def _(i):
 
 def _observations(i):
     sites = i.spark.sql("SELECT 'ina' AS site_code, 7 AS site_id")
-    return X.extract_observations(i.messages.filter("inbox_id % 16 IN (13, 14)"), sites, at("2024-01-31 00:00:00"))
+    return X.extract_observations(_text(i.messages.filter("inbox_id % 16 IN (13, 14)")), sites, at("2024-01-31 00:00:00"))
 
 
 @query("community_observations", "M15", f"SELECT inbox_id, CASE WHEN inbox_id % 16 = 14 THEN 1 END AS err_code, CASE WHEN inbox_id % 16 = 13 THEN 'ROUTINE' END AS meas_type, CASE WHEN inbox_id % 16 = 13 THEN 7 END AS site_id, CASE WHEN inbox_id % 16 = 13 THEN make_timestamp(2024, 1, CAST(10 + inbox_id % 9 AS INT), 8, 45, 0) END AS obs_ts, CASE WHEN inbox_id % 16 = 13 THEN 'MAULAN' END AS weather, CASE WHEN inbox_id % 16 = 13 THEN 'JUAN DELACRUZ' END AS observer_name FROM {M} WHERE inbox_id % 16 IN (13, 14)")
@@ -279,9 +289,9 @@ def _(i):
 
 @query("parse_ledger", "M21", f"SELECT inbox_id, CASE WHEN inbox_id % 16 IN (0, 1, 8) THEN 1 ELSE -1 END AS read_status FROM {M}")
 def _(i):
-    r = RT.route(i.messages)
+    r = RT.route(_all(i))
     ids = [f(r.filter(F.col("route") == n)).select("inbox_id") for n, f in (("extensometer", D.decode_extensometer), ("lidar", D.decode_lidar), ("gnss", D.decode_gnss))]
-    return RT.parse_ledger(i.messages, ids[0].unionByName(ids[1]).unionByName(ids[2]))
+    return RT.parse_ledger(_all(i), ids[0].unionByName(ids[1]).unionByName(ids[2]))
 
 
 @query("sensors_to_evaluate", "M22", f"SELECT {NAME5} AS tsm_name, max({MIN}) + INTERVAL 10 MINUTE AS evaluate_at FROM {{readings}} WHERE {GOOD} GROUP BY 1")

@@ -423,3 +423,79 @@ def backfill(readings: DataFrame, sensors: DataFrame, start: str, end: str, minu
             F.col("__seen").isNull() | (F.col("end_ts") > F.col("__seen"))
         ).drop("__seen")
     return nodes
+
+
+# --- research set -----------------------------------------------------------
+
+
+def resultant_alerts(series: DataFrame, disp: float = 0.05, vel: float = 0.032, trend: float = 0.6) -> DataFrame:
+    """Level 2 where a node moves fast or far and steadily in one direction.
+
+    Steady means a rank correlation with time beyond ``trend`` over three days.
+    """
+    from ..operators.kinematics import linreg_displacement, rolling_spearman
+
+    key = ["tsm_id", "node_id"]
+    d = velocity(linreg_displacement(series, key, "xz"), key)
+    rho = rolling_spearman(series, "xz", keys=key)
+    d = d.join(rho, [*key, "ts"], "left")
+    steady = F.coalesce(F.abs("rho") > trend, F.lit(False))
+    level = lambda c, lim: F.when(F.coalesce(F.abs(c) > lim, F.lit(False)) & steady, 2).otherwise(0)
+    return d.select(*key, "ts", "displacement", "vel_xz", "rho", level("displacement", disp).alias("disp_alert"), level("vel_xz", vel).alias("vel_alert"))
+
+
+def drift_weeks(
+    readings: DataFrame, keys: Sequence[str], tie: Sequence[str] = ("ts",), min_count: int = 84, min_acc: float = 3e-6, min_r2: float = 0.7
+) -> DataFrame:
+    """Weeks in which a sensor's gravity magnitude drifts steadily.
+
+    Slots are averaged first, so a series is bounded by its time span. Steps:
+    unwrap, magnitude in (0.5, 3.0), centred 12-row three-sigma cut, linear
+    interpolation on the 30-minute grid, six-hour means of quiet stretches,
+    then velocity, acceleration and their weekly summary.
+    """
+    fixed = {a: F.when((F.col(a) > -3072) & (F.col(a) < -2970), F.col(a) + 4096).otherwise(F.col(a)) for a in ("x", "y", "z")}
+    g = readings.withColumns(fixed)
+    mag = F.sqrt((F.col("x") * F.col("x") + F.col("y") * F.col("y") + F.col("z") * F.col("z")).cast("double")) / 1024.0
+    g = g.withColumn("mag", mag).filter((F.col("mag") > 0.5) & (F.col("mag") < 3.0))
+    from ..operators.clean import slot_first
+    from ..operators.series import grid, week_ending_sunday
+
+    s = slot_first(g, keys, ["mag"], tie)
+    w = W.partitionBy(*keys).orderBy("ts")
+    near = w.rowsBetween(-6, 5)
+    s = s.withColumns({"__m": F.avg("mag").over(near), "__s": F.stddev_samp("mag").over(near)})
+    s = s.filter(F.coalesce(F.abs(F.col("mag") - F.col("__m")) <= 3 * F.col("__s"), F.lit(True))).select(*keys, "ts", "mag")
+    f = grid(s, keys, ["mag"])
+    back, ahead = w.rowsBetween(W.unboundedPreceding, 0), w.rowsBetween(0, W.unboundedFollowing)
+    item = F.when(F.col("mag").isNotNull(), F.struct("ts", "mag"))
+    f = f.withColumns({"__p": F.last(item, ignorenulls=True).over(back), "__n": F.first(item, ignorenulls=True).over(ahead)})
+    t = lambda c: micros(c).cast("double")
+    share = F.try_divide(t("ts") - t("__p.ts"), t("__n.ts") - t("__p.ts"))
+    f = f.withColumn("mag", F.coalesce("mag", F.col("__p.mag") + (F.col("__n.mag") - F.col("__p.mag")) * share))
+    from ..functions.clock import floor_to
+
+    h = f.groupBy(*keys, floor_to("ts", 360).alias("slot")).agg(F.avg("mag").alias("mag"), F.stddev_samp("mag").alias("sd"))
+    h = h.filter(F.coalesce(F.col("sd") <= 0.05, F.lit(True)))
+    hw = W.partitionBy(*keys).orderBy("slot")
+    hours = F.timestamp_diff("HOUR", F.lag("slot").over(hw), F.col("slot"))
+    h = h.withColumn("vel", F.try_divide(F.col("mag") - F.lag("mag").over(hw), hours))
+    h = h.withColumn("acc", F.try_divide(F.col("vel") - F.lag("vel").over(hw), hours))
+    h = h.withColumns({"week_end": week_ending_sunday("slot"), "__i": F.row_number().over(hw).cast("double")})
+    k = h.groupBy(*keys, "week_end").agg(
+        clean_round(F.avg("vel"), 8).alias("vel"), clean_round(F.avg("acc"), 8).alias("acc"), F.count("mag").alias("n"),
+        F.when((F.count("mag") > 1) & (F.stddev_pop("mag") > 0), F.corr("mag", "__i")).alias("__r"),
+    )
+    k = k.withColumn("r2", clean_round(F.col("__r") * F.col("__r"), 6)).drop("__r")
+    return k.filter((F.col("r2") > min_r2) & (F.abs("acc") > min_acc) & (F.col("n") >= min_count))
+
+
+def drifting(weeks: DataFrame, keys: Sequence[str], min_days: int = 28, max_gap: int = 14) -> DataFrame:
+    """Runs of weeks with the same direction, at most ``max_gap`` days apart."""
+    w = W.partitionBy(*keys).orderBy("week_end")
+    sign = F.signum("vel")
+    new = (F.lag(sign).over(w) != sign) | (F.datediff("week_end", F.lag("week_end").over(w)) > max_gap)
+    d = weeks.withColumn("__new", F.when(F.coalesce(new, F.lit(True)), 1).otherwise(0))
+    d = d.withColumn("__run", F.sum("__new").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    r = d.groupBy(*keys, "__run").agg(F.min("week_end").alias("since"), F.max("week_end").alias("until"), F.count(F.lit(1)).alias("weeks"))
+    return r.filter(F.datediff("until", "since") >= min_days).drop("__run")
