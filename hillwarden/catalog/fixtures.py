@@ -1,6 +1,7 @@
 """Views over the given tables, one SQL text for both engines.
 
-``{name}`` marks a table or another view. Integer arithmetic first and one
+``{name}`` marks a table or another view and ``each(..)`` repeats a row per
+listed value (explode / unnest). Integer arithmetic first and one
 division last, so both engines agree bit for bit.
 """
 
@@ -41,7 +42,7 @@ VIEWS: dict[str, str] = {
     # --- further dimensions and logs ---
     "accelerometers": """SELECT tsm_id, n AS node_id, a AS accel_number, CAST(CASE WHEN (tsm_id + n + a) % 3 = 0 THEN 0 ELSE 1 END AS INT) AS in_use, CAST(3.05 AS DOUBLE) AS voltage_min, CAST(3.35 AS DOUBLE) AS voltage_max,
         CAST(tsm_id * 100 + n * 2 + a AS BIGINT) AS accel_id
-        FROM {sensors} CROSS JOIN (VALUES (1),(2),(3),(4),(5),(6),(7),(8),(9),(10)) AS nn(n) CROSS JOIN (VALUES (1),(2)) AS aa(a)""",
+        FROM (SELECT tsm_id, n, each(1, 2) AS a FROM (SELECT tsm_id, each(1, 2, 3, 4, 5, 6, 7, 8, 9, 10) AS n FROM {sensors}) AS s1) AS s2""",
     "node_status": """SELECT DISTINCT CAST((user_id - user_id % 10) / 10 AS INT) AS tsm_id, CAST(user_id % 10 AS INT) + 1 AS node_id, CAST(CASE WHEN user_id % 3 = 0 THEN 4 ELSE 1 END AS INT) AS status, CAST('2024-01-05 00:00:00' AS TIMESTAMP) AS date_identified FROM {events} WHERE user_id % 23 = 0""",
     "mobiles": """SELECT c_custkey AS mobile_id, '639' || substr(CAST(1000000000 + c_custkey AS VARCHAR(20)), 2, 9) AS sim_num, c_custkey % 100 AS logger_id, CAST('2020-01-01 00:00:00' AS TIMESTAMP) AS date_activated FROM {customer}
         UNION ALL SELECT c_custkey + 1000000 AS mobile_id, '09' || substr(CAST(1000000000 + c_custkey AS VARCHAR(20)), 2, 9) AS sim_num, c_custkey % 100 + 500 AS logger_id, CAST('2022-01-01 00:00:00' AS TIMESTAMP) AS date_activated FROM {customer} WHERE c_custkey % 9 = 0""",
@@ -64,10 +65,10 @@ VIEWS: dict[str, str] = {
         data_ts + INTERVAL 30 MINUTE + INTERVAL 1 DAY * CAST(1 + o_orderkey % 2 AS INT) AS validity, CAST(CASE WHEN o_custkey % 4 = 0 THEN 0 ELSE 1 END AS INT) AS has_markers FROM {orders} JOIN {schedule} ON o_orderkey = release_id WHERE o_orderkey % 40 = 0
         UNION ALL SELECT o_orderkey AS event_id, o_custkey AS site_id, data_ts + INTERVAL 300 MINUTE + INTERVAL 30 MINUTE * CAST(o_orderkey / 80 % 7 AS INT) AS data_ts, CASE WHEN o_orderkey % 3 = 0 THEN 'M' ELSE 's' END AS alert_symbol, CAST(3 + o_orderkey % 2 AS INT) AS pub_sym_id,
         data_ts + INTERVAL 30 MINUTE + INTERVAL 3 DAY AS validity, CAST(CASE WHEN o_custkey % 4 = 0 THEN 0 ELSE 1 END AS INT) AS has_markers FROM {orders} JOIN {schedule} ON o_orderkey = release_id WHERE o_orderkey % 80 = 0""",
-    "seasons": """SELECT c_custkey AS site_id, CAST(m AS INT) AS month, CASE WHEN (c_custkey + m) % 2 = 0 THEN 'wet' ELSE 'dry' END AS season_type FROM {customer} CROSS JOIN (VALUES (1),(2),(3),(4),(5),(6),(7),(8),(9),(10),(11),(12)) AS mm(m) WHERE c_custkey % 3 = 0""",
+    "seasons": """SELECT c_custkey AS site_id, CAST(m AS INT) AS month, CASE WHEN (c_custkey + m) % 2 = 0 THEN 'wet' ELSE 'dry' END AS season_type FROM (SELECT c_custkey, each(1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12) AS m FROM {customer} WHERE c_custkey % 3 = 0) AS s1""",
     "plan": """SELECT * FROM (VALUES ('wet', 2), ('wet', 5), ('dry', 3)) AS p(season_type, iso_week_day)""",
     "releases": """SELECT release_id, site_id, data_ts, event, raising, lowering, 0 AS extended, CAST(1 + release_id % 4 AS INT) AS pub_sym_id FROM {schedule}""",
-    "sent_log": """SELECT release_id + 10000000 * k AS sent_id, site_id, site_id AS user_id, data_ts + INTERVAL 10 MINUTE * CAST(release_id % 31 + k * 9 AS INT) AS ts_written FROM {schedule} CROSS JOIN (VALUES (0),(1)) AS kk(k) WHERE release_id % 5 <> 0""",
+    "sent_log": """SELECT release_id + 10000000 * k AS sent_id, site_id, site_id AS user_id, data_ts + INTERVAL 10 MINUTE * CAST(release_id % 31 + k * 9 AS INT) AS ts_written FROM (SELECT *, each(0, 1) AS k FROM {schedule} WHERE release_id % 5 <> 0) AS s1""",
     "versions": """SELECT s_suppkey AS tsm_id, 'snr' || CAST(s_suppkey % 40 AS VARCHAR(20)) AS tsm_name, s_suppkey % 35 AS logger_id, CAST('2015-01-01 00:00:00' AS TIMESTAMP) + INTERVAL 1 DAY * CAST(s_suppkey % 50 AS INT) AS date_activated, CASE WHEN s_suppkey % 3 = 0 THEN CAST('2016-01-01 00:00:00' AS TIMESTAMP) + INTERVAL 1 DAY * CAST(s_suppkey AS INT) END AS date_deactivated FROM {supplier}""",
     "public_alerts": """SELECT event_id AS public_id, site_id, ts, ts_updated, alert_level FROM {intervals}""",
 }
@@ -102,6 +103,7 @@ VIEWS["messages"] = (
 )
 
 _REF = re.compile(r"\{([a-z_]+)\}")
+_EACH = re.compile(r"\beach\(([^)]*)\)")
 
 
 def _needs(names: list[str]) -> list[str]:
@@ -125,6 +127,7 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     text = VIEWS[name].replace("AS TIMESTAMP)", "AS TIMESTAMP_NTZ)")
+    text = _EACH.sub(r"explode(array(\1))", text)
     refs = {m: frame(spark, sf_dir, m) for m in set(_REF.findall(text))}
     return spark.sql(text, **refs)
 
@@ -132,7 +135,7 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def with_views(body: str) -> str:
     """DuckDB text: the views ``body`` names in braces as CTEs, then ``body``."""
     used = [m for m in dict.fromkeys(_REF.findall(body)) if m not in TABLES]
-    ctes = [f"{v} AS ({_REF.sub(r'\1', VIEWS[v])})" for v in _needs(used)]
+    ctes = [f"{v} AS ({_EACH.sub(r'unnest([\1])', _REF.sub(r'\1', VIEWS[v]))})" for v in _needs(used)]
     text = _REF.sub(r"\1", body).strip()
     if not ctes:
         return text

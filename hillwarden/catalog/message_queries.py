@@ -282,9 +282,22 @@ def _(i):
     return X.observation_measurements(_observations(i))
 
 
-@query("html_events", "M18")
+@query("html_events", "M18", "SELECT eq_id AS page_id, ts AS event_ts, 8.5::DOUBLE AS latitude, 126.25::DOUBLE AS longitude, depth, magnitude, 'Province' || (eq_id % 9) AS province, 'Town' || (eq_id % 7) AS municipality FROM {quakes} CROSS JOIN (VALUES (1), (2)) AS v(k) WHERE k = 1 OR eq_id % 2 = 0")
 def _(i):
-    return X.extract_html_events(i.pages)
+    td = lambda *c: F.concat(*[F.concat(F.lit("<td class='x'><b>"), x.cast("string"), F.lit(" </b></td>")) for x in c])
+    e = F.col("eq_id")
+    cells = td(F.date_format("ts", "dd MMMM yyyy - hh:mm a"), F.lit("8.50"), F.lit("126.25"), F.col("depth"), F.col("magnitude"),
+               F.concat(F.lit("011 km N of Town"), (e % 7).cast("string"), F.lit(" (Province"), (e % 9).cast("string"), F.lit(")")))
+    # every other page holds two events in one row
+    row = F.concat(F.lit("<tr>"), F.when(e % 2 == 0, F.concat(cells, cells)).otherwise(cells), F.lit("</tr>"))
+    html = F.concat(F.lit("<table><tr><th>Date</th></tr>"), row, F.lit("</table>"))
+    d = i.quakes.select(e.alias("page_id"), F.explode(F.array(html)).alias("html"))
+    return X.extract_html_events(d).select("page_id", "event_ts", "latitude", "longitude", "depth", "magnitude", "province", "municipality")
+
+
+@query("html_cells", "M18")
+def _(i):
+    return i.pages.select("page_id", F.size(X.html_cells()).alias("table_rows"))
 
 
 @query("parse_ledger", "M21", f"SELECT inbox_id, CASE WHEN inbox_id % 16 IN (0, 1, 8) THEN 1 ELSE -1 END AS read_status FROM {M}")

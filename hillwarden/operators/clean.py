@@ -14,22 +14,25 @@ AXES = ("x", "y", "z")
 
 def range_filter(df: DataFrame) -> DataFrame:
     """Unwrap valid overshoot, blank impossible axes, drop rows without x."""
-    fixed = {}
-    for a in AXES:
-        v = F.when((F.col(a) > -3072) & (F.col(a) < -2970), F.col(a) + 4096).otherwise(F.col(a))
-        fixed[a] = F.when(F.abs(v) <= 1126, v)
-    return df.withColumns(fixed).filter(F.col("x").isNotNull())
+    def fits(a):
+        return F.col(a).between(-1126, 1126)
+
+    def wrapped(a):
+        # unwrapped values always fit: -3071 .. -2971 become 1025 .. 1125
+        return (F.col(a) > -3072) & (F.col(a) < -2970)
+
+    d = df.filter(fits("x") | wrapped("x"))
+    return d.withColumns({a: F.when(fits(a), F.col(a)).when(wrapped(a), F.col(a) + 4096) for a in AXES})
 
 
 def magnitude() -> Column:
-    x, y, z = (F.col(a) / F.lit(1024.0) for a in AXES)
-    return F.sqrt(x * x + y * y + z * z)
+    x, y, z = (F.pow(F.col(a) / F.lit(1024.0), F.lit(2.0)) for a in AXES)
+    return F.sqrt(x + y + z)
 
 
 def orthogonal_filter(df: DataFrame, lim: float = 0.08) -> DataFrame:
     """Keep rows whose gravity vector has about unit length."""
-    m = magnitude()
-    return df.filter((m > 1 - lim) & (m < 1 + lim))
+    return df.filter(F.abs(magnitude() - 1.0) < lim)
 
 
 def slot_first(

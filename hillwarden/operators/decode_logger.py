@@ -91,10 +91,11 @@ def _v2_parts(messages: DataFrame, letters: str) -> DataFrame:
     Every derived column reads the text once, so that filters pushed below
     the projections stay small.
     """
-    m = F.col("msg")
+    old = F.col("msg")
     for types, letter in OLD_FORMS:
-        m = F.regexp_replace(m, rf"^([A-Z]{{5}}),([^,]{{2}}(?:{types})[^,]*),([^,]*)$", rf"$1*{letter}*$2*$3")
-    d = messages.withColumn("__m", F.regexp_replace(m, "/", ""))
+        old = F.regexp_replace(old, rf"^([A-Z]{{5}}),([^,]{{2}}(?:{types})[^,]*),([^,]*)$", rf"$1*{letter}*$2*$3")
+    old = F.regexp_replace(old, "/", "")
+    d = messages.withColumn("__m", F.when(F.contains("msg", F.lit(",")), old).otherwise(F.col("msg")))
     take = lambda k: F.regexp_extract("__m", V2_FORM, k)
     d = d.filter(F.col("__m").rlike(V2_FORM) & F.upper(take(2)).isin(*letters))
     d = d.select(

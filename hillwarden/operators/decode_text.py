@@ -139,12 +139,13 @@ def extract_observations(messages: DataFrame, sites: DataFrame, as_of: Column, m
     ok = err.isNull()
     value = lambda m: F.regexp_extract(m, r"\d{1,3}\.*\d{0,2}", 0).try_cast("double")
     meas = F.transform("__ms", lambda m: F.struct(F.substring(m, 1, 1).alias("marker_name"), value(m).alias("measurement")))
-    return d.select(
-        "inbox_id", err.alias("err_code"),
-        *[F.when(ok, F.col(c)).alias(c) for c in ("meas_type", "site_id", "site_code", "obs_ts", "weather")],
-        F.when(ok, F.substring(F.array_join("__names", " "), 1, 100)).alias("observer_name"),
-        F.when(ok, meas).alias("measurements"),
-    )
+    fields = [
+        err.alias("err_code"), *[F.when(ok, F.col(c)).alias(c) for c in ("meas_type", "site_id", "site_code", "obs_ts", "weather")],
+        F.when(ok, F.substring(F.array_join("__names", " "), 1, 100)).alias("observer_name"), F.when(ok, meas).alias("measurements"),
+    ]
+    # A generator, so that later filters on the outcome are not pushed into
+    # (and do not repeat) the chain of stages above.
+    return d.select("inbox_id", F.explode(F.array(F.struct(*fields))).alias("o")).select("inbox_id", "o.*")
 
 
 def observation_measurements(obs: DataFrame) -> DataFrame:

@@ -170,14 +170,16 @@ def roc(df: DataFrame, score: str, label: str, keys: Sequence[str] = (), bucket:
     g = df.groupBy(*keys, score).agg(
         F.sum(F.col(label).cast("bigint")).alias("__p"), F.sum((1 - F.col(label)).cast("bigint")).alias("__n")
     )
-    tot = g.groupBy(*keys).agg(F.sum("__p").alias("__pos"), F.sum("__n").alias("__neg"))
-    k = list(keys)
-    if not k:
-        g, tot, k = g.withColumn("__all", F.lit(0)), tot.withColumn("__all", F.lit(0)), ["__all"]
+    sums = [F.sum("__p").alias("__pos"), F.sum("__n").alias("__neg")]
+    if keys:
+        g, k = g.join(g.groupBy(*keys).agg(*sums), list(keys)), list(keys)
+    else:
+        g = g.sparkSession.sql("SELECT *, (SELECT sum(__p) FROM {g}) AS __pos, (SELECT sum(__n) FROM {g}) AS __neg, 0 AS __all FROM {g}", g=g)
+        k = ["__all"]
     d = scan(
         g, k, [score], {"tp": running_sum(F.col("__p")), "fp": running_sum(F.col("__n"))},
         F.floor(F.col(score) / F.lit(bucket)), reverse=True,
-    ).join(tot, k)
+    )
     return d.select(
         *keys, F.col(score).alias("threshold"), "tp", "fp",
         clean_round(F.try_divide(F.col("tp").cast("double"), F.col("__pos")), 6).alias("tpr"),
@@ -248,7 +250,7 @@ def spearman_with_order(df: DataFrame, keys: Sequence[str], value: str, order: s
         (F.rank().over(w.orderBy(value)) + (ties - 1) / 2.0).alias("__r"),
     )
     return d.groupBy(*keys).agg(
-        F.when(F.stddev_pop("__r") > 0, F.corr("__i", "__r")).alias("rho"), (F.max(value) - F.min(value)).alias("spread")
+        F.try_divide(F.covar_pop("__i", "__r"), F.stddev_pop("__i") * F.stddev_pop("__r")).alias("rho"), (F.max(value) - F.min(value)).alias("spread")
     )
 
 

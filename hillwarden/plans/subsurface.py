@@ -93,14 +93,12 @@ def subsurface_kinematics(
 def _all_nodes(sensors: DataFrame, ends: DataFrame) -> DataFrame:
     """Node registry for each end time: the result must hold them all.
 
-    The end times ride along as an array, so each sensor expands in place.
+    The end times enter as one array, so each sensor expands in place.
     """
-    arr = ends.agg(F.collect_set("end_ts").alias("__ends"))
-    s = sensors.select("tsm_id", "number_of_segments").withColumn("__one", F.lit(1))
-    return (
-        s.join(arr.withColumn("__one", F.lit(1)), "__one")
-        .select("tsm_id", "number_of_segments", F.explode("__ends").alias("end_ts"))
-        .select("end_ts", "tsm_id", F.explode(F.sequence(F.lit(1), F.col("number_of_segments"))).alias("node_id"))
+    return sensors.sparkSession.sql(
+        """SELECT end_ts, tsm_id, explode(sequence(1, number_of_segments)) AS node_id FROM
+        (SELECT tsm_id, number_of_segments, explode((SELECT collect_set(end_ts) FROM {ends})) AS end_ts FROM {sensors})""",
+        ends=ends, sensors=sensors,
     )
 
 
@@ -484,7 +482,7 @@ def drift_weeks(
     h = h.withColumns({"week_end": week_ending_sunday("slot"), "__i": F.row_number().over(hw).cast("double")})
     k = h.groupBy(*keys, "week_end").agg(
         clean_round(F.avg("vel"), 8).alias("vel"), clean_round(F.avg("acc"), 8).alias("acc"), F.count("mag").alias("n"),
-        F.when((F.count("mag") > 1) & (F.stddev_pop("mag") > 0), F.corr("mag", "__i")).alias("__r"),
+        F.try_divide(F.covar_pop("mag", "__i"), F.stddev_pop("mag") * F.stddev_pop("__i")).alias("__r"),
     )
     k = k.withColumn("r2", clean_round(F.col("__r") * F.col("__r"), 6)).drop("__r")
     return k.filter((F.col("r2") > min_r2) & (F.abs("acc") > min_acc) & (F.col("n") >= min_count))
