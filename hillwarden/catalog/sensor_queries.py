@@ -358,7 +358,7 @@ def _history(n):
     ).select(*NODE, (F.col("end_ts") - span(mins=F.col("k") * 30)).alias("ts"), "node_alert")
 
 
-@query("sensor_alerts", "P5,A8,I9", f"""WITH {KIN}, {AXES_ALERT}, {ADJ}, {HIST},
+@query("sensor_alerts", "P5,A8", f"""WITH {KIN}, {AXES_ALERT}, {ADJ}, {HIST},
 hot AS (SELECT tsm_id, node_id FROM val WHERE col_alert > 0),
 tn AS (SELECT tsm_id, node_id, CASE WHEN count(*) FILTER (node_alert > 0) > 3 THEN max(node_alert) ELSE 0 END AS t FROM hist JOIN hot USING (tsm_id, node_id) WHERE ts >= TIMESTAMP '{END}' - INTERVAL 3 HOUR AND ts <= TIMESTAMP '{END}' GROUP BY ALL),
 md AS (SELECT tsm_id, arg_max(col_alert, c * 100 + col_alert) AS m FROM (SELECT tsm_id, col_alert, count(*) AS c FROM val GROUP BY ALL) GROUP BY tsm_id)

@@ -82,3 +82,27 @@ def _(i):
 def _(i):
     shape = lambda s: s.select("ts", "user_id")
     return replay(i, "events", shape, lambda s: ST.silence_stream(s, "user_id", 3))
+
+
+@query("stream_acknowledgements", "T9", "SELECT event_id AS stat_id, CAST(event_id % 2 AS INT) AS alert_status FROM {events} WHERE event_type = 'purchase' AND event_id % 3 = 0")
+def _(i):
+    def build(s):
+        alerts = s.select(F.col("event_id").alias("stat_id"), "ts")
+        acks = s.filter("event_id % 3 = 0").select(
+            F.col("event_id").alias("stat_id"), (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("ts"), (F.col("event_id") % 2).cast("int").alias("alert_status")
+        )
+        return ST.ack_stream(alerts, acks)
+
+    d = replay(i, "events", lambda s: s.filter("event_type = 'purchase'"), build)
+    return d.filter("ts_ack IS NOT NULL").select("stat_id", "alert_status")
+
+
+@query("stream_decoded", "T1,M21", "SELECT event_id AS inbox_id, CASE WHEN event_id % 16 IN (0, 1, 2, 4, 5, 7, 8, 15) THEN 1 ELSE -1 END AS read_status FROM {events}")
+def _(i):
+    folder = _scratch(i.spark)
+    # land the texts as files, as a gateway would, then stream them
+    m = i.messages.select("inbox_id", "msg", "sim_num", "ts")
+    m.write.parquet(f"{folder}/landed")
+    src = ST.file_stream(i.spark, f"{folder}/landed", m.schema)
+    ST.decode_stream(src, f"{folder}/out", f"{folder}/ckpt").awaitTermination()
+    return i.spark.read.parquet(f"{folder}/out/ledger").select("inbox_id", "read_status")

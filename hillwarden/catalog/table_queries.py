@@ -125,3 +125,15 @@ def _(i):
 @query("drifting_nodes", "W24")
 def _(i):
     return P.drifting(P.drift_weeks(i.readings, NODE, ("ts", "event_id"), min_count=4, min_acc=0.0, min_r2=0.0), NODE, min_days=14)
+
+
+@query("marker_sheet", "I4", "SELECT 'SITE' || site_id AS site_code, 'Marker ' || marker_id AS marker_name, date_trunc('second', ts) AS ts, measurement AS meas FROM {markers}")
+def _(i):
+    from .stream_queries import _scratch
+
+    path = f"{_scratch(i.spark)}/sheet"
+    i.markers.select(
+        F.concat(F.lit("site"), F.col("site_id").cast("string")).alias("Site Code"), F.concat(F.lit("MARKER "), F.col("marker_id").cast("string")).alias("Marker Name"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("TS"), F.col("measurement").alias("Meas"),
+    ).write.csv(path, header=True)
+    return S.read_marker_csv(i.spark, path).select("site_code", "marker_name", "ts", "meas")

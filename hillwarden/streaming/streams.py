@@ -41,6 +41,8 @@ FAMILIES: dict[str, tuple[tuple[str, ...], Callable[[DataFrame], DataFrame]]] =
     "extensometer": (("extensometer",), D.decode_extensometer),
     "lidar": (("lidar",), D.decode_lidar),
     "gnss": (("gnss",), D.decode_gnss),
+    "tilt_vector": (("tilt_vector",), D.decode_tilt_vector),
+    "tilt_vector_v2": (("tilt_vector_v2",), D.decode_tilt_vector_v2),
     "piezo": (("piezo",), D.decode_piezo),
 }
 
