@@ -62,3 +62,15 @@ def test_right_closed_bins(spark):
     rows = [(1, "2024-01-01 00:30:00", 1.0), (1, "2024-01-01 00:30:01", 2.0), (1, "2024-01-01 01:00:00", 4.0)]
     r = S.resample_sum_right(_ts(spark, rows, "k int, ts string, v double"), ["k"], "v").orderBy("ts").collect()
     assert [(str(x.ts), x.v) for x in r] == [("2024-01-01 00:00:00", 1.0), ("2024-01-01 00:30:00", 6.0)]
+
+
+def test_drift_needs_four_weeks_one_way(spark):
+    from hillwarden.plans.subsurface import drifting
+
+    def weeks(node, days, signs):
+        return [(1, node, f"2024-01-{d:02d}" if d <= 31 else f"2024-02-{d - 31:02d}", s * 1e-4) for d, s in zip(days, signs)]
+
+    rows = weeks(1, [7, 14, 21, 28, 35], [1] * 5) + weeks(2, [7, 14, 21, 28, 35], [1, 1, -1, 1, 1]) + weeks(3, [7, 14, 35, 42], [1] * 4)
+    d = spark.createDataFrame(rows, "tsm_id int, node_id int, w string, vel double").withColumn("week_end", F.to_date("w"))
+    r = drifting(d, ["tsm_id", "node_id"]).collect()
+    assert [(x.node_id, str(x.since), str(x.until), x.weeks) for x in r] == [(1, "2024-01-07", "2024-02-04", 5)]
