@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hillwarden.llm import decontaminate, exact_dedup, licenses
+from hillwarden.llm import decontaminate, exact_dedup, langid, licenses, packing, token_files, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,32 @@ FROM (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+
 WINDOW w AS (PARTITION BY sha)"""
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("rk")
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 2048 tokens."""
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written as fixed-width blocks and read back."""
+    return token_files.read_tokens(token_files.write_tokens(_table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that stand inside a benchmark window."""
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("rk")
@@ -33,6 +59,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_language": op3_language,
+    "op10_toxicity": op10_toxicity,
+    "op4_packing": op4_packing,
+    "op9_token_files": op9_token_files,
     "op1_exact_dedup": op1_exact_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op8_license_scan": op8_license_scan,
