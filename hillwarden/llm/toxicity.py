@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -12,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hillwarden.llm.tables import keep, row_key
+
 WORD = re.compile(r"\w+")
 STEMS = (4, 5, 6)  # lengths of word beginnings that may become voters
 
@@ -63,7 +66,7 @@ def label_model(votes: np.ndarray, prior: np.ndarray, fire: np.ndarray, *, round
     classes' shares. fire[c]: first estimate of each voter's chance to fire in
     class c, held with `trust` pseudo-rows. Voters that fire together within
     the positive class share their evidence: a voter's weight is one over one
-    plus its correlations with the others.
+    plus its strong correlations (over 0.6) with the others.
     """
     rows, m = votes.shape
     x = np.column_stack([votes, ~votes.any(axis=1)]).astype(np.float64)
@@ -85,7 +88,7 @@ def label_model(votes: np.ndarray, prior: np.ndarray, fire: np.ndarray, *, round
             sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
             tied = np.clip(cov / np.outer(sd, sd), 0, 1)
             np.fill_diagonal(tied, 0)
-            weight = 1 / (1 + np.where(tied > 0.2, tied, 0).sum(axis=1))
+            weight = 1 / (1 + np.where(tied > 0.6, tied, 0).sum(axis=1))
     return post, weight[:m]
 
 
@@ -106,11 +109,21 @@ def linear(votes: np.ndarray, target: np.ndarray, *, ridge: float = 0.3, rounds:
     return w
 
 
+def _marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Adds the least hash of the text's runs of five words."""
+    for batch in batches:
+        marks = []
+        for text in batch["text"]:
+            w = WORD.findall(text.lower())
+            marks.append(min(zlib.crc32(" ".join(w[i : i + 5]).encode()) for i in range(max(1, len(w) - 4))) if w else -1)
+        yield batch.assign(mark=np.array(marks, np.int64))[["mark", "text", "toxic"]]
+
+
 def learn(labelled: DataFrame, *, fit_rows: int = 20_000, max_voters: int = 400, least: int = 3, precision: float = 0.6) -> Model:
     """Model from a bounded sample (`fit_rows` in expectation, by hash) of rows with text and toxic 0/1.
 
     Words and beginnings of words that stand in at least `least` rows labelled
-    1 and are that precise become voters. The label model sees votes only.
+    1, are that precise and are tied to the label beyond chance become voters. The label model sees votes only.
     With no row of either label, nothing is called toxic.
     """
     labelled = labelled.where("toxic is not null and text is not null")
@@ -120,6 +133,8 @@ def learn(labelled: DataFrame, *, fit_rows: int = 20_000, max_voters: int = 400,
         return Model()
     chance = F.pmod(F.xxhash64("text", F.lit(9)), F.lit(1 << 30)) / float(1 << 30)
     sample = labelled.where(chance < min(1.0, fit_rows / total)).select("text", "toxic")
+    # near copies of one text count once, or all its words would look like voters
+    sample = keep(sample.mapInPandas(_marked, "mark long, text string, toxic int").dropDuplicates(["mark"]).drop("mark"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -133,8 +148,12 @@ def learn(labelled: DataFrame, *, fit_rows: int = 20_000, max_voters: int = 400,
     base = sizes[1] / total
     counts = sample.mapInPandas(count, "sign string, clean long, bad long").groupBy("sign").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad"))
     # precision is judged with the classes' true odds, shrunk towards them
-    exact = (F.col("bad") + 1.0 * base) / (F.col("bad") + F.col("clean") + 1.0)
-    chosen = counts.where((F.col("bad") >= least) & (exact >= precision)).orderBy(F.desc("bad"), "clean", "sign").limit(max_voters).toPandas()
+    n = F.col("bad") + F.col("clean")
+    exact = (F.col("bad") + base) / (n + 1.0)
+    gain = F.col("bad") * F.log(F.col("bad") / n / base) + F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / n / (1 - base))).otherwise(0.0)
+    counts = keep(counts.where(n >= least))
+    chance = float(np.log(max(1, counts.count())))  # of so many signs, some stand in bad rows alone by chance
+    chosen = counts.where((F.col("bad") >= least) & (exact >= precision) & (gain > chance)).orderBy(F.desc("bad"), "clean", "sign").limit(max_voters).toPandas()
     if not len(chosen):
         return Model()
     first = Model(chosen["sign"].tolist(), np.zeros(len(chosen)))
@@ -180,8 +199,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, fit_rows: int = 20_000, thre
     label and no remainder (held_out is null). Null text counts as empty.
     Repeated rows are scored each. Texts are read whole; other columns are not.
     """
-    from hillwarden.llm.tables import row_key
-
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("rk"), (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("held_out"), "text")
     toxic = labels.where("toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
     return score(base, learn(base.where("not held_out").select("doc_id", "text").join(toxic, "doc_id"), fit_rows=fit_rows), threshold=threshold)
