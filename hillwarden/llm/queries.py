@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hillwarden.llm import class_lm, decontaminate, exact_dedup, langid, licenses, near_dup, packing, token_files, toxicity
+from hillwarden.llm import class_lm, decontaminate, exact_dedup, langid, licenses, near_dup, packing, pii, token_files, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,11 @@ def op2_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return class_lm.class_scores(_table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data spans of every document."""
+    return pii.detect(_table(spark, sf_dir, "documents")).drop("rk")
+
+
 def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents")).drop("rk")
@@ -69,6 +74,7 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_pii": op5_pii,
     "op2_class_lm": op2_class_lm,
     "op7_near_dup": op7_near_dup,
     "op3_language": op3_language,
