@@ -153,7 +153,7 @@ def _both(pairs: DataFrame, side: DataFrame, column: str) -> DataFrame:
     return pairs.join(side.select(F.col("rid").alias("a"), F.col(column).alias("x")), "a").join(side.select(F.col("rid").alias("b"), F.col(column).alias("y")), "b")
 
 
-def verified(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
+def verified(pairs: DataFrame, sketches: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b, similarity) among candidate pairs: first by registers, then by exact shingle sets.
 
     Only sketches that stand in a pair are shuffled; a bounded bitmap of their
@@ -161,7 +161,7 @@ def verified(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFr
     """
     pairs = keep(pairs)
     near = keep(_agree(_both(pairs, _only(sketches.select("rid", "sig"), pairs), "sig"), similarity - 0.2))
-    links = _jaccard(_both(near, _only(sketches.select("rid", "shingles"), near), "shingles"))
+    links = _jaccard(_both(near, _only(rows.select("rid", "shingles"), near), "shingles"))
     return keep(links.where(F.col("similarity") >= similarity))
 
 
@@ -199,9 +199,9 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, sma
     with equal weighted shingles are one text from the start. Candidates share
     one of 25 bands of five ProbMinHash registers. Buckets of up to `small`
     texts compare all their pairs. In a larger one each text is compared with
-    the bucket's pivot, and with those that share a second band of it; then,
-    while a bucket still holds several classes, with new pivots, one for each
-    of its classes in turn. So the work grows with a bucket's size and not its
+    the bucket's pivot. While a bucket still holds several classes, texts of
+    different ones are compared if they share a second band, then with pivots
+    drawn anew, one of its classes in turn. So the work grows with a bucket's size and not its
     square, whatever the group.
 
     Null and empty texts, and others without words, are alike only if equal
@@ -211,7 +211,7 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, sma
     """
     rows = keep(sketch(docs, k))
     reps = keep(rows.groupBy("same").agg(F.min("rid").alias("rid")))
-    sketches = keep(rows.join(reps.select("rid"), "rid").select("rid", "bands", "sig", "shingles"))
+    sketches = keep(rows.select("rid", "bands", "sig").join(reps.select("rid"), "rid"))
     inside = sketches.select("rid", F.posexplode("bands").alias("band", "key"))
     buckets = keep(inside.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(_lot("rid", 0), "rid")).getField("rid").alias("pivot")).where("n > 1"))
     members = keep(inside.join(buckets, "key"))
@@ -220,32 +220,22 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, sma
     pairs = few.select(F.explode("r").alias("a"), "r").select("a", F.explode("r").alias("b")).where("a < b")
     large = members.where(F.col("n") > small)
     star = large.where("rid != pivot").select(F.least("rid", "pivot").alias("a"), F.greatest("rid", "pivot").alias("b"))
-    # within a large bucket, those that also share another of three bands
-    finer = large.join(sketches.select("rid", "bands"), "rid").select(
-        "rid", F.explode(F.array(*[F.xxhash64("key", F.expr(f"bands[(band + {d}) % {BANDS}]")) for d in (1, 7, 12)])).alias("key")
-    )
-    cells = keep(finer.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(_lot("rid", 1), "rid")).getField("rid").alias("pivot")).where("n > 1"))
-    finer = keep(finer.join(cells, "key"))
-    few = finer.where(F.col("n") <= small).groupBy("key").agg(F.sort_array(F.collect_set("rid")).alias("r"))
-    closer = few.select(F.explode("r").alias("a"), "r").select("a", F.explode("r").alias("b")).where("a < b")
-    spokes = finer.where((F.col("n") > small) & F.expr("rid != pivot")).select(F.least("rid", "pivot").alias("a"), F.greatest("rid", "pivot").alias("b"))
-    links = verified(pairs.union(star).union(closer).union(spokes).distinct(), sketches, similarity)
+    links = verified(pairs.union(star).distinct(), sketches, rows, similarity)
     label = components(links)
 
-    crowds = large.select("key", "rid")
     if large.limit(1).count():
         for r in range(rounds):
-            now = keep(crowds.join(label, "rid", "left").withColumn("comp", F.coalesce("comp", "rid")))
-            open_ = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-            now = now.join(open_, "key")
-            # one class of each bucket, another each round, and a pivot of it
-            pivots = now.groupBy("key").agg(F.min(F.struct(_lot("comp", 10 + r), _lot("rid", 20 + r), "rid", "comp")).alias("p")).select("key", F.col("p.rid").alias("pivot"), F.col("p.comp").alias("class"))
-            more = now.join(keep(pivots), "key").where("comp != class").select(F.least("rid", "pivot").alias("a"), F.greatest("rid", "pivot").alias("b")).distinct()
-            found = verified(more, sketches, similarity)
-            if found.limit(1).count() == 0:
-                continue
-            links = keep(links.union(found))
-            label = components(links)
+            now = large.select("key", "band", "rid").join(label, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
+            now = keep(now)
+            mixed_ = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+            now = keep(now.join(mixed_, "key"))
+            if now.limit(1).count() == 0:
+                break
+            more = _cells(now, sketches, small) if r == 0 else _pivots(now, r)
+            found = verified(more.distinct(), sketches, rows, similarity)
+            if found.limit(1).count():
+                links = keep(links.union(found))
+                label = components(links)
 
     comp = rows.select("rid", "doc_id", "rk", "same").join(reps.withColumnRenamed("rid", "rep"), "same")
     comp = keep(comp.join(label.withColumnRenamed("rid", "rep"), "rep", "left").select("rid", "doc_id", "rk", F.coalesce("comp", "rep").alias("comp")))
@@ -253,5 +243,29 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, sma
     return comp.join(keep(best), "comp").select("doc_id", "rk", "class_id", "class_size", (F.col("rid") == F.col("first")).alias("kept"))
 
 
+def _cells(now: DataFrame, sketches: DataFrame, small: int) -> DataFrame:
+    """Pairs of different classes that share, beside a crowded bucket, another of three bands with it; in large cells pairs with a pivot."""
+    finer = now.join(sketches.select("rid", "bands"), "rid").select(
+        "rid", "comp", F.explode(F.array(*[F.xxhash64("key", F.expr(f"bands[(band + {d}) % {BANDS}]")) for d in (1, 7, 12)])).alias("cell")
+    )
+    finer = keep(finer)
+    cells = keep(
+        finer.groupBy("cell").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct(_lot("rid", 1), "rid", "comp")).alias("p"))
+        .where("lo < hi").select("cell", "n", F.col("p.rid").alias("pivot"), F.col("p.comp").alias("class"))
+    )
+    finer = keep(finer.join(cells, "cell"))
+    few = finer.where(F.col("n") <= small).groupBy("cell").agg(F.collect_set(F.struct("rid", "comp")).alias("r"))
+    pairs = few.select(F.explode("r").alias("x"), "r").select("x", F.explode("r").alias("y")).where("x.rid < y.rid and x.comp != y.comp")
+    spokes = finer.where((F.col("n") > small) & F.expr("comp != class")).select(F.least("rid", "pivot").alias("a"), F.greatest("rid", "pivot").alias("b"))
+    return pairs.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).union(spokes)
+
+
+def _pivots(now: DataFrame, seed: int) -> DataFrame:
+    """Pairs of a crowded bucket's members with a pivot of another class, a class and a pivot of it drawn anew each round."""
+    pivots = now.groupBy("key").agg(F.min(F.struct(_lot("comp", 10 + seed), _lot("rid", 20 + seed), "rid", "comp")).alias("p"))
+    pivots = keep(pivots.select("key", F.col("p.rid").alias("pivot"), F.col("p.comp").alias("class")))
+    return now.join(pivots, "key").where("comp != class").select(F.least("rid", "pivot").alias("a"), F.greatest("rid", "pivot").alias("b"))
+
+
 def _lot(column: str, seed: int) -> Column:
     return F.xxhash64(column, F.lit(seed)).alias(f"lot_{column}")
