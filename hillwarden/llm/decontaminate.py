@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hillwarden.llm.tables import row_key
+from hillwarden.llm.tables import keep, row_key
 
 SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # before A-Z are lowered
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Low bits of a packed fingerprint hold the place of its k-gram; no string has 2**30 words.
-PLACE_BITS = 30
-PLACE_MASK = (1 << PLACE_BITS) - 1
+#: Stands in a document's prints once, so that its row is met after they are dealt out.
+SELF = -(1 << 63)
 
 
 def words_of(text: Column) -> Column:
@@ -23,105 +21,108 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(lowered, F.lit("")), SPLIT), lambda w: w != "")
 
 
-def gram_size(window: int, k: int) -> int:
-    return min(k, window)
+def gram_size(window: int) -> int:
+    """Words in a k-gram for windows of so many: the largest of 1, 2, 4, 8 that fits."""
+    return 1 << (min(8, window).bit_length() - 1)
 
 
-def packed_grams(codes: Column, k: int) -> Column:
-    """For each k-gram its hash in the high bits and, below, a number that falls with its place."""
-    return F.transform(
-        F.sequence(F.lit(0), F.size(codes) - k),
-        lambda i: F.shiftleft(F.xxhash64(F.slice(codes, i + 1, k)), PLACE_BITS).bitwiseOR(F.lit(PLACE_MASK) - i.cast("long")),
-    )
-
-
-def fingerprints(codes: str, window: int, k: int) -> Column:
-    """Least k-gram of every window of words, rightmost of equals, each once: array of (size, print, place).
+def with_prints(rows: DataFrame, sizes: list[int]) -> DataFrame:
+    """rows (with `words`) and a column `prints`: of every window its least k-gram hash, each once.
 
-    Any shared span of `window` words shares its least k-gram, so each such
-    span has a fingerprint in common.
+    k-grams double up from words, and so do least values over runs of k-grams.
+    Every step is a column of its own that the next reads twice, so Catalyst
+    does not put it, as a whole, inside the next one's lambda.
     """
-    k = gram_size(window, k)
-    span = window - k + 1
-    grams = F.col(f"grams{k}")
-    # grams stands twice here, which keeps Catalyst from computing it anew for each window
-    least = F.array_distinct(F.transform(F.slice(grams, 1, F.size(grams) - span + 1), lambda _, i: F.array_min(F.slice(grams, i + 1, span)))) if span > 1 else grams
-    return F.when(
-        F.size(codes) >= window,
-        F.transform(
-            least,
-            lambda p: F.struct(
-                F.lit(window).alias("size"),
-                F.shiftright(p, PLACE_BITS).alias("print"),
-                (F.lit(PLACE_MASK) - p.bitwiseAND(F.lit(PLACE_MASK))).cast("int").alias("place"),
-            ),
-        ),
-    ).otherwise(F.array().cast("array<struct<size:int,print:bigint,place:int>>"))
-
-
-def with_prints(rows: DataFrame, sizes: list[int], k: int) -> DataFrame:
-    """rows (with `words`) and a column `prints` for all window sizes."""
-    rows = rows.withColumn("codes", F.transform("words", lambda w: F.xxhash64(w)))
-    for g in sorted({gram_size(n, k) for n in sizes}):
-        rows = rows.withColumn(f"grams{g}", F.when(F.size("codes") >= g, packed_grams(F.col("codes"), g)).otherwise(F.array().cast("array<bigint>")))
-    prints = [fingerprints("codes", n, k) for n in sizes]
-    return rows.withColumn("prints", prints[0] if len(prints) == 1 else F.concat(*prints))
+    largest = max(gram_size(n) for n in sizes)
+    rows = rows.withColumn("grams1", F.transform("words", lambda w: F.xxhash64(w)))
+    k = 1
+    while k < largest:
+        g = F.col(f"grams{k}")
+        rows = rows.withColumn(f"grams{2 * k}", F.zip_with(g, F.slice(g, k + 1, F.size(g)), lambda x, y: F.xxhash64(x, y)))
+        k *= 2
+    prints = []
+    for n in sizes:
+        k = gram_size(n)
+        left, done, at = n - k + 1, 1, f"grams{k}"
+        while done < left:
+            step = min(done, left - done)
+            m = F.col(at)
+            at = f"least{n}_{done + step}"
+            rows = rows.withColumn(at, F.zip_with(m, F.slice(m, step + 1, F.size(m)), lambda x, y: F.least(x, y)))
+            done += step
+        prints.append(F.when(F.size("words") >= n, F.slice(at, 1, F.size("words") - n + 1)).otherwise(F.array().cast("array<bigint>")))
+    return rows.withColumn("prints", F.array_distinct(F.concat(F.array(F.lit(SELF)), *prints)))
+
+
+def starts(sizes: list[int]) -> Column:
+    """Where windows of `size` begin that hold a k-gram of hash `print`."""
+    def of(n: int) -> Column:
+        k = gram_size(n)
+        places = F.filter(F.sequence(F.lit(0), F.size("words") - k), lambda i: F.get(f"grams{k}", i) == F.col("print"))
+        around = lambda p: F.sequence(F.greatest(F.lit(0), p - (n - k)), F.greatest(F.lit(0), F.least(p, F.size("words") - n)))
+        return F.when(F.size("words") >= n, F.array_distinct(F.flatten(F.transform(places, around))))
+
+    out = F.lit(None).cast("array<int>")
+    for n in sizes:
+        out = F.when(F.col("size") == n, of(n)).otherwise(out)
+    return out
 
 
 def gram_at(start: Column, size: Column) -> Column:
     return F.array_join(F.slice("words", start + 1, size), " ")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, k: int = 5, max_broadcast: int = 2_000_000) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, max_broadcast: int = 2_000_000) -> DataFrame:
     """One row per row of docs: doc_id, rk, n_words, n_hit, n_items, items_sha256, contaminated.
 
-    Winnowing keeps the least k-gram hash of each run of window - k + 1 of
-    them. Fingerprints of documents are joined to those of the benchmark's
-    windows; a hit is extended to every window around it and compared word for
-    word, so the result is exact. Benchmark windows up to `max_broadcast` are
-    broadcast; beyond that both joins are shuffled.
+    Winnowing keeps, of each window's k-gram hashes (k is 8 for the usual
+    window), the least. Any span as long as a window thus has a print in
+    common with it. Prints of documents are joined to those of the benchmark's
+    windows; a hit is extended to every window around it, which is compared
+    word for word, so the result is exact. Benchmark windows up to
+    `max_broadcast` are broadcast, so texts are not shuffled; beyond that
+    narrow rows are joined by shuffle, and then the words of documents hit.
 
     A word inside any occurrence of an item window counts as hit. An item
     shorter than the window is one window; null, empty and wordless items and
-    texts have none. Repeated items count once per item_id; null item_ids are
-    windows but not counted as items. Repeated rows of docs get equal results.
+    texts have none. Repeated items count once per item_id; windows of items
+    without an id are hits of no item. Repeated rows of docs get equal results.
     Texts of any length are read whole; other columns are ignored.
     """
-    items = benchmark.select(F.col("item_id"), words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
+    items = keep(benchmark.select(F.col("item_id"), words_of(F.col("text")).alias("words")).where(F.size("words") > 0))
     items = items.withColumn("size", F.least(F.size("words"), F.lit(window)))
-    grams = (
+    grams = keep(
         items.select("item_id", "size", "words", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("size"))).alias("start"))
         .select("item_id", "size", F.slice("words", F.col("start") + 1, F.col("size")).alias("words"))
         .withColumn("gram", F.array_join("words", " "))
     )
-    sizes = sorted(r["size"] for r in grams.select("size").distinct().collect())  # at most `window` values
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_key().alias("rk"))
-    counted = base.select("doc_id", "rk", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("n_words"))
-    if not sizes:
-        sizes = [window]
+    sizes = sorted(r["size"] for r in grams.select("size").distinct().collect()) or [window]  # at most `window` values
     windows = grams.groupBy("size", "gram").agg(F.first("words").alias("words"))
-    small = windows.count() <= max_broadcast
+    wanted = keep(with_prints(windows, sizes).select("size", F.explode_outer("prints").alias("print")).where(F.col("print") != SELF).distinct())
+    owners = keep(grams.groupBy("size", "gram").agg(F.collect_set(F.col("item_id").cast("string")).alias("items")))
+    small = max(wanted.count(), owners.count()) <= max_broadcast
     side = F.broadcast if small else (lambda d: d)
-    wanted = with_prints(windows, sizes, k)
-    # explode() would push a filter on the array's size, and with it the whole expression, below every step of it
-    wanted = wanted.select(F.explode_outer("prints").alias("p"), "size").where("p.size = size").select("p.size", "p.print").distinct()
 
-    read = with_prints(base.select("rk", words_of(F.col("text")).alias("words")), sizes, k)
-    found = read.select("rk", "words", F.explode_outer("prints").alias("p")).select("rk", "words", "p.size", "p.print", "p.place")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("rk"), words_of(F.col("text")).alias("words"))
+    read = with_prints(base, sizes)
+    carried = sorted({f"grams{gram_size(n)}" for n in sizes})
+    # explode() would push a filter on the array's size, and with it the whole expression, below every step of it
+    found = read.select("doc_id", "rk", "words", *carried, F.explode_outer("prints").alias("print"))
+    itself = F.col("print") == SELF
     if small:
-        near = found.join(side(wanted), ["size", "print"])
-    else:  # narrow rows meet first, then the words of the few documents that are hit
-        places = found.select("rk", "size", "print", "place").join(wanted, ["size", "print"])
-        near = places.join(base.select("rk", words_of(F.col("text")).alias("words")).dropDuplicates(["rk"]), "rk")
-    span = F.col("size") - F.least(F.col("size"), F.lit(k)) + 1
-    first = F.greatest(F.lit(0), F.col("place") - span + 1)
-    last = F.least(F.col("place"), F.size("words") - F.col("size"))
-    around = near.where(first <= last).select(
-        "rk", "size", F.explode(F.transform(F.sequence(first, last), lambda i: F.struct(i.alias("start"), gram_at(i, F.col("size")).alias("gram")))).alias("w")
-    ).select("rk", "size", "w.start", "w.gram")
-    owners = grams.groupBy("size", "gram").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
-    hits = around.join(side(owners), ["size", "gram"]).groupBy("rk").agg(
-        F.collect_set(F.struct("start", "size")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
+        near = found.join(side(wanted), "print", "left").where(F.col("size").isNotNull() | itself)
+    else:
+        hit = keep(found.select("rk", "print").where(~itself).join(wanted, "print").distinct())
+        near = found.where(itself).select("doc_id", "rk", "words", *carried).join(hit.unionByName(hit.select("rk").distinct().select("rk", F.lit(SELF).alias("print"), F.lit(None).cast("int").alias("size"))), "rk", "left")
+        near = near.withColumn("print", F.coalesce("print", F.lit(SELF)))
+    at = F.when(itself, F.array(F.struct(F.lit(-1).alias("start"), F.lit("").alias("gram")))).otherwise(
+        F.transform(starts(sizes), lambda i: F.struct(i.alias("start"), gram_at(i, F.col("size")).alias("gram")))
+    )
+    around = near.select("doc_id", "rk", F.when(itself, F.size("words")).alias("n"), "size", F.explode_outer(at).alias("w"))
+    hits = around.select("doc_id", "rk", "n", "size", "w.start", "w.gram").join(side(owners), ["size", "gram"], "left").where("n is not null or items is not null")
+    rows = hits.groupBy("rk", "doc_id").agg(
+        F.max("n").cast("long").alias("n_words"), F.count("n").cast("int").alias("copies"),
+        F.collect_set(F.when(F.col("items").isNotNull(), F.struct("start", "size"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
     covered = F.aggregate(
         F.array_sort("spans"),
@@ -130,12 +131,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, k:
             (a["n"] + F.greatest(F.lit(0), x["start"] + x["size"] - F.greatest(x["start"], a["end"]))).alias("n"), F.greatest(a["end"], x["start"] + x["size"]).alias("end")
         ),
     )["n"]
-    hits = hits.select("rk", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
-    none = F.sha2(F.lit(""), 256)
-    return counted.join(hits, "rk", "left").select(
-        "doc_id", "rk", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
-        F.coalesce("items_sha256", none).alias("items_sha256"), F.col("n_hit").isNotNull().alias("contaminated"),
+    result = rows.select(
+        "doc_id", "rk", "n_words", covered.cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"), "copies",
     )
+    return result.withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies")
 
 
 # The same in DuckDB's SQL, by a plain join of all windows.
