@@ -64,6 +64,8 @@ def fractional(demand: np.ndarray, rounds: int, slack: float, rate: float) -> li
     """
     size = len(demand) - 1
     lengths = np.flatnonzero(demand)
+    if not len(lengths):
+        return []
     need = np.maximum(demand, 1).astype(float)
     covered = np.zeros(size + 1)
     noise = np.random.default_rng(7)

@@ -74,8 +74,8 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         lo = starts[i]
         j = max(i + 1, int(np.searchsorted(ends, lo + PIECE, "right")))
         n = int(ends[j - 1] - lo)
-        if n > size:
-            size = max(n, min(PIECE, len(data)))
+        if n > size or not size:
+            size = max(1, n, min(PIECE, len(data)))
             up = np.full(size, BASE, np.uint64)
             up[:1] = 1
             up = np.cumprod(up)
