@@ -183,9 +183,9 @@ def _(i):
     return Q.quake_alerts(i.quakes, i.sites).withColumns({"critical_distance": clean_round("critical_distance", 6), "distance": clean_round("distance", 3)})
 
 
-@query("quakes_processed", "J7", f"WITH {QPAIR} SELECT eq_id, CASE WHEN bool_or(magnitude >= 4 AND d <= crit) THEN 1 ELSE -1 END AS processed FROM qp GROUP BY eq_id")
+@query("quakes_processed", "J7", "SELECT eq_id, CASE WHEN isfinite(magnitude::DOUBLE) AND isfinite(latitude::DOUBLE) AND isfinite(longitude::DOUBLE) THEN 1 ELSE -1 END AS processed FROM {quakes}")
 def _(i):
-    return Q.mark_processed(i.quakes, Q.quake_alerts(i.quakes, i.sites))
+    return Q.mark_processed(i.quakes)
 
 
 @query("quake_triggers", "P14", f"WITH {QPAIR} SELECT DISTINCT site_id, ts, ts AS ts_updated, 'earthquake' AS trigger_source, 1 AS alert_level FROM qp WHERE magnitude >= 4 AND d <= crit")

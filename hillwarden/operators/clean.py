@@ -183,13 +183,13 @@ MOISTURE_GAIN = 20_000_000.0
 
 
 def soms_calibrate(df: DataFrame, sensors: DataFrame, gains: dict[str, float] | None = None) -> DataFrame:
-    """Moisture from the two raw counts; version 2 only. ``gains`` by sensor name."""
+    """Moisture from the two raw counts; version 2 only, others keep both. ``gains`` by sensor name."""
     k = F.lit(MOISTURE_GAIN)
     for n, g in (gains or {}).items():
         k = F.when(F.col("tsm_name") == n, F.lit(g)).otherwise(k)
     d = df.join(sensors.select("tsm_id", "version"), "tsm_id")
     cal = (F.try_divide(k, F.col("mval1")) - F.try_divide(k, F.col("mval2"))) * 4 / 10
-    return d.withColumn("mval1", F.when(F.col("version") == 2, cal).otherwise(F.col("mval1"))).drop("mval2")
+    return d.withColumn("mval1", F.when(F.col("version") == 2, cal).otherwise(F.col("mval1"))).withColumn("mval2", F.when(F.col("version") == 2, F.lit(None)).otherwise(F.col("mval2")))
 
 
 def soms_validate(df: DataFrame, sensors: DataFrame) -> DataFrame:

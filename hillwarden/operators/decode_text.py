@@ -162,7 +162,7 @@ def observation_measurements(obs: DataFrame) -> DataFrame:
 def extract_quakes(messages: DataFrame) -> DataFrame:
     """Agency bulletin: every field but the issuer must be there."""
     m = "msg"
-    date = F.upper(found(m, r"(?i)\d{1,2}\w+201[6789]"))
+    date = F.upper(found(m, r"(?i)\d{1,2}[a-z]+\d{4}"))
     time = F.upper(F.regexp_replace(F.replace(found(m, r"(?i)\d{1,2}[:\.]\d{1,2} *[AP]M"), F.lit(" "), F.lit("")), r"\.", ":"))
     depth = found(found(m, r"(?i)(?<=D)\D+(?<=[\=\:]) *\d+((?= )|(?=K*M))"), r"\d+")
     stamp = F.try_to_timestamp(
@@ -260,7 +260,7 @@ SYNC_TABLES = {
 def decode_sync(messages: DataFrame) -> DataFrame:
     """Key, then rows split by ``||`` and fields by ``<*>``."""
     tables = F.create_map(*[F.lit(x) for kv in SYNC_TABLES.items() for x in kv])
-    f = F.split("msg", ":")
+    f = F.split("msg", ":", 2)  # values may hold colons
     d = messages.withColumn("__f", f).filter(F.size("__f") >= 2)
     d = d.select("inbox_id", "ts", tables[F.col("__f")[0]].alias("target"), F.posexplode(F.split(F.col("__f")[1], r"\|\|")).alias("row_no", "__row"))
     return d.filter("target IS NOT NULL").select("inbox_id", "ts", "target", "row_no", F.split("__row", r"<\*>").alias("fields"))

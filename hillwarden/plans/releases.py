@@ -231,8 +231,8 @@ def match_text(due: DataFrame, sent: DataFrame, hours: int = 4) -> DataFrame:
 
 
 def unsent(matched: DataFrame, names: DataFrame) -> DataFrame:
-    """Recipients without a message, per release."""
-    return matched.filter("ts_written IS NULL").join(names, "site_id").select("release_id", "site_id", "site_name", "user_id").distinct()
+    """Recipients without a message, per release; a site without a name keeps its rows."""
+    return matched.filter("ts_written IS NULL").join(names, "site_id", "left").select("release_id", "site_id", "site_name", "user_id").distinct()
 
 
 def missing_offices(matched: DataFrame, required: list[str]) -> DataFrame:

@@ -74,3 +74,31 @@ def test_drift_needs_four_weeks_one_way(spark):
     d = spark.createDataFrame(rows, "tsm_id int, node_id int, w string, vel double").withColumn("week_end", F.to_date("w"))
     r = drifting(d, ["tsm_id", "node_id"]).collect()
     assert [(x.node_id, str(x.since), str(x.until), x.weeks) for x in r] == [(1, "2024-01-07", "2024-02-04", 5)]
+
+
+def test_quakes_without_a_finite_magnitude_or_place_raise_nothing(spark):
+    from hillwarden.plans import earthquake as Q
+
+    nan = float("nan")
+    rows = [(1, "2024-01-01", 6.5, None, 10.0, 120.0), (2, "2024-01-01", nan, 5.0, 10.0, 120.0), (3, "2024-01-01", 6.5, 5.0, float("inf"), 120.0), (4, "2024-01-01", 2.0, 5.0, 10.0, 120.0), (5, "2024-01-01", None, 5.0, 10.0, 120.0)]
+    q = _ts(spark, rows, "eq_id int, ts string, magnitude double, depth double, latitude double, longitude double")
+    sites = spark.createDataFrame([(7, 10.01, 120.0), (8, -60.0, -30.0)], "site_id int, latitude double, longitude double")
+    assert [(r.eq_id, r.site_id) for r in Q.quake_alerts(q, sites).collect()] == [(1, 7)]
+    assert {r.eq_id: r.processed for r in Q.mark_processed(q).collect()} == {1: 1, 2: -1, 3: -1, 4: 1, 5: -1}
+
+
+def test_second_counts_stay_where_they_are_not_calibrated(spark):
+    from hillwarden.operators import clean as C
+
+    d = spark.createDataFrame([("a", 1, 10.0, 20.0), ("b", 2, 10.0, 20.0)], "tsm_name string, tsm_id int, mval1 double, mval2 double")
+    s = spark.createDataFrame([(1, 2), (2, 3)], "tsm_id int, version int")
+    got = {r.tsm_name: (r.mval1, r.mval2) for r in C.soms_calibrate(d, s).collect()}
+    assert got["a"][1] is None and got["a"][0] != 10.0 and got["b"] == (10.0, 20.0)
+
+
+def test_unsent_keeps_sites_without_a_name(spark):
+    from hillwarden.plans import releases as R
+
+    m = spark.createDataFrame([(1, 5, None, 9), (2, 6, None, 9)], "release_id int, site_id int, ts_written string, user_id int")
+    n = spark.createDataFrame([(5, "north")], "site_id int, site_name string")
+    assert {(r.release_id, r.site_name) for r in R.unsent(m, n).collect()} == {(1, "north"), (2, None)}
