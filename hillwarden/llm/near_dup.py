@@ -201,7 +201,7 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, sma
     texts compare all their pairs. In a larger one each text is compared with
     the bucket's pivot. While a bucket still holds several classes, texts of
     different ones are compared if they share a second band, then with pivots
-    drawn anew, one of its classes in turn. So the work grows with a bucket's size and not its
+    drawn anew, one of its classes in turn, until a draw links nothing. So the work grows with a bucket's size and not its
     square, whatever the group.
 
     Null and empty texts, and others without words, are alike only if equal
@@ -236,6 +236,8 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, sma
             if found.limit(1).count():
                 links = keep(links.union(found))
                 label = components(links)
+            elif r:
+                break
 
     comp = rows.select("rid", "doc_id", "rk", "same").join(reps.withColumnRenamed("rid", "rep"), "same")
     comp = keep(comp.join(label.withColumnRenamed("rid", "rep"), "rep", "left").select("rid", "doc_id", "rk", F.coalesce("comp", "rep").alias("comp")))
