@@ -191,7 +191,7 @@ def components(links: DataFrame, limit: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, small: int = 48, rounds: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, small: int = 48, rounds: int = 5) -> DataFrame:
     """One row per row of docs: doc_id, rk, class_id (least doc_id of its class), class_size, kept.
 
     Two texts are linked if the Jaccard similarity of their sets of k-word
@@ -199,10 +199,12 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, sma
     with equal weighted shingles are one text from the start. Candidates share
     one of 25 bands of five ProbMinHash registers. Buckets of up to `small`
     texts compare all their pairs. In a larger one each text is compared with
-    the bucket's pivot. While a bucket still holds several classes, texts of
-    different ones are compared if they share a second band, then with pivots
-    drawn anew, one of its classes in turn, until a draw links nothing. So the work grows with a bucket's size and not its
-    square, whatever the group.
+    the bucket's pivot. While a bucket still holds several classes, texts that
+    share a second band are compared with that cell's pivot; in cells of up to
+    `small` texts that still hold several, all pairs of different classes are
+    compared; then come pivots drawn anew, one of a bucket's classes in turn,
+    until a draw links nothing. So the work grows with a bucket's size and not
+    its square, whatever the group.
 
     Null and empty texts, and others without words, are alike only if equal
     byte for byte (null as empty). Null doc_ids are ignored for class_id, which is
@@ -231,12 +233,12 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, sma
             now = keep(now.join(mixed_, "key"))
             if now.limit(1).count() == 0:
                 break
-            more = _cells(now, sketches, small) if r == 0 else _pivots(now, r)
+            more = _cells(now, sketches, (0, small)[r], r) if r < 2 else _pivots(now, r)
             found = verified(more.distinct(), sketches, rows, similarity)
             if found.limit(1).count():
                 links = keep(links.union(found))
                 label = components(links)
-            elif r:
+            elif r > 1:
                 break
 
     comp = rows.select("rid", "doc_id", "rk", "same").join(reps.withColumnRenamed("rid", "rep"), "same")
@@ -245,21 +247,23 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, sma
     return comp.join(keep(best), "comp").select("doc_id", "rk", "class_id", "class_size", (F.col("rid") == F.col("first")).alias("kept"))
 
 
-def _cells(now: DataFrame, sketches: DataFrame, small: int) -> DataFrame:
-    """Pairs of different classes that share, beside a crowded bucket, another of three bands with it; in large cells pairs with a pivot."""
+def _cells(now: DataFrame, sketches: DataFrame, small: int, seed: int) -> DataFrame:
+    """Pairs of different classes that share, beside a crowded bucket, another of three bands with it; in cells of over `small` texts pairs with a pivot."""
     finer = now.join(sketches.select("rid", "bands"), "rid").select(
         "rid", "comp", F.explode(F.array(*[F.xxhash64("key", F.expr(f"bands[(band + {d}) % {BANDS}]")) for d in (1, 7, 12)])).alias("cell")
     )
     finer = keep(finer)
     cells = keep(
-        finer.groupBy("cell").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct(_lot("rid", 1), "rid", "comp")).alias("p"))
+        finer.groupBy("cell").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct(_lot("rid", seed), "rid", "comp")).alias("p"))
         .where("lo < hi").select("cell", "n", F.col("p.rid").alias("pivot"), F.col("p.comp").alias("class"))
     )
     finer = keep(finer.join(cells, "cell"))
-    few = finer.where(F.col("n") <= small).groupBy("cell").agg(F.collect_set(F.struct("rid", "comp")).alias("r"))
-    pairs = few.select(F.explode("r").alias("x"), "r").select("x", F.explode("r").alias("y")).where("x.rid < y.rid and x.comp != y.comp")
-    spokes = finer.where((F.col("n") > small) & F.expr("comp != class")).select(F.least("rid", "pivot").alias("a"), F.greatest("rid", "pivot").alias("b"))
-    return pairs.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).union(spokes)
+    pairs = finer.where((F.col("n") > small) & F.expr("comp != class")).select(F.least("rid", "pivot").alias("a"), F.greatest("rid", "pivot").alias("b"))
+    if small:
+        few = finer.where(F.col("n") <= small).groupBy("cell").agg(F.collect_set(F.struct("comp", "rid")).alias("r"))
+        cross = few.select(F.explode("r").alias("x"), "r").select("x", F.explode(F.expr("filter(r, y -> y.comp > x.comp)")).alias("y"))
+        pairs = pairs.union(cross.select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")))
+    return pairs
 
 
 def _pivots(now: DataFrame, seed: int) -> DataFrame:
