@@ -22,6 +22,9 @@ def _scratch(spark) -> str:
         import uuid
 
         return f"{base.rstrip('/')}/replay-{uuid.uuid4().hex}"
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix="run-")
 
 

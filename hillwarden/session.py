@@ -35,7 +35,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(folder)
     elif sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="hillwarden-ckpt-"))
     return df.checkpoint()
