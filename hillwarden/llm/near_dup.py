@@ -203,8 +203,10 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, sma
     share a second band are compared with that cell's pivot; in cells of up to
     `small` texts that still hold several, all pairs of different classes are
     compared; then come pivots drawn anew, one of a bucket's classes in turn,
-    until a draw links nothing. So the work grows with a bucket's size and not
-    its square, whatever the group.
+    until a draw links nothing. These steps only make classes grow cheaply. In
+    buckets that still hold several classes every pair of different classes is
+    then compared (`_crowded`), so each pair that shares a bucket ends up in
+    one class or has been compared.
 
     Null and empty texts, and others without words, are alike only if equal
     byte for byte (null as empty). Null doc_ids are ignored for class_id, which is
@@ -227,10 +229,7 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, sma
 
     if large.limit(1).count():
         for r in range(rounds):
-            now = large.select("key", "band", "rid").join(label, "rid", "left").withColumn("comp", F.coalesce("comp", "rid"))
-            now = keep(now)
-            mixed_ = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-            now = keep(now.join(mixed_, "key"))
+            now = _mixed(large, label)
             if now.limit(1).count() == 0:
                 break
             more = _cells(now, sketches, (0, small)[r], r) if r < 2 else _pivots(now, r)
@@ -240,6 +239,9 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, sma
                 label = components(links)
             elif r > 1:
                 break
+        now = _mixed(large, label)
+        if now.limit(1).count():
+            label = components(links.select("a", "b").union(_crowded(now, rows, similarity)))
 
     comp = rows.select("rid", "doc_id", "rk", "same").join(reps.withColumnRenamed("rid", "rep"), "same")
     comp = keep(comp.join(label.withColumnRenamed("rid", "rep"), "rep", "left").select("rid", "doc_id", "rk", F.coalesce("comp", "rep").alias("comp")))
@@ -247,6 +249,89 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, sma
     return comp.join(keep(best), "comp").select("doc_id", "rk", "class_id", "class_size", (F.col("rid") == F.col("first")).alias("kept"))
 
 
+def _mixed(large: DataFrame, label: DataFrame) -> DataFrame:
+    """Members (key, band, rid, comp) of the crowded buckets that hold several classes."""
+    now = keep(large.select("key", "band", "rid").join(label, "rid", "left").withColumn("comp", F.coalesce("comp", "rid")))
+    several = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+    return keep(now.join(several, "key"))
+
+
+def _crowded(now: DataFrame, rows: DataFrame, similarity: float, block: int = 512, size: int = 1 << 22) -> DataFrame:
+    """Links (a, b) that join all classes of a bucket between which a pair is similar enough; every such pair is compared.
+
+    A bucket is cut into blocks of about `block` texts and `size` bytes of shingles: a class larger than that has blocks
+    of its own, the smaller ones share blocks. Each two blocks, but not two of one class, are compared inside one task,
+    which returns fewer links than it has texts, whatever the number of pairs.
+    """
+    members = now.join(rows.select("rid", F.length("shingles").alias("w")), "rid")
+    cut = F.ceil(F.greatest(F.sum("n") / block, F.sum("w") / size)).cast("int")
+    classes = keep(members.groupBy("key", "comp").agg(F.count("*").alias("n"), F.sum("w").alias("w")))
+    own = classes.groupBy("key", "comp").agg(cut.alias("parts")).where("parts > 1")
+    rest = classes.join(own, ["key", "comp"], "left_anti").groupBy("key").agg(cut.alias("shared"))
+    plan = keep(classes.select("key", "comp").join(own, ["key", "comp"], "left").join(rest, "key", "left").select(
+        "key", "comp", F.when(F.col("parts").isNotNull(), F.col("comp")).otherwise(F.lit(-1)).alias("of"), F.coalesce("parts", "shared").alias("parts")
+    ))
+    lot = F.when(F.col("of") < 0, _lot("comp", 30)).otherwise(_lot("rid", 31))
+    members = keep(members.select("key", "band", "rid", "comp").join(plan, ["key", "comp"]).select(
+        "key", "band", "rid", "comp", F.struct("of", F.pmod(lot, F.col("parts")).alias("part")).alias("block")
+    ))
+    blocks = keep(members.select("key", "block").distinct())
+    left, right = blocks.withColumnRenamed("block", "p"), blocks.withColumnRenamed("block", "q")
+    tasks = keep(left.join(right, "key").where("p <= q AND (p.of != q.of OR p.of < 0)"))
+    sides = members.join(tasks, (members["key"] == tasks["key"]) & (members["block"] == tasks["p"])).select(members["*"], "p", "q", F.lit(0).alias("side")).union(
+        members.join(tasks.where("p < q"), (members["key"] == tasks["key"]) & (members["block"] == tasks["q"])).select(members["*"], "p", "q", F.lit(1).alias("side"))
+    )
+    ends = now.select("rid").distinct()
+    body = keep(rows.select("rid", "bands", "sig", "shingles").join(ends, "rid"))
+    whole = sides.drop("block").join(body, "rid")
+
+    def run(table: pa.Table) -> pa.Table:
+        return _compared(table, similarity)
+
+    return keep(whole.groupBy("key", "p", "q").applyInArrow(run, "a long, b long"))
+
+
+def _compared(table: pa.Table, similarity: float) -> pa.Table:
+    """Links (a, b) between classes of one bucket's texts (rid, comp, band, side, bands, sig, shingles); of two sides only pairs across are compared.
+
+    Texts nearest to all others come first, and texts whose classes have been joined are not compared any more. A pair
+    that shares an earlier band is left to that band's bucket.
+    """
+    rid, comp, side = (table.column(c).to_numpy() for c in ("rid", "comp", "side"))
+    band, n = table.column("band")[0].as_py(), table.num_rows
+    bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(n, BANDS)[:, :band]
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u2").reshape(n, SIZE)
+    texts = [np.unique(np.frombuffer(x, np.uint32)) for x in table.column("shingles").to_pylist()]
+    width = np.array([len(x) for x in texts])
+    codes = np.unique(np.concatenate(texts), return_inverse=True)[1]
+    texts = np.split(codes, np.cumsum(width)[:-1])
+    across = side.min() != side.max()
+    label = np.unique(comp, return_inverse=True)[1]
+    score = np.zeros(n, np.int64)
+    for register in sig.T:
+        _, which, count = np.unique(register, return_inverse=True, return_counts=True)
+        score += count[which]
+    todo = np.ones(n, bool)
+    mark = np.zeros(int(codes.max()) + 1, bool)
+    a, b = [], []
+    for i in np.argsort(-score, kind="stable"):
+        todo[i] = False
+        j = np.flatnonzero(todo & (label != label[i]) & ((side != side[i]) | (not across)))
+        j = j[(sig[j] == sig[i]).mean(axis=1) >= similarity - 0.2]
+        j = j[~(bands[j] == bands[i]).any(axis=1)]
+        if len(j) == 0:
+            continue
+        mark[texts[i]] = True
+        both = np.add.reduceat(mark[np.concatenate([texts[x] for x in j])].astype(np.int64), np.concatenate([[0], np.cumsum(width[j])[:-1]]))
+        mark[texts[i]] = False
+        for x in j[both / (width[i] + width[j] - both) >= similarity]:
+            if label[x] != label[i]:
+                a.append(min(rid[i], rid[x]))
+                b.append(max(rid[i], rid[x]))
+                label[label == label[x]] = label[i]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def _cells(now: DataFrame, sketches: DataFrame, small: int, seed: int) -> DataFrame:
     """Pairs of different classes that share, beside a crowded bucket, another of three bands with it; in cells of over `small` texts pairs with a pivot."""
     finer = now.join(sketches.select("rid", "bands"), "rid").select(

@@ -191,6 +191,39 @@ def test_near_duplicates_of_a_crowd(spark):
     assert {got[i] for i in range(120)} == {0} and all(got[1000 + i] == 1000 + i for i in range(60))
 
 
+def test_near_duplicates_joined_by_one_original_only(spark):
+    base = prose(300, 6).split()
+    rng = np.random.default_rng(6)
+    rows = [(5000, " ".join(base))]
+    for i in range(2000):  # each copy is near the original (0.84) and not near other copies (0.71)
+        w = list(base)
+        for place in rng.choice(58, 5, replace=False):
+            w[5 * place + 4] = f"own{i}x{place}"
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = near_dup.near_duplicates(docs).groupBy("class_id").count().collect()
+    assert [(r.class_id, r["count"]) for r in got] == [(0, 2001)]
+
+
+def test_near_duplicates_in_blocks(spark):
+    base = prose(300, 7).split()
+    rows = []
+    for i in range(240):  # 60 groups of 4 that share half of their words
+        w = base[:150] + prose(150, 3000 + i // 4).split()
+        w[40 + i % 4] = f"edit{i}"
+        rows.append((i, " ".join(w)))
+    sketched = near_dup.keep(near_dup.sketch(spark.createDataFrame(rows, "doc_id long, text string"), 5))
+    now = sketched.select(near_dup.F.lit(1).alias("key"), near_dup.F.lit(0).alias("band"), "rid", near_dup.F.expr("if(doc_id < 120 and doc_id % 4 < 2, -9, rid)").alias("comp"))
+    of = {r.rid: r.doc_id for r in sketched.collect()}
+    for block in (16, 512):  # one class has blocks of its own; or all in one
+        links = [(of[r.a], of[r.b]) for r in near_dup._crowded(now, sketched, 0.8, block=block).collect()]
+        root = {i: -9 if i < 120 and i % 4 < 2 else i for i in range(240)}
+        for a, b in links:
+            assert a // 4 == b // 4
+            root = {k: root[a] if v == root[b] else v for k, v in root.items()}
+        assert len(set(root.values())) == 31
+
+
 def test_pii(odd, none):
     got = {r.doc_id: r for r in pii.detect(odd).collect()}
     text = dict((d, t) for d, t, _ in ROWS)[10]
