@@ -447,45 +447,58 @@ def drift_weeks(
 ) -> DataFrame:
     """Weeks in which a sensor's gravity magnitude drifts steadily.
 
-    Slots are averaged first, so a series is bounded by its time span. Steps:
-    unwrap, magnitude in (0.5, 3.0), centred 12-row three-sigma cut, linear
-    interpolation on the 30-minute grid, six-hour means of quiet stretches,
-    then velocity, acceleration and their weekly summary.
+    Slots hold the first reading of each axis, so a series is bounded by its
+    time span. Steps: unwrap below -2048, magnitude on the 30-minute grid, whose
+    weekly count is ``n``, then (0.5, 3.0), the centred 12-row three-sigma cut
+    and linear interpolation, where cut slots stay as empty rows and the last
+    value holds to the end; then six-hour means, empty where the mean deviation
+    from both neighbours is over 0.05, and their differences of first and second order
+    with weekly means. ``r2`` relates the means to the grid's row numbers.
+    Thresholds are compared before rounding.
     """
-    fixed = {a: F.when((F.col(a) > -3072) & (F.col(a) < -2970), F.col(a) + 4096).otherwise(F.col(a)) for a in ("x", "y", "z")}
-    g = readings.withColumns(fixed)
-    mag = F.sqrt((F.col("x") * F.col("x") + F.col("y") * F.col("y") + F.col("z") * F.col("z")).cast("double")) / 1024.0
-    g = g.withColumn("mag", mag).filter((F.col("mag") > 0.5) & (F.col("mag") < 3.0))
+    from ..functions.clock import floor_to
     from ..operators.clean import slot_first
     from ..operators.series import grid, week_ending_sunday
 
-    s = slot_first(g, keys, ["mag"], tie)
+    f = grid(slot_first(readings, keys, ["x", "y", "z"], tie), keys, ["x", "y", "z"])
+    f = f.withColumns({a: F.when(F.col(a) < -2048, F.col(a) + 4096).otherwise(F.col(a)).cast("double") / 1024.0 for a in ("x", "y", "z")})
     w = W.partitionBy(*keys).orderBy("ts")
+    f = f.select(*keys, "ts", F.sqrt(F.col("x") * F.col("x") + F.col("y") * F.col("y") + F.col("z") * F.col("z")).alias("raw"), F.row_number().over(w).cast("double").alias("__k"))
+    f = f.withColumn("mag", F.when((F.col("raw") <= 3.0) & (F.col("raw") >= 0.5), F.col("raw")))
     near = w.rowsBetween(-6, 5)
-    s = s.withColumns({"__m": F.avg("mag").over(near), "__s": F.stddev_samp("mag").over(near)})
-    s = s.filter(F.coalesce(F.abs(F.col("mag") - F.col("__m")) <= 3 * F.col("__s"), F.lit(True))).select(*keys, "ts", "mag")
-    f = grid(s, keys, ["mag"])
-    back, ahead = w.rowsBetween(W.unboundedPreceding, 0), w.rowsBetween(0, W.unboundedFollowing)
-    item = F.when(F.col("mag").isNotNull(), F.struct("ts", "mag"))
-    f = f.withColumns({"__p": F.last(item, ignorenulls=True).over(back), "__n": F.first(item, ignorenulls=True).over(ahead)})
-    t = lambda c: micros(c).cast("double")
-    share = F.try_divide(t("ts") - t("__p.ts"), t("__n.ts") - t("__p.ts"))
-    f = f.withColumn("mag", F.coalesce("mag", F.col("__p.mag") + (F.col("__n.mag") - F.col("__p.mag")) * share))
-    from ..functions.clock import floor_to
-
-    h = f.groupBy(*keys, floor_to("ts", 360).alias("slot")).agg(F.avg("mag").alias("mag"), F.stddev_samp("mag").alias("sd"))
-    h = h.filter(F.coalesce(F.col("sd") <= 0.05, F.lit(True)))
+    full = F.count("mag").over(near) == 12
+    f = f.withColumns({"__m": F.when(full, F.avg("mag").over(near)), "__s": F.when(full, F.stddev_samp("mag").over(near))})
+    far = (F.abs(F.col("mag") - F.col("__m")) > 3 * F.col("__s")) & (F.col("__s") != 0)
+    f = f.withColumn("mag", F.when(F.coalesce(far, F.lit(False)), None).otherwise(F.col("mag")))
+    # a cut slot loses its row number too, an unread one keeps it
+    f = f.withColumn("__i", F.when(F.col("mag").isNotNull() | F.col("raw").isNull(), F.col("__k")))
+    back = w.rowsBetween(W.unboundedPreceding, 0)
+    ahead = W.partitionBy(*keys).orderBy(F.desc("ts")).rowsBetween(W.unboundedPreceding, 0)
+    item = F.when(F.col("mag").isNotNull(), F.struct("__k", "mag"))
+    f = f.withColumns({
+        "__p": F.last(item, ignorenulls=True).over(back), "__n": F.last(item, ignorenulls=True).over(ahead),
+        "__pi": F.last("__i", ignorenulls=True).over(back), "__ni": F.last("__i", ignorenulls=True).over(ahead),
+    })
+    share = F.try_divide(F.col("__k") - F.col("__p.__k"), F.col("__n.__k") - F.col("__p.__k"))
+    f = f.withColumns({
+        "mag": F.coalesce("mag", F.col("__p.mag") + (F.col("__n.mag") - F.col("__p.mag")) * share, F.col("__p.mag")),
+        "__i": F.when(F.col("__pi").isNotNull() & F.col("__ni").isNotNull(), F.col("__k")).otherwise(F.col("__pi")),
+    })
+    h = f.groupBy(*keys, floor_to("ts", 360).alias("slot")).agg(F.avg("mag").alias("mag"), F.avg("__i").alias("__i"), F.count("raw").alias("n"))
     hw = W.partitionBy(*keys).orderBy("slot")
-    hours = F.timestamp_diff("HOUR", F.lag("slot").over(hw), F.col("slot"))
-    h = h.withColumn("vel", F.try_divide(F.col("mag") - F.lag("mag").over(hw), hours))
-    h = h.withColumn("acc", F.try_divide(F.col("vel") - F.lag("vel").over(hw), hours))
-    h = h.withColumns({"week_end": week_ending_sunday("slot"), "__i": F.row_number().over(hw).cast("double")})
+    # deviation of two values: their distance over the square root of 2
+    sd = (F.abs(F.col("mag") - F.lag("mag").over(hw)) + F.abs(F.lead("mag").over(hw) - F.col("mag"))) / (2 * F.sqrt(F.lit(2.0)))
+    h = h.withColumn("__quiet", F.coalesce(sd <= 0.05, F.lit(True)))
+    h = h.withColumn("mag", F.when(F.col("__quiet"), F.col("mag")))
+    h = h.withColumn("__i", F.when(F.col("mag").isNotNull(), F.col("__i")))
+    h = h.withColumn("vel", F.col("mag") - F.lag("mag").over(hw))
+    h = h.withColumn("acc", F.col("vel") - F.lag("vel").over(hw)).withColumn("week_end", week_ending_sunday("slot"))
     k = h.groupBy(*keys, "week_end").agg(
-        clean_round(F.avg("vel"), 8).alias("vel"), clean_round(F.avg("acc"), 8).alias("acc"), F.count("mag").alias("n"),
+        F.avg("vel").alias("vel"), F.avg("acc").alias("acc"), F.sum("n").alias("n"),
         F.try_divide(F.covar_pop("mag", "__i"), F.stddev_pop("mag") * F.stddev_pop("__i")).alias("__r"),
     )
-    k = k.withColumn("r2", clean_round(F.col("__r") * F.col("__r"), 6)).drop("__r")
-    return k.filter((F.col("r2") > min_r2) & (F.abs("acc") > min_acc) & (F.col("n") >= min_count))
+    k = k.withColumn("r2", F.col("__r") * F.col("__r")).filter((F.col("r2") > min_r2) & (F.abs("acc") > min_acc) & (F.col("n") >= min_count))
+    return k.select(*keys, "week_end", clean_round(F.col("vel"), 8).alias("vel"), clean_round(F.col("acc"), 8).alias("acc"), "n", clean_round(F.col("r2"), 6).alias("r2"))
 
 
 def drifting(weeks: DataFrame, keys: Sequence[str], min_days: int = 28, max_gap: int = 14) -> DataFrame:

@@ -76,6 +76,49 @@ def test_drift_needs_four_weeks_one_way(spark):
     assert [(x.node_id, str(x.since), str(x.until), x.weeks) for x in r] == [(1, "2024-01-07", "2024-02-04", 5)]
 
 
+def test_drift_weeks_of_twelve_weeks_at_the_default_thresholds(spark):
+    import numpy as np
+    import pandas as pd
+
+    from hillwarden.plans.subsurface import drift_weeks, drifting
+
+    rng, start, rows = np.random.default_rng(3), pd.Timestamp("2024-01-03 05:10:00"), []
+    for node, bend in ((1, 2.5e-6), (2, 0.0), (3, 4e-6)):
+        for i in range(12 * 7 * 48):
+            size = 1024 * (1 + bend * (i / 12) ** 2 + 2e-5 * rng.standard_normal())
+            if i == 0 or i > 12 * 7 * 48 - 4 or rng.random() < 0.01:
+                size = 5000.0 if node == 3 or i % 2 else 200.0  # out of range
+            elif rng.random() < 0.01:
+                size += 150  # outlier
+            if rng.random() > (0.8 if 1000 < i < 2000 else 0.05) or i == 0:
+                rows.append((9, node, str(start + pd.Timedelta(minutes=30 * i)), -4000.0, 0.0, float(size)))
+                if i % 7 == 0:
+                    rows.append((9, node, str(start + pd.Timedelta(minutes=30 * i + 9)), 0.0, 0.0, 1024.0))
+    want = []
+    for node in (1, 2, 3):  # the steps of the rule, in pandas
+        d = pd.DataFrame([r[2:] for r in rows if r[1] == node], columns=["ts", "x", "y", "z"])
+        d = d.set_index(pd.to_datetime(d.pop("ts"))).resample("30min").first()
+        d["i"] = np.arange(1.0, len(d) + 1)
+        d[["x", "y", "z"]] = d[["x", "y", "z"]].where(lambda v: ~(v < -2048), lambda v: v + 4096)
+        d["mag"] = np.sqrt((d[["x", "y", "z"]] / 1024).pow(2).sum(axis=1, skipna=False))
+        n = d.mag.resample("W").count()
+        d[(d.mag > 3) | (d.mag < 0.5)] = np.nan
+        near = d.mag.rolling(12, center=True)
+        d[((d.mag - near.mean()).abs() > 3 * near.std()) & (near.std() != 0)] = np.nan
+        h = d.interpolate()[["mag", "i"]].resample("6h").mean()
+        h[h.mag.rolling(2).std().shift(-1).rolling(2).mean() > 0.05] = np.nan
+        vel = h.mag.diff()
+        r2 = pd.Series({k: g.mag.corr(g.i) ** 2 for k, g in h.resample("W")})
+        k = pd.DataFrame({"vel": vel.resample("W").mean(), "acc": vel.diff().resample("W").mean(), "n": n, "r2": r2})
+        k = k[(k.acc.abs() > 3e-6) & (k.r2 > 0.7) & (k.n >= 84)]
+        want += [(node, t.date(), *row) for t, row in zip(k.index, k.itertuples(index=False), strict=True)]
+    got = drift_weeks(_ts(spark, rows, "tsm_id int, node_id int, ts string, x double, y double, z double"), ["tsm_id", "node_id"])
+    noted = [(r.node_id, r.week_end, r.vel, r.acc, r.n, r.r2) for r in got.orderBy("node_id", "week_end").collect()]
+    assert len(want) >= 10 and [r[:2] for r in noted] == [r[:2] for r in want]
+    assert np.allclose([r[2:] for r in noted], [r[2:] for r in want], rtol=0, atol=1e-6)
+    assert [r.node_id for r in drifting(got, ["tsm_id", "node_id"]).orderBy("node_id").collect()] == [1, 3]
+
+
 def test_quakes_without_a_finite_magnitude_or_place_raise_nothing(spark):
     from hillwarden.plans import earthquake as Q
 
