@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -13,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hillwarden.llm.near_dup import near_duplicates
 from hillwarden.llm.tables import keep, row_key
 
 WORD = re.compile(r"\w+")
@@ -109,14 +109,13 @@ def linear(votes: np.ndarray, target: np.ndarray, *, ridge: float = 0.3, rounds:
     return w
 
 
-def _marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Adds the least hash of the text's runs of five words."""
-    for batch in batches:
-        marks = []
-        for text in batch["text"]:
-            w = WORD.findall(text.lower())
-            marks.append(min(zlib.crc32(" ".join(w[i : i + 5]).encode()) for i in range(max(1, len(w) - 4))) if w else -1)
-        yield batch.assign(mark=np.array(marks, np.int64))[["mark", "text", "toxic"]]
+def distinct(rows: DataFrame) -> DataFrame:
+    """One row (text, toxic) of each near-duplicate class of rows; its label is 1 if at least half of the class's rows have it."""
+    each = keep(rows.groupBy("text").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n")).withColumn("doc_id", F.xxhash64("text")))
+    classes = near_duplicates(each.select("doc_id", "text")).select("doc_id", "class_id", "kept")
+    each = keep(each.join(classes, "doc_id"))
+    label = each.groupBy("class_id").agg((2 * F.sum("bad") >= F.sum("n")).cast("int").alias("toxic"))
+    return each.where("kept").select("class_id", "text").join(label, "class_id").select("text", "toxic")
 
 
 def learn(labelled: DataFrame, *, fit_rows: int = 20_000, max_voters: int = 400, least: int = 3, precision: float = 0.6) -> Model:
@@ -134,7 +133,7 @@ def learn(labelled: DataFrame, *, fit_rows: int = 20_000, max_voters: int = 400,
     chance = F.pmod(F.xxhash64("text", F.lit(9)), F.lit(1 << 30)) / float(1 << 30)
     sample = labelled.where(chance < min(1.0, fit_rows / total)).select("text", "toxic")
     # near copies of one text count once, or all its words would look like voters
-    sample = keep(sample.mapInPandas(_marked, "mark long, text string, toxic int").dropDuplicates(["mark"]).drop("mark"))
+    sample = keep(distinct(sample))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

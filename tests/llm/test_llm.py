@@ -260,6 +260,18 @@ def test_toxicity(spark, odd, none):
     assert toxicity.toxicity(odd, labels).count() == len(ROWS) and toxicity.toxicity(none, labels).count() == 0
 
 
+def test_toxicity_counts_texts_that_share_a_passage_and_takes_the_majority_label(spark):
+    shared = prose(5, 1)
+    rows = [(shared + " " + prose(60, 50 + i), i % 2) for i in range(20)]  # a passage in common only
+    base = prose(80, 90)
+    rows += [(base + tail, y) for tail, y in (("", 1), (" a", 0), (" b", 0), (" b", 0), (" c", 1))]  # one class, mostly 0
+    other = prose(80, 91)
+    rows += [(other, 1), (other + " a", 0)]  # a tie counts as 1
+    got = toxicity.distinct(spark.createDataFrame(rows, "text string, toxic int")).collect()
+    assert len(got) == 22 and sum(r.toxic for r in got if r.text.startswith(shared)) == 10
+    assert [r.toxic for r in got if r.text.startswith(base)] == [0] and [r.toxic for r in got if r.text.startswith(other)] == [1]
+
+
 def test_class_model(spark, odd, none):
     got = class_lm.class_scores(odd, clustered=50, classes=8, most=200, rounds=2).collect()
     cut = lambda t: [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if w] + [None]
