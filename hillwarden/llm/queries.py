@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hillwarden.llm import class_lm, decontaminate, exact_dedup, langid, licenses, near_dup, packing, pii, token_files, toxicity
+from hillwarden.llm import class_lm, decontaminate, exact_dedup, langid, licenses, near_dup, packing, periodic, pii, quality, token_files, toxicity, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,21 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"), licenses.registry(spark))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First four whitened components of every usable embedding."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document's words, every tenth document's tail made periodic."""
+    return periodic.periodic_runs(_table(spark, sf_dir, "documents"), plant=True).drop("collapsed")
+
+
 QUERIES = {
     "op5_pii": op5_pii,
     "op2_class_lm": op2_class_lm,
@@ -84,6 +99,9 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op8_license_scan": op8_license_scan,
+    "op11_quality": op11_quality,
+    "op12_whitening": op12_whitening,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,
