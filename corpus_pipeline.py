@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hillwarden.llm import decontaminate, exact_dedup, near_dup, packing, toxicity
 from hillwarden.llm.queries import tokenizer_path
-from hillwarden.llm.tables import keep, without
+from hillwarden.llm.tables import keep, kept_so_far, release, without
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,8 +56,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`, each stage's rows stored and read again."""
+    """All stages over `documents`, each stage's rows stored and read again; what a stage built to get there is removed."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    mark = kept_so_far()
     for _, stage in STAGES[:-1]:
         docs = keep(stage(spark, docs, sf_dir))
+        release(spark, mark)
     return STAGES[-1][1](spark, docs, sf_dir)

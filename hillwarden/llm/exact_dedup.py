@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hillwarden.llm.tables import MAX_BITS, bitmap, bits_for, keep, probe, row_key, slot_of
+from hillwarden.llm.tables import MAX_BITS, bitmap, bits_for, fresh, keep, probe, row_key, slot_of
 
 WHITE = r"[\x20\x09-\x0D]+"
 LAST = 2**63 - 1
@@ -67,17 +67,16 @@ def _decide(base: DataFrame, bits: int, salts: int, store: bool) -> DataFrame:
 
 
 def first_copies(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Rows of docs that stay, with all their columns.
+    """Rows of docs that stay, with all their columns, whatever their names.
 
     Rows without a copy miss a bitmap of the copied rows' keys and are not
     shuffled. Equal rows with the same doc_id share a key; one of them stays.
     """
-    copied = keep(
-        decisions.where("group_size > 1").groupBy("rk").agg(F.bool_or("kept").alias("xd_kept"))
-    )
+    rk, hit, stays = fresh(docs, "rk", "bm_hit", "xd_kept")
+    copied = keep(decisions.where("group_size > 1").groupBy(F.col("rk").alias(rk)).agg(F.bool_or("kept").alias(stays)))
     bits = bits_for(copied.count())
-    words = keep(bitmap(copied.select(slot_of(F.col("rk"), bits).alias("slot"))))
-    tagged = probe(docs.withColumn("rk", row_key()), slot_of(F.col("rk"), bits), words, "bm_hit")
-    free = tagged.where(~F.col("bm_hit")).select(docs.columns)
-    held = tagged.where("bm_hit").join(copied, "rk", "left").where(F.coalesce("xd_kept", F.lit(True)))
-    return free.unionByName(held.dropDuplicates(["rk"]).select(docs.columns))
+    words = keep(bitmap(copied.select(slot_of(F.col(rk), bits).alias("slot"))))
+    tagged = probe(docs.withColumn(rk, row_key()), slot_of(F.col(rk), bits), words, hit)
+    free = tagged.where(~F.col(hit)).select(docs.columns)
+    held = tagged.where(F.col(hit)).join(copied, rk, "left").where(F.coalesce(F.col(stays), F.lit(True)))
+    return free.unionByName(held.dropDuplicates([rk]).select(docs.columns))
