@@ -18,10 +18,13 @@ class Encoder:
 
     Cutting there never changes the ids, so each piece is encoded by the
     library once and looked up afterwards. A piece follows a space unless it
-    starts with a line feed. At most `remember` pieces are kept.
+    starts with a line feed. Pieces are kept while they take up to `remember`
+    bytes, about EACH more than their own for a string, its number and its ids.
     """
 
-    def __init__(self, path: str, remember: int = 1_000_000):
+    EACH = 200
+
+    def __init__(self, path: str, remember: int = 80 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -32,7 +35,7 @@ class Encoder:
         self.width = np.zeros(self.vocab, np.int64)
         for token, i in self.lib.get_vocab().items():
             self.width[i] = len(token)  # each character of a byte-level token is a byte
-        self.remember = remember
+        self.room = remember  # bytes left
         self.place: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
         self.start = np.zeros(1, np.int64)  # of each remembered piece in flat, and the end
@@ -65,10 +68,12 @@ class Encoder:
             end = int(start[-1])
             flat = np.concatenate([flat[:end], ids])
             start = np.concatenate([start, end + np.cumsum(sizes)])
-            room = max(0, self.remember - known)
+            cost = np.cumsum(np.fromiter((len(w) + self.EACH for w in order), np.int64, len(order)))
+            room = int(np.searchsorted(cost, self.room, "right"))
             if room:
+                self.room -= int(cost[room - 1])
                 self.place.update((w, known + i) for i, w in enumerate(order[:room]))
-                self.start = start[: known + min(room, len(order)) + 1]
+                self.start = start[: known + room + 1]
                 self.flat = flat[: self.start[-1]]
         size = start[at + 1] - start[at]
         done = np.concatenate([[0], np.cumsum(size)])
