@@ -43,10 +43,10 @@ def shingles(data: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return code[at_new], count, np.searchsorted(owner[at_new], np.arange(len(n) + 1))
 
 
-def signatures(code: np.ndarray, count: np.ndarray, begin: np.ndarray) -> np.ndarray:
+def signatures(code: np.ndarray, weight: np.ndarray, begin: np.ndarray) -> np.ndarray:
     """SIZE registers per text. A register's chance to agree between two texts is their probability Jaccard.
 
-    Element weights are 1 + ln(count). Each element is a Poisson process of its
+    Each element is a Poisson process of its
     weight's rate; an arrival falls into a random register, which keeps the
     element of its first arrival. Arrivals of all texts are drawn round by
     round; an element whose next arrival is later than all registers of its
@@ -56,7 +56,7 @@ def signatures(code: np.ndarray, count: np.ndarray, begin: np.ndarray) -> np.nda
     first = np.full(texts * SIZE, np.inf)
     kept = np.zeros(texts * SIZE, np.uint64)
     owner = np.repeat(np.arange(texts), np.diff(begin))
-    rate = 1.0 + np.log(count)
+    rate = weight
     when = np.zeros(len(code))
     element = code
     live = np.arange(len(code))
@@ -80,7 +80,12 @@ def signatures(code: np.ndarray, count: np.ndarray, begin: np.ndarray) -> np.nda
 
 
 def sketch(docs: DataFrame, k: int) -> DataFrame:
-    """Per row: rid, doc_id, rk, same (digest of the weighted shingles), bands, sig (16 bits of each register), shingles (32 bits each, sorted)."""
+    """Per row: rid, doc_id, rk, same (digest of the shingle set), bands, sig (16 bits of each register), shingles (32 bits each, sorted).
+
+    Links are defined by sets, so all distinct shingles weigh the same: their
+    probability Jaccard is the sets' Jaccard similarity, and registers estimate
+    what verification measures.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -91,14 +96,14 @@ def sketch(docs: DataFrame, k: int) -> DataFrame:
             for i, j in groups_of(at, 1 << 20):
                 part = batch.slice(i, j - i)
                 own, cut = data[at[i] : at[j]], at[i : j + 1] - at[i]
-                code, count, begin = shingles(own, cut, k)
-                sig = signatures(code, count, begin)
+                code, _, begin = shingles(own, cut, k)
+                sig = signatures(code, np.ones(len(code)), begin)
                 bands = np.zeros((j - i, BANDS), np.uint64)
                 for r in range(ROWS):
                     bands = mixed(bands * ODD[4] + sig[:, r::ROWS])
                 bands = mixed(bands ^ (np.arange(BANDS, dtype=np.uint64) * ODD[5]))
                 size = np.diff(begin)
-                heap = np.concatenate([[np.uint64(0)], np.cumsum(mixed(code + count.astype(np.uint64) * ODD[6]))])
+                heap = np.concatenate([[np.uint64(0)], np.cumsum(mixed(code + ODD[6]))])
                 same = mixed(heap[begin[1:]] - heap[begin[:-1]] + size.astype(np.uint64))
                 bare = np.flatnonzero(size == 0)  # no word: equal only to the same text
                 for b in bare.tolist():
@@ -191,27 +196,29 @@ def components(links: DataFrame, limit: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, small: int = 48, rounds: int = 5) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, small: int = 16, rounds: int = 3) -> DataFrame:
     """One row per row of docs: doc_id, rk, class_id (least doc_id of its class), class_size, kept.
 
     Two texts are linked if the Jaccard similarity of their sets of k-word
     shingles is at least `similarity`; a class is what links connect. Rows
-    with equal weighted shingles are one text from the start. Candidates share
-    one of 25 bands of five ProbMinHash registers. Buckets of up to `small`
-    texts compare all their pairs. In a larger one each text is compared with
-    the bucket's pivot. While a bucket still holds several classes, texts that
-    share a second band are compared with that cell's pivot; in cells of up to
-    `small` texts that still hold several, all pairs of different classes are
-    compared; then come pivots drawn anew, one of a bucket's classes in turn,
-    until a draw links nothing. These steps only make classes grow cheaply. In
-    buckets that still hold several classes every pair of different classes is
-    then compared (`_crowded`), so each pair that shares a bucket ends up in
-    one class or has been compared.
+    with equal sets are one text from the start. Candidates share one of 25
+    bands of five ProbMinHash registers.
+
+    Pairs are never listed by bucket. First each text is compared with one
+    pivot, the first by lot among those of its buckets, which joins most of a
+    group of any size. Then, for `rounds` rounds or until a round links
+    nothing, each text that still shares a bucket with another class is
+    compared with one member of the largest class of such a bucket. These steps
+    only make classes grow cheaply. In buckets that still hold several classes
+    every pair of different classes is then compared: listed in buckets of up
+    to `small` texts, in blocks inside tasks in larger ones (`_crowded`). So
+    each pair that shares a bucket ends up in one class or has been compared.
 
     Null and empty texts, and others without words, are alike only if equal
     byte for byte (null as empty). Null doc_ids are ignored for class_id, which is
     null if a class has no other. Equal rows share a class; of each class one
-    row has kept = true, that with the least doc_id. Other columns are not read.
+    row has kept = true, that with the least doc_id. An empty table gives no
+    rows. Texts are read whole; other columns, of whatever names, are not read.
     """
     rows = keep(sketch(docs, k))
     reps = keep(rows.groupBy("same").agg(F.min("rid").alias("rid")))
@@ -220,28 +227,31 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, sma
     buckets = keep(inside.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(_lot("rid", 0), "rid")).getField("rid").alias("pivot")).where("n > 1"))
     members = keep(inside.join(buckets, "key"))
 
-    few = members.where(F.col("n") <= small).groupBy("key").agg(F.sort_array(F.collect_set("rid")).alias("r"))
-    pairs = few.select(F.explode("r").alias("a"), "r").select("a", F.explode("r").alias("b")).where("a < b")
-    large = members.where(F.col("n") > small)
-    star = large.where("rid != pivot").select(F.least("rid", "pivot").alias("a"), F.greatest("rid", "pivot").alias("b"))
-    links = verified(pairs.union(star).distinct(), sketches, rows, similarity)
+    first = members.groupBy("rid").agg(F.min(F.struct(_lot("pivot", 0), "pivot")).getField("pivot").alias("pivot")).where("rid != pivot")
+    links = verified(_pair("rid", "pivot", first).distinct(), sketches, rows, similarity)
     label = components(links)
 
+    def joined(found: DataFrame) -> bool:
+        nonlocal links, label
+        if found.limit(1).count() == 0:
+            return False
+        links = keep(links.select("a", "b").union(found.select("a", "b")))
+        label = components(links)
+        return True
+
+    now = _mixed(members, label)
+    for r in range(rounds):
+        if now.limit(1).count() == 0 or not joined(verified(_next(now, r + 1), sketches, rows, similarity)):
+            break
+        now = _mixed(now.drop("comp"), label)
+
+    few = now.where(F.col("n") <= small).groupBy("key").agg(F.collect_set(F.struct("comp", "rid")).alias("r"))
+    cross = few.select(F.explode("r").alias("x"), "r").select("x", F.explode(F.expr("filter(r, y -> y.comp > x.comp)")).alias("y"))
+    if now.limit(1).count() and joined(verified(_pair("x.rid", "y.rid", cross).distinct(), sketches, rows, similarity)):
+        now = _mixed(now.drop("comp"), label)
+    large = now.where(F.col("n") > small)
     if large.limit(1).count():
-        for r in range(rounds):
-            now = _mixed(large, label)
-            if now.limit(1).count() == 0:
-                break
-            more = _cells(now, sketches, (0, small)[r], r) if r < 2 else _pivots(now, r)
-            found = verified(more.distinct(), sketches, rows, similarity)
-            if found.limit(1).count():
-                links = keep(links.union(found))
-                label = components(links)
-            elif r > 1:
-                break
-        now = _mixed(large, label)
-        if now.limit(1).count():
-            label = components(links.select("a", "b").union(_crowded(now, rows, similarity)))
+        joined(_crowded(large.drop("n"), rows, similarity))
 
     comp = rows.select("rid", "doc_id", "rk", "same").join(reps.withColumnRenamed("rid", "rep"), "same")
     comp = keep(comp.join(label.withColumnRenamed("rid", "rep"), "rep", "left").select("rid", "doc_id", "rk", F.coalesce("comp", "rep").alias("comp")))
@@ -249,13 +259,25 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, sma
     return comp.join(keep(best), "comp").select("doc_id", "rk", "class_id", "class_size", (F.col("rid") == F.col("first")).alias("kept"))
 
 
-def _mixed(large: DataFrame, label: DataFrame) -> DataFrame:
-    """Members (key, band, rid, comp) of the crowded buckets that hold several classes."""
-    now = keep(large.select("key", "band", "rid").join(label, "rid", "left").withColumn("comp", F.coalesce("comp", "rid")))
+def _pair(a: str, b: str, rows: DataFrame) -> DataFrame:
+    return rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+
+
+def _mixed(members: DataFrame, label: DataFrame) -> DataFrame:
+    """Members (key, band, n, rid, comp) of the buckets that hold several classes."""
+    now = keep(members.select("key", "band", "n", "rid").join(label, "rid", "left").withColumn("comp", F.coalesce("comp", "rid")))
     several = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     return keep(now.join(several, "key"))
 
 
+def _next(now: DataFrame, seed: int) -> DataFrame:
+    """Pairs (a, b), at most one a text: a text and a member, drawn anew each round, of the largest class of one of its buckets."""
+    sizes = now.groupBy("key", "comp").agg(F.count("*").alias("n"), F.min(F.struct(_lot("rid", seed), "rid")).getField("rid").alias("pivot"))
+    largest = keep(sizes.groupBy("key").agg(F.max(F.struct("n", "comp", "pivot")).alias("p")).select("key", F.col("p.pivot").alias("pivot"), F.col("p.comp").alias("class")))
+    one = now.join(largest, "key").where("comp != class").groupBy("rid").agg(F.min(F.struct(_lot("pivot", seed), "pivot")).getField("pivot").alias("pivot"))
+    return _pair("rid", "pivot", one).distinct()
+
+
 def _crowded(now: DataFrame, rows: DataFrame, similarity: float, block: int = 512, size: int = 1 << 22) -> DataFrame:
     """Links (a, b) that join all classes of a bucket between which a pair is similar enough; every such pair is compared.
 
@@ -332,31 +354,5 @@ def _compared(table: pa.Table, similarity: float) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _cells(now: DataFrame, sketches: DataFrame, small: int, seed: int) -> DataFrame:
-    """Pairs of different classes that share, beside a crowded bucket, another of three bands with it; in cells of over `small` texts pairs with a pivot."""
-    finer = now.join(sketches.select("rid", "bands"), "rid").select(
-        "rid", "comp", F.explode(F.array(*[F.xxhash64("key", F.expr(f"bands[(band + {d}) % {BANDS}]")) for d in (1, 7, 12)])).alias("cell")
-    )
-    finer = keep(finer)
-    cells = keep(
-        finer.groupBy("cell").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct(_lot("rid", seed), "rid", "comp")).alias("p"))
-        .where("lo < hi").select("cell", "n", F.col("p.rid").alias("pivot"), F.col("p.comp").alias("class"))
-    )
-    finer = keep(finer.join(cells, "cell"))
-    pairs = finer.where((F.col("n") > small) & F.expr("comp != class")).select(F.least("rid", "pivot").alias("a"), F.greatest("rid", "pivot").alias("b"))
-    if small:
-        few = finer.where(F.col("n") <= small).groupBy("cell").agg(F.collect_set(F.struct("comp", "rid")).alias("r"))
-        cross = few.select(F.explode("r").alias("x"), "r").select("x", F.explode(F.expr("filter(r, y -> y.comp > x.comp)")).alias("y"))
-        pairs = pairs.union(cross.select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")))
-    return pairs
-
-
-def _pivots(now: DataFrame, seed: int) -> DataFrame:
-    """Pairs of a crowded bucket's members with a pivot of another class, a class and a pivot of it drawn anew each round."""
-    pivots = now.groupBy("key").agg(F.min(F.struct(_lot("comp", 10 + seed), _lot("rid", 20 + seed), "rid", "comp")).alias("p"))
-    pivots = keep(pivots.select("key", F.col("p.rid").alias("pivot"), F.col("p.comp").alias("class")))
-    return now.join(pivots, "key").where("comp != class").select(F.least("rid", "pivot").alias("a"), F.greatest("rid", "pivot").alias("b"))
-
-
 def _lot(column: str, seed: int) -> Column:
     return F.xxhash64(column, F.lit(seed)).alias(f"lot_{column}")

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from hillwarden.llm import class_lm, decontaminate, exact_dedup, langid, licenses, near_dup, packing, pii, toxicity
+from hillwarden.llm import class_lm, decontaminate, exact_dedup, langid, licenses, near_dup, packing, pii, tables, toxicity
 from hillwarden.llm import token_files as tf
 from hillwarden.llm.queries import tokenizer_path
 from hillwarden.llm.tokens import Encoder
@@ -104,7 +104,7 @@ def test_packed_bits():
 
 
 def test_pieces_give_the_librarys_ids():
-    tool = Encoder(tokenizer_path(), remember=20)
+    tool = Encoder(tokenizer_path(), remember=20 * 205)
     texts = ["", " ", "  a  b ", "a\n b\n\n  c", "tail ", "\n", "it's  <|endoftext|> x  y", "a\nb c\nd\n", "ü 1234 !!! ", "'s 't \t a", "a \x1c b\x85c", prose(500)]
     for _ in range(2):
         ids, begin = tool.batch(texts)
@@ -205,6 +205,30 @@ def test_near_duplicates_joined_by_one_original_only(spark):
     assert [(r.class_id, r["count"]) for r in got] == [(0, 2001)]
 
 
+def test_near_duplicates_with_repeated_passages_equal_brute_force(spark):
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(60):
+        base = prose(60 + 3 * i, 400 + i).split()
+        rows.append((3 * i, " ".join(base)))
+        at = int(rng.integers(0, 40))
+        rows.append((3 * i + 1, " ".join(base + base[at : at + 9] * int(rng.integers(1, 100)))))  # the same, nine words over and over
+        edited = list(base)
+        for place in rng.choice(len(base), int(rng.integers(1, 6)), replace=False):
+            edited[place] = "edit"
+        rows.append((3 * i + 2, " ".join(edited + base[:9] * 30)))
+    sets = {d: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for d, t in rows for w in [t.split()]}
+    want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    root = {d: d for d in sets}
+    for a, b in want:
+        x, y = sorted((root[a], root[b]))
+        root = {d: x if r == y else r for d, r in root.items()}
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(want) > 60
+    found = sum(got[a] == got[b] for a, b in want)
+    assert found >= 0.98 * len(want) and all(got[a] != got[b] or root[a] == root[b] for a in sets for b in sets)
+
+
 def test_near_duplicates_in_blocks(spark):
     base = prose(300, 7).split()
     rows = []
@@ -233,6 +257,24 @@ def test_pii(odd, none):
     assert pii.detect(none).count() == 0
 
 
+def test_pii_of_very_long_runs(spark):
+    rows = [(1, "7" * 100_000), (2, "7 " * 50_000), (3, "1." * 50_000), (4, "+1" * 50_000), (5, "+" + "1 " * 50_000), (6, "a@b" + ".c" * 50_000), (7, "x at " + "b dot " * 20_000)]
+    rows.append((8, rows[1][1] + "a@b.c"))
+    got = {r.doc_id: r for r in pii.detect(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[k].spans for k in (1, 2, 4, 5)] == [""] * 4 and got[3].n_ip == 50_000 // 4
+    assert got[6].spans == f"email:0:{len(rows[5][1])}" and got[8].spans == "email:100000:100005"
+
+
+def test_filters_keep_the_callers_columns(spark):
+    rows = [(1, "a b", 7, "x", 8, 9), (2, "a b", 7, "x", 8, 9), (3, "c", 7, "x", 8, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, rk int, bm_hit string, bm_slot int, bm_word int")
+    left = exact_dedup.first_copies(docs, exact_dedup.exact_dedup(docs))
+    assert left.columns == docs.columns and sorted(map(tuple, left.collect())) == [rows[0], rows[2]]
+    keys = docs.where("doc_id = 3").select(tables.row_key().alias("rk"))
+    left = tables.without(docs, keys)
+    assert left.columns == docs.columns and sorted(map(tuple, left.collect())) == rows[:2]
+
+
 def test_language(spark, odd, none):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").toPandas()
