@@ -73,33 +73,58 @@ VIEWS: dict[str, str] = {
     "public_alerts": """SELECT event_id AS public_id, site_id, ts, ts_updated, alert_level FROM {intervals}""",
 }
 
-# --- text messages: one format per event_id % 16 ---
+# --- text messages: one format per event_id % 20, in the wrong table for every thirteenth ---
 _S = "CAST({} AS VARCHAR(20))"
 _TS = "replace(replace(replace(substr(CAST(ts AS VARCHAR(30)), 3, 17), '-', ''), ':', ''), ' ', '')"
 _V, _K, _E = _S.format("CAST(floor(value) AS INT)"), _S.format("event_id % 100"), _S.format("event_id")
 _CSQ = _S.format("event_id % 31")
+#: Number of a message among those of its format.
+NTH = "CAST((event_id - event_id % 20) / 20 AS BIGINT)"
+_DEC = f"'dec 2' || {_S.format(f'{NTH} % 9')}"
+# Observations in all their outcomes, by error code: read, then what each stage fails on.
+OBSERVATIONS = [
+    (None, f"'Event kod ' || {_DEC} || ' 2023 2:20pm c ' || {_K} || '.4cm d 38.5cm makulimlim rosa bautista'"),
+    (1, f"'Rutine kod ' || {_DEC} || ' 2023 2:20pm c 40.4cm makulimlim rosa bautista'"),
+    (2, f"'Event qqq ' || {_DEC} || ' 2023 2:20pm c 40.4cm makulimlim rosa bautista'"),
+    (4, "'Event kod dec 2:20pm c 40.4cm makulimlim rosa bautista'"),
+    (5, f"'Event kod ' || {_DEC} || ' 2021 2:20pm c 40.4cm makulimlim rosa bautista'"),
+    (6, f"'Event kod ' || {_DEC} || ' 2023 2:20pm makulimlim rosa bautista'"),
+    (7, f"'Event kod ' || {_DEC} || ' 2023 14:20pm c 40.4cm makulimlim rosa bautista'"),
+    (8, f"'Event kod ' || {_DEC} || ' 2023 c 40.4cm makulimlim rosa bautista'"),
+    (9, f"'Event kod ' || {_DEC} || ' 2023 9:20pm c 40.4cm makulimlim rosa bautista'"),
+    (10, f"'Event kod ' || {_DEC} || ' 2023 2:20pm c 40.4cm rosa bautista'"),
+    (11, f"'Event kod ' || {_DEC} || ' 2023 2:20pm c 40.4cm makulimlim rb'"),
+]
+_AXES = f"0001,0' || {_S.format('100 + event_id % 900')} || ',FFFE,0004,0005,0006,0007,0008,0009,000A"
+# (table of origin, text); made up from the descriptions of the formats.
 FORMATS = [
-    f"'INAXA*U*LA:' || {_V} || '*MX:' || {_K} || '.5*MI:' || {_S.format('event_id % 4000')} || '*TP:23.31*' || {_TS}",
-    f"'IMULA*L*LR:' || {_V} || '.25*BV:8.45*BI:128.60*AC:' || {_K} || '.5,-0.1089,-0.3942*MG:1.5,2.5,3.5*GR:4.5,5.5,' || {_K} || '*TP:33.25*' || {_TS}",
-    f"'LTESA*m* 0.70*14.12*136.80*14.' || {_S.format('10 + event_id % 90')} || '* 0.90*14.02>' || {_K} || '*' || {_TS}",
-    f"'ARQ+' || {_S.format('event_id % 40')} || '+0+4.158+4.204+0.1268+5.088+0.121+1000+' || {_CSQ} || '+31.5+84.1+233+' || substr({_TS}, 1, 6) || '/' || substr({_TS}, 7, 6)",
-    f"'IMUW,' || substr({_TS}, 3, 2) || '/' || substr({_TS}, 5, 2) || '/' || substr({_TS}, 1, 2) || ',' || substr(CAST(ts AS VARCHAR(30)), 12, 8) || ',0,,' || {_K} || '.5,' || {_V} || '.25,13.03,' || {_CSQ}",
-    f"'IMUG,25.5,' || {_V} || '.5,13.03,' || {_CSQ} || ',' || {_TS}",
-    f"'COORDINATOR*RSSI,SITE,ROUTA,' || {_K} || ',3.5,ROUTB,' || {_CSQ} || ',,ROUTZ,5,*' || {_TS}",
-    f"'INAST*R*1.5,' || {_K} || '.5,3.5,4,5,6,7,8,9,' || {_V} || ',' || {_TS}",
-    f"'SINUA:16.723474503,120.' || {_S.format('781250000 + event_id % 1000')} || ',2324.02,0.3946:33.00,4.' || {_S.format('10 + event_id % 80')} || '*' || {_TS}",
-    f"'ACK ' || {_E} || CASE WHEN event_id % 3 = 0 THEN ' valid' WHEN event_id % 3 = 1 THEN ' Invalid' ELSE ' validating' END || ' seen by ' || {_K}",
-    f"'EQInfo1: ' || {_S.format('10 + event_id % 19')} || 'Mar2018 0' || {_S.format('1 + event_id % 9')} || ':05AM Ms=' || {_S.format('1 + event_id % 7')} || '.5 D=0' || {_S.format('10 + event_id % 80')} || 'km 08.26N, 126.02E - 011km N20E of Bunawan (Agusan Del Sur) <RAP>'",
-    f"'RiskAssessmentSummary:a' || {_K} || '<*>b||c<*>' || {_V}",
-    "CASE event_id % 5 WHEN 0 THEN 'Registered ok' WHEN 1 THEN 'system startup' WHEN 2 THEN 'manual reset' WHEN 3 THEN 'POWER SAVING ACTIVATED' ELSE 'SMS RESET' END",
-    f"'Routine ina jan 1' || {_S.format('event_id % 9')} || ' 2024 8:45am a ' || {_K} || '.1cm b 61.5cm maulan juan delacruz'",
-    f"'hello ' || {_K}",
-    f"'PUGBPZ*' || substr({_S.format('1000000000 + (event_id * 7919) % 1000000000')}, 1, 10) || '*' || {_TS}",
+    ("loggers", f"'KODXB*U*LA:' || {_V} || '*MX:' || {_K} || '.25*MI:' || {_S.format('event_id % 3000')} || '*TP:17.75*' || {_TS}"),
+    ("loggers", f"'KODLC*L*LR:' || {_V} || '.75*BV:12.50*BI:90.25*AC:' || {_K} || '.5,0.125,-0.5*MG:7.5,8.5,9.5*GR:2.25,3.25,' || {_K} || '*TP:19.50*' || {_TS}"),
+    ("loggers", f"'VARSA*m* 1.25*12.50*88.50*13.' || {_S.format('10 + event_id % 90')} || '* 2.75*11.75>' || {_K} || '*' || {_TS}"),
+    ("loggers", f"'ARQ+' || {_S.format('event_id % 40')} || '+1+3.905+3.955+0.2055+6.120+0.305+900+' || {_CSQ} || '+27.5+61.5+188+' || substr({_TS}, 1, 6) || '/' || substr({_TS}, 7, 6)"),
+    ("loggers", f"'KODW,' || substr({_TS}, 3, 2) || '/' || substr({_TS}, 5, 2) || '/' || substr({_TS}, 1, 2) || ',' || substr(CAST(ts AS VARCHAR(30)), 12, 8) || ',7,,' || {_K} || '.25,' || {_V} || '.75,12.61,' || {_CSQ}"),
+    ("loggers", f"'KODG,18.5,' || {_V} || '.25,12.61,' || {_CSQ} || ',' || {_TS}"),
+    ("loggers", f"'GATEWAY*RSSI,HILL,NODEP,' || {_K} || ',2.75,NODEQ,' || {_CSQ} || ',,NODEX,9,*' || {_TS}"),
+    ("loggers", f"'KODST*F*2.5,' || {_K} || '.25,4.5,1,2,3,4,5,6,' || {_V} || ',' || {_TS}"),
+    ("loggers", f"'VARUB:11.204837561,124.' || {_S.format('300000000 + event_id % 1000')} || ',318.75,0.0525:21.50,3.' || {_S.format('10 + event_id % 80')} || '*' || {_TS}"),
+    ("users", f"'Ack ' || {_E} || CASE WHEN event_id % 3 = 0 THEN ' VALID' WHEN event_id % 3 = 1 THEN ' invalid' ELSE ' Validating' END || ' checked by ' || {_K}"),
+    ("users", f"'EQInfo7: ' || {_S.format('10 + event_id % 19')} || 'Sep2021 0' || {_S.format('1 + event_id % 9')} || ':40PM Mw=' || {_S.format('1 + event_id % 7')} || '.2 D=0' || {_S.format('10 + event_id % 80')} || 'km 11.40N, 124.85E - 023km S15W of Lumbang (Isla Norte) <PIV>'"),
+    ("users", f"'FieldSurveyLogs:x' || {_K} || '<*>y: noon||z<*>' || {_V}"),
+    ("loggers", f"CASE {NTH} % 5 WHEN 0 THEN 'unit registered' WHEN 1 THEN 'now system startup' WHEN 2 THEN 'Manual reset by key' WHEN 3 THEN 'power saving deactivated' ELSE 'sms reset done' END"),
+    ("users", f"CASE {NTH} % {len(OBSERVATIONS)} " + " ".join(f"WHEN {n} THEN {t}" for n, (_, t) in enumerate(OBSERVATIONS)) + " END"),
+    ("users", f"'kumusta ' || {_K}"),
+    ("loggers", f"'PUGBPZ*' || substr({_S.format('1000000000 + (event_id * 7919) % 1000000000')}, 1, 10) || '*' || {_TS}"),
+    ("loggers", f"'KODTDUE*01' || {_S.format('100 + event_id % 900')} || '00A0140' || {_S.format('100 + event_id % 900')} || '*' || {_TS}"),
+    ("loggers", f"'KODTB*x*010B' || {_S.format('100 + event_id % 900')} || 'A00B0080020B0A10C00D08C*' || {_TS}"),
+    ("loggers", f"'KODTB*AL*BQAABACCACQAABACCB*' || {_TS}"),
+    ("loggers", f"'KODNB*0:{_AXES},;1:{_AXES};2,20.25,3.95*' || {_TS}"),
 ]
 VIEWS["messages"] = (
     "SELECT event_id AS inbox_id, CASE "
-    + " ".join(f"WHEN event_id % 16 = {n} THEN {f}" for n, f in enumerate(FORMATS))
-    + " END AS msg, '639' || substr(CAST(1000000000 + user_id AS VARCHAR(20)), 2, 9) AS sim_num, ts, CASE WHEN event_id % 2 = 0 THEN 'loggers' ELSE 'users' END AS source, CASE WHEN event_id % 3 = 0 THEN 'READ-SUCCESS' ELSE 'UNREAD' END AS status, user_id, value FROM {events}"
+    + " ".join(f"WHEN event_id % 20 = {n} THEN {f}" for n, (_, f) in enumerate(FORMATS))
+    + " END AS msg, '639' || substr(CAST(1000000000 + user_id AS VARCHAR(20)), 2, 9) AS sim_num, ts, CASE WHEN event_id % 20 IN ("
+    + ", ".join(str(n) for n, (t, _) in enumerate(FORMATS) if t == "users")
+    + ") THEN CASE WHEN event_id % 13 = 0 THEN 'loggers' ELSE 'users' END ELSE CASE WHEN event_id % 13 = 0 THEN 'users' ELSE 'loggers' END END AS source, CASE WHEN event_id % 3 = 0 THEN 'READ-SUCCESS' ELSE 'UNREAD' END AS status, user_id, value FROM {events}"
 )
 
 _REF = re.compile(r"\{([a-z_]+)\}")

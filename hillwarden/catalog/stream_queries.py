@@ -12,6 +12,7 @@ import tempfile
 from pyspark.sql import DataFrame, functions as F
 
 from ..streaming import streams as ST
+from .message_queries import READ, SENDER, routers, sites, tip_gauges
 from .registry import query
 
 
@@ -100,12 +101,25 @@ def _(i):
     return d.filter("ts_ack IS NOT NULL").select("stat_id", "alert_status")
 
 
-@query("stream_decoded", "T1,M21", "SELECT event_id AS inbox_id, CASE WHEN event_id % 16 IN (0, 1, 2, 4, 5, 7, 8, 15) THEN 1 ELSE -1 END AS read_status FROM {events}")
-def _(i):
+def _landed(i):
+    """The texts as files, as a gateway would land them, and a new folder for the outputs."""
     folder = _scratch(i.spark)
-    # land the texts as files, as a gateway would, then stream them
-    m = i.messages.select("inbox_id", "msg", "sim_num", "ts")
+    m = i.messages.select("inbox_id", "msg", "sim_num", "ts", "source")
     m.write.parquet(f"{folder}/landed")
-    src = ST.file_stream(i.spark, f"{folder}/landed", m.schema)
-    ST.decode_stream(src, f"{folder}/out", f"{folder}/ckpt").awaitTermination()
+    return ST.file_stream(i.spark, f"{folder}/landed", m.schema), folder
+
+
+@query("stream_decoded", "T1,M21", f"SELECT inbox_id, {READ} AS read_status FROM {{messages}}")
+def _(i):
+    src, folder = _landed(i)
+    # registries are read anew in every batch
+    known = lambda: {"mobiles": i.mobiles, "gauges": tip_gauges(i), "routers": routers(i), "sites": sites(i)}
+    ST.decode_stream(src, f"{folder}/out", f"{folder}/ckpt", known).awaitTermination()
     return i.spark.read.parquet(f"{folder}/out/ledger").select("inbox_id", "read_status")
+
+
+@query("stream_enriched", "T8", f"WITH {SENDER} SELECT inbox_id, logger_id FROM {{messages}} m LEFT JOIN nm ON right(m.sim_num, 10) = nm.num")
+def _(i):
+    src, folder = _landed(i)
+    ST.enrich_stream(src, lambda: i.mobiles, f"{folder}/out", f"{folder}/ckpt").awaitTermination()
+    return i.spark.read.parquet(f"{folder}/out/enriched").select("inbox_id", "logger_id")

@@ -375,7 +375,7 @@ def _keyed(messages: DataFrame, keys: dict[str, str]) -> DataFrame:
     # later repeats of a key win, hence the filter per key and its last element
     d = messages.withColumn("__kv", found)
     pick = lambda k: F.try_element_at(F.filter("__kv", lambda x: F.substring(x, 1, 2) == k), F.lit(-1))
-    d = d.withColumns({c: F.substring(pick(k), 4, 40).try_cast("double") for k, c in keys.items()})
+    d = d.withColumns({c: F.substr(pick(k), F.lit(4)).try_cast("double") for k, c in keys.items()})
     return d.withColumn("ts", second(F.regexp_extract("msg", r"(?<=\*)[0-9]{12}$", 0))).filter(
         F.col("ts").isNotNull() & F.coalesce(*keys.values()).isNotNull()
     ).drop("__kv")

@@ -120,7 +120,7 @@ def extract_observations(messages: DataFrame, sites: DataFrame, as_of: Column, m
     )
     # weather
     w = F.coalesce(*[found("__t5", rf"(?i)(?:(?<= )|(?<=^))[A-Z]*{k}[A-Z]*(?= )") for k in WEATHER])
-    d = d.withColumn("weather", F.substring(w, 1, 20))
+    d = d.withColumn("weather", w)
     d = d.withColumn("__t6", without(F.col("__t5"), F.col("weather")))
     d = d.withColumn("__names", F.regexp_extract_all("__t6", F.lit(NAME), F.lit(1)))
     err = (
@@ -141,7 +141,7 @@ def extract_observations(messages: DataFrame, sites: DataFrame, as_of: Column, m
     meas = F.transform("__ms", lambda m: F.struct(F.substring(m, 1, 1).alias("marker_name"), value(m).alias("measurement")))
     fields = [
         err.alias("err_code"), *[F.when(ok, F.col(c)).alias(c) for c in ("meas_type", "site_id", "site_code", "obs_ts", "weather")],
-        F.when(ok, F.substring(F.array_join("__names", " "), 1, 100)).alias("observer_name"), F.when(ok, meas).alias("measurements"),
+        F.when(ok, F.array_join("__names", " ")).alias("observer_name"), F.when(ok, meas).alias("measurements"),
     ]
     # A generator, so that later filters on the outcome are not pushed into
     # (and do not repeat) the chain of stages above.

@@ -53,6 +53,11 @@ STATUS_CODES = [
 ]
 
 
+# Routes that count as handled whatever their decoder finds.
+ALWAYS_HANDLED = ("rain_csv", "rain_arq", "status", "acknowledgement")
+ROUTES = [*dict.fromkeys(n for n, _ in LOGGER_ROUTES), *(n for n, _ in USER_ROUTES), "status", "unknown"]
+
+
 def _cascade(text: Column, rules, default: Column) -> Column:
     out = None
     for value, pattern in rules:
@@ -61,8 +66,9 @@ def _cascade(text: Column, rules, default: Column) -> Column:
     return out.otherwise(default)
 
 
-def status_code(msg: str = "msg") -> Column:
-    return _cascade(F.upper(msg), [(c, p) for p, c in STATUS_CODES], F.lit(None).cast("int"))
+def status_code(msg: str = "msg", codes=STATUS_CODES) -> Column:
+    """Code of a status text; ``codes`` takes other texts, such as a maker's full wording."""
+    return _cascade(F.upper(msg), [(c, p) for p, c in codes], F.lit(None).cast("int"))
 
 
 def classify_status(messages: DataFrame) -> DataFrame:
@@ -70,10 +76,20 @@ def classify_status(messages: DataFrame) -> DataFrame:
 
 
 def route(messages: DataFrame) -> DataFrame:
-    """Add ``route``: logger formats, then people's formats, status, unknown."""
-    rest = F.when(status_code().isNotNull(), "status").otherwise("unknown")
-    user = _cascade(F.upper("msg"), USER_ROUTES, rest)
-    return messages.withColumn("route", _cascade(F.col("msg"), LOGGER_ROUTES, user))
+    """Add ``route``: the first format that fits, status, or unknown.
+
+    Where messages have a ``source``, texts of the table of loggers are tried
+    against logger formats and status texts, those of the table of users
+    against people's formats only. Without it, or where it is neither, all are
+    tried in that order.
+    """
+    status = F.when(status_code().isNotNull(), "status").otherwise("unknown")
+    logger = _cascade(F.col("msg"), LOGGER_ROUTES, status)
+    user = _cascade(F.upper("msg"), USER_ROUTES, F.lit("unknown"))
+    any_of = _cascade(F.col("msg"), LOGGER_ROUTES, _cascade(F.upper("msg"), USER_ROUTES, status))
+    if "source" not in messages.columns:
+        return messages.withColumn("route", any_of)
+    return messages.withColumn("route", F.when(F.col("source") == "loggers", logger).when(F.col("source") == "users", user).otherwise(any_of))
 
 
 def last_ten(number: str) -> Column:
@@ -88,12 +104,29 @@ def resolve_sender(messages: DataFrame, mobiles: DataFrame) -> DataFrame:
     return messages.withColumn("__num", last_ten("sim_num")).join(one, "__num", "left").drop("__num")
 
 
-def parse_ledger(messages: DataFrame, decoded_ids: DataFrame) -> DataFrame:
-    """1 for messages some decoder turned into rows, -1 for the rest."""
+def handled() -> Column:
+    """Routed messages that count as handled even if no row came of them.
+
+    Rain texts, status texts and acknowledgements always do, a router's signal
+    list if its type and time can be read (its routers may all be unknown),
+    and texts of people that fit no format.
+    """
+    field = lambda n: F.try_element_at(F.split("msg", r"\*"), F.lit(n))
+    signal = (F.col("route") == "rssi") & field(2).startswith("RSSI,") & F.try_to_timestamp(field(3), F.lit("yyMMddHHmmss")).isNotNull()
+    return F.col("route").isin(*ALWAYS_HANDLED) | F.coalesce(signal, F.lit(False)) | F.coalesce((F.col("route") == "unknown") & (F.col("source") == "users"), F.lit(False))
+
+
+def with_outcome(routed: DataFrame, decoded_ids: DataFrame) -> DataFrame:
+    """Add ``read_status``: 1 for messages that some decoder turned into rows or that count as handled, -1 for the rest."""
+    if "source" not in routed.columns:
+        routed = routed.withColumn("source", F.lit(None).cast("string"))
     ok = decoded_ids.select("inbox_id").distinct().withColumn("__ok", F.lit(1))
-    return messages.join(ok, "inbox_id", "left").select(
-        "inbox_id", F.when(F.col("__ok") == 1, 1).otherwise(-1).alias("read_status")
-    )
+    return routed.join(ok, "inbox_id", "left").withColumn("read_status", F.when((F.col("__ok") == 1) | handled(), 1).otherwise(-1)).drop("__ok")
+
+
+def parse_ledger(routed: DataFrame, decoded_ids: DataFrame) -> DataFrame:
+    """Outcome of every routed message; none is ever read again."""
+    return with_outcome(routed, decoded_ids).select("inbox_id", "read_status")
 
 
 def sensors_to_evaluate(tilt: DataFrame, key: str = "tsm_name") -> DataFrame:

@@ -13,7 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators import decode_logger as D, routing as RT
+from ..operators import decode_logger as D, decode_text as X, routing as RT
+from ..sources import sinks as SK
 
 
 def file_stream(spark: SparkSession, path: str, schema: str, max_files: int = 100) -> DataFrame:
@@ -27,60 +28,98 @@ def timed(df: DataFrame, delay: str, ts: str = "ts") -> DataFrame:
 
 # --- decoding ----------------------------------------------------------------
 
-# family -> (routes, decoder of those routes)
-FAMILIES: dict[str, tuple[tuple[str, ...], Callable[[DataFrame], DataFrame]]] = {
-    "tilt_v2": (("v2",), D.decode_v2),
-    "soms_v2": (("v2",), D.decode_soms),
-    "temp_v2": (("v2",), D.decode_temp),
-    "tilt_v1": (("v1",), lambda m: D.decode_v1(m)[0]),
-    "soms_v1": (("v1",), lambda m: D.decode_v1(m)[1]),
-    "tilt_b64": (("b64",), lambda m: D.decode_b64(m)[0]),
-    "temp_b64": (("b64",), lambda m: D.decode_b64(m)[1]),
-    "volt": (("diagnostics",), lambda m: D.decode_diag(m)[0]),
-    "rain": (("rain_csv",), D.decode_rain_csv),
-    "extensometer": (("extensometer",), D.decode_extensometer),
-    "lidar": (("lidar",), D.decode_lidar),
-    "gnss": (("gnss",), D.decode_gnss),
-    "tilt_vector": (("tilt_vector",), D.decode_tilt_vector),
-    "tilt_vector_v2": (("tilt_vector_v2",), D.decode_tilt_vector_v2),
-    "piezo": (("piezo",), D.decode_piezo),
+Registries = dict[str, DataFrame]
+
+# family -> (route, decoder of that route with the registries of the batch, time column)
+FAMILIES: dict[str, tuple[str, Callable[[DataFrame, Registries], DataFrame], str]] = {
+    "tilt_v2": ("v2", lambda m, r: D.decode_v2(m), "ts"),
+    "soms_v2": ("v2", lambda m, r: D.decode_soms(m), "ts"),
+    "temp_v2": ("v2", lambda m, r: D.decode_temp(m), "ts"),
+    "tilt_v1": ("v1", lambda m, r: D.decode_v1(m)[0], "ts"),
+    "soms_v1": ("v1", lambda m, r: D.decode_v1(m)[1], "ts"),
+    "tilt_b64": ("b64", lambda m, r: D.decode_b64(m)[0], "ts"),
+    "temp_b64": ("b64", lambda m, r: D.decode_b64(m)[1], "ts"),
+    "volt": ("diagnostics", lambda m, r: D.decode_diag(m)[0], "ts"),
+    "unsent": ("diagnostics", lambda m, r: D.decode_diag(m)[1], "ts"),
+    "rain": ("rain_csv", lambda m, r: D.decode_rain_csv(m), "ts"),
+    "rain_tips": ("rain_arq", lambda m, r: D.decode_rain_arq(m, r["mobiles"], r["gauges"]), "ts"),
+    "router_signal": ("rssi", lambda m, r: D.decode_rssi(m, r["routers"]), "ts"),
+    "extensometer": ("extensometer", lambda m, r: D.decode_extensometer(m), "ts"),
+    "lidar": ("lidar", lambda m, r: D.decode_lidar(m), "ts"),
+    "gnss": ("gnss", lambda m, r: D.decode_gnss(m), "ts"),
+    "tilt_vector": ("tilt_vector", lambda m, r: D.decode_tilt_vector(m), "ts"),
+    "tilt_vector_v2": ("tilt_vector_v2", lambda m, r: D.decode_tilt_vector_v2(m), "ts"),
+    "piezo": ("piezo", lambda m, r: D.decode_piezo(m), "ts"),
+    "quakes": ("earthquake", lambda m, r: X.extract_quakes(m), "event_ts"),
+    "acknowledgements": ("acknowledgement", lambda m, r: X.extract_acks(m), "ts_ack"),
+    # a text is judged at its own time of arrival, so a replay gives the same
+    "observations": ("observation", lambda m, r: X.extract_observations(m, r["sites"], F.col("ts")).filter("err_code IS NULL").drop("err_code"), "obs_ts"),
+    "status": ("status", lambda m, r: RT.classify_status(m).select("inbox_id", "ts", "sim_num", "status_code"), "ts"),
+    "sync": ("unknown", lambda m, r: X.decode_sync(m), "ts"),
 }
 
 
-def decode_batch(messages: DataFrame, out: str, batch_id: int, families=FAMILIES) -> None:
+def decode_batch(messages: DataFrame, out: str, batch: int, registries: Registries, families=FAMILIES) -> None:
     """Write every family, the outcome ledger and the dead letters of one batch.
 
-    The batch number is part of each path and files are overwritten, so a
-    replayed batch leaves the same tables: exactly once per message.
+    One pass routes the batch into a staging table partitioned by route, which
+    the next batch replaces; every family reads its route's files only, and a
+    route without rows is not decoded. The tables are partitioned by day (of
+    the row's time; of arrival for ledger and dead letters), so their folders
+    do not grow with the number of batches. Rows carry the batch number: where
+    a batch may have run before, its rows are taken out first, so the tables
+    hold each message's rows exactly once. Messages need inbox_id, msg,
+    sim_num, ts and source.
+    """
+    spark = messages.sparkSession
+    if SK.begin_batch(spark, out, batch):
+        for name in (*families, "ledger", "dead_letters"):
+            SK.drop_batch(spark, f"{out}/{name}", batch, "day")
+    staging, routed = f"{out}/_routed", RT.route(messages)
+    routed.write.mode("overwrite").partitionBy("route").parquet(staging)
+    routed = spark.read.schema(routed.schema).parquet(staging)
+    present = {r[0] for r in routed.select("route").distinct().collect()}  # at most one row a route
+    ids = routed.select("inbox_id").limit(0)
+    for name, (source, decode, time) in families.items():
+        if source in present:
+            rows = decode(routed.filter(F.col("route") == source).drop("route"), registries)
+            ids = ids.unionByName(SK.append_batch(rows, f"{out}/{name}", batch, "day", F.to_date(time)).select("inbox_id"))
+    judged = RT.with_outcome(routed, ids)
+    SK.append_batch(judged.select("inbox_id", "ts", "read_status"), f"{out}/ledger", batch, "day", F.to_date("ts"))
+    SK.append_batch(judged.filter("read_status = -1").drop("read_status"), f"{out}/dead_letters", batch, "day", F.to_date("ts"))
+
+
+def decode_stream(messages: DataFrame, out: str, checkpoint: str, registries: Callable[[], Registries], families=FAMILIES, **trigger):
+    """Start the decoding stream; the checkpoint takes the place of a read flag.
+
+    ``registries`` is called for every batch and gives the senders, gauges,
+    routers and sites as they are then.
     """
-    routed = RT.route(messages)
-    folder = f"batch={batch_id}"
-    ids = None
-    for name, (routes, decode) in families.items():
-        rows = decode(routed.filter(F.col("route").isin(*routes)))
-        rows.write.mode("overwrite").parquet(f"{out}/{name}/{folder}")
-        done = messages.sparkSession.read.parquet(f"{out}/{name}/{folder}").select("inbox_id")
-        ids = done if ids is None else ids.unionByName(done)
-    ledger = RT.parse_ledger(messages, ids)
-    ledger.write.mode("overwrite").parquet(f"{out}/ledger/{folder}")
-    done = messages.sparkSession.read.parquet(f"{out}/ledger/{folder}").filter("read_status = -1")
-    messages.join(done.select("inbox_id"), "inbox_id", "left_semi").write.mode("overwrite").parquet(f"{out}/dead_letters/{folder}")
-
-
-def decode_stream(messages: DataFrame, out: str, checkpoint: str, families=FAMILIES, **trigger):
-    """Start the decoding stream; the checkpoint takes the place of a read flag."""
     return (
-        messages.writeStream.foreachBatch(lambda b, n: decode_batch(b, out, n, families))
+        messages.writeStream.foreachBatch(lambda b, n: decode_batch(b, out, n, registries(), families))
         .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
     )
 
 
-def enrich_stream(messages: DataFrame, mobiles: DataFrame) -> DataFrame:
-    """Stream-static join; the static side is read anew in every batch."""
-    newest = mobiles.withColumn("__num", RT.last_ten("sim_num")).groupBy("__num").agg(
-        F.max_by("logger_id", F.struct("date_activated", "mobile_id")).alias("logger_id")
+def enrich_batch(messages: DataFrame, out: str, batch: int, mobiles: DataFrame) -> None:
+    """Write one batch's messages with the logger behind their number, partitioned by day of arrival."""
+    spark = messages.sparkSession
+    if SK.begin_batch(spark, out, batch):
+        SK.drop_batch(spark, f"{out}/enriched", batch, "day")
+    SK.append_batch(RT.resolve_sender(messages, mobiles), f"{out}/enriched", batch, "day", F.to_date("ts"))
+
+
+def enrich_stream(messages: DataFrame, mobiles: Callable[[], DataFrame], out: str, checkpoint: str, **trigger):
+    """Start a stream-static join with senders.
+
+    A static side inside a streaming plan keeps the files it was planned with.
+    Here ``mobiles`` is called for every batch, so a number that is registered
+    between two batches is known in the second.
+    """
+    return (
+        messages.writeStream.foreachBatch(lambda b, n: enrich_batch(b, out, n, mobiles()))
+        .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
     )
-    return messages.withColumn("__num", RT.last_ten("sim_num")).join(newest, "__num", "left").drop("__num")
 
 
 # --- windows -----------------------------------------------------------------

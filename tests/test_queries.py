@@ -62,19 +62,3 @@ def test_stream_equals_batch(spark):
     s = {(r.site_id, r.alert_level, ms(r.ts)) for r in entry.queries()["stream_alert_intervals"](spark, SF).collect()}
     b = {(r.site_id, r.alert_level, ms(r.ts)) for r in entry.queries()["merge_alert_intervals"](spark, SF).collect()}
     assert s <= b and len(b - s) <= 5
-
-
-def test_decode_stream_is_exactly_once(spark, tmp_path):
-    from hillwarden.catalog.registry import Inputs
-    from hillwarden.streaming import streams as ST
-
-    src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
-    m = Inputs(spark, SF).messages.select("inbox_id", "msg", "sim_num", "ts")
-    m.repartition(2).write.parquet(src)
-    fam = {k: ST.FAMILIES[k] for k in ("gnss", "extensometer")}
-    for _ in range(2):  # the second start finds nothing new
-        ST.decode_stream(ST.file_stream(spark, src, m.schema), out, ck, fam).awaitTermination()
-    assert spark.read.parquet(f"{out}/gnss").count() == 62
-    led = {r.read_status: r["count"] for r in spark.read.parquet(f"{out}/ledger").groupBy("read_status").count().collect()}
-    assert led == {1: 125, -1: 875}
-    assert spark.read.parquet(f"{out}/dead_letters").count() == 875
