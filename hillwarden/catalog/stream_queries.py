@@ -12,6 +12,7 @@ import tempfile
 from pyspark.sql import DataFrame, functions as F
 
 from ..streaming import streams as ST
+from .field_queries import merge_sql
 from .message_queries import READ, SENDER, routers, sites, tip_gauges
 from .registry import query
 
@@ -51,54 +52,82 @@ def _(i):
     return replay(i, "events", shape, ST.rain_stream).select("rain_id", F.col("ts").cast("timestamp_ntz").alias("slot"), "rain")
 
 
-@query("stream_deduplicated", "T10", "SELECT count(*) AS n FROM (SELECT DISTINCT user_id, event_type FROM {events})")
+def replay_all(i, shape, build, twice: bool = False) -> DataFrame:
+    """Stream the whole events table and, in a file after it, one row of a year later that carries the watermark past all others.
+
+    So what a stream holds back until its end is emitted too. The last row's
+    key is -1 and is left out of the result. ``twice`` lands every row again
+    in a second file.
+    """
+    folder = _scratch(i.spark)
+    land = lambda d, n: d.coalesce(1).write.parquet(f"{folder}/in/{n}")
+    rows = shape(i.events)
+    land(rows, "a")
+    if twice:
+        land(rows, "b")
+    last = rows.agg(*[(F.max("ts") + F.expr("INTERVAL 365 DAYS")).alias(c) if c == "ts" else F.lit(-1).cast(t).alias(c) for c, t in rows.dtypes])
+    src = i.spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    land(last, "c")  # files are taken by age
+    df = build(src)
+    q = df.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/ckpt").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return i.spark.read.schema(df.schema).parquet(f"{folder}/out").filter(F.col(df.columns[0]) != -1)
+
+
+@query("stream_deduplicated", "T10", "SELECT event_id, user_id, event_type FROM {events}")
 def _(i):
-    shape = lambda s: s.select("ts", "user_id", "event_type")
-    # a delay longer than the table keeps every key
-    return replay(i, "events", shape, lambda s: ST.dedupe_stream(s, ["user_id", "event_type"], "400 days")).agg(F.count(F.lit(1)).alias("n"))
+    # every row arrives twice; only two days of keys are held
+    return replay_all(i, lambda s: s.select("event_id", "ts", "user_id", "event_type"), lambda s: ST.dedupe_stream(s, ["event_id"]), True).select("event_id", "user_id", "event_type")
 
 
-@query("stream_trending", "T4")
+@query("stream_trending", "T4", """SELECT site_id, w + INTERVAL 3 HOUR AS ts, count(*) AS n, 2 AS level FROM (SELECT CAST(user_id % 5 AS INT) AS site_id, time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE * k AS w FROM {events} CROSS JOIN (SELECT unnest(range(0, 6)) AS k) WHERE value >= 50) GROUP BY 1, 2 HAVING count(*) > 3""")
 def _(i):
-    shape = lambda s: s.select("ts", (F.col("user_id") % 5).cast("int").alias("site_id"), F.when(F.col("value") >= 50, 2).otherwise(0).alias("alert_level"))
-    return replay(i, "events", shape, lambda s: ST.trending_stream(s, ["site_id"], "alert_level"))
+    shape = lambda s: s.select((F.col("user_id") % 5).cast("int").alias("site_id"), "ts", F.when(F.col("value") >= 50, 2).otherwise(0).alias("alert_level"))
+    return replay_all(i, shape, lambda s: ST.trending_stream(s, ["site_id"], "alert_level")).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
-@query("stream_event_sessions", "T7")
+@query("stream_event_sessions", "T7", """SELECT user_id, min(ts) AS event_start, max(ts) AS last_ts, count(*) AS n FROM (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts) AS g FROM (SELECT user_id, ts, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE >= ts THEN 0 ELSE 1 END AS s FROM {events})) GROUP BY user_id, g""")
 def _(i):
-    shape = lambda s: s.select("ts", "user_id")
-    return replay(i, "events", shape, lambda s: ST.event_session_stream(s, ["user_id"]))
+    d = replay_all(i, lambda s: s.select("user_id", "ts"), lambda s: ST.event_session_stream(s, ["user_id"]))
+    return d.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("event_start", "last_ts")})
 
 
-@query("stream_alert_intervals", "T3")
+@query("stream_alert_intervals", "T3", merge_sql("SELECT site_id, ts, first(alert_level ORDER BY event_id) AS alert_level FROM {evals} GROUP BY site_id, ts", "site_id", "alert_level", 90))
 def _(i):
-    shape = lambda s: s.select("ts", (F.col("user_id") % 5).cast("int").alias("site_id"), F.when(F.col("value") >= 90, 3).when(F.col("value") >= 50, 2).when(F.col("value") >= 5, 0).otherwise(-1).alias("alert_level"))
-    return replay(i, "events", shape, lambda s: ST.merge_alert_stream(s, "site_id", "alert_level"))
+    shape = lambda s: s.select((F.col("user_id") % 5).cast("int").alias("site_id"), "ts", F.when(F.col("value") >= 90, 3).when(F.col("value") >= 50, 2).when(F.col("value") >= 5, 0).otherwise(-1).alias("alert_level"), "event_id")
+    d = replay_all(i, shape, lambda s: ST.merge_alert_stream(s, "site_id", "alert_level", tie="event_id"))
+    return d.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("ts", "ts_updated")})
 
 
-@query("stream_cooldown", "T5")
+@query("stream_cooldown", "T5", "WITH RECURSIVE r AS (SELECT user_id, min(ts) AS ts FROM {events} GROUP BY 1 UNION ALL SELECT r.user_id, (SELECT min(e.ts) FROM {events} e WHERE e.user_id = r.user_id AND e.ts > r.ts + INTERVAL 1 DAY) FROM r WHERE r.ts IS NOT NULL) SELECT user_id, ts FROM r WHERE ts IS NOT NULL")
 def _(i):
-    shape = lambda s: s.select("ts", "user_id")
-    return replay(i, "events", shape, lambda s: ST.cooldown_stream(s, "user_id"))
+    d = replay_all(i, lambda s: s.select("user_id", "ts"), lambda s: ST.cooldown_stream(s, "user_id"))
+    return d.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+# Every second customer is a registered device; most of them have never sent.
+DEVICES = "SELECT c_custkey AS user_id, CAST('2024-01-05 00:00:00' AS TIMESTAMP) AS since FROM {customer} WHERE c_custkey % 2 = 0"
 
 
-@query("stream_silence", "T6")
+@query("stream_silence", "T6", f"""WITH d AS ({DEVICES}), g AS (SELECT user_id, ts, coalesce(lead(ts) OVER (PARTITION BY user_id ORDER BY ts) > ts + INTERVAL 3 DAY, true) AS silent FROM {{events}})
+SELECT user_id, ts AS last_ts, false AS never FROM g WHERE silent UNION ALL SELECT user_id, NULL, true FROM d WHERE NOT EXISTS (SELECT 1 FROM {{events}} e WHERE e.user_id = d.user_id AND e.ts <= since + INTERVAL 3 DAY)""")
 def _(i):
-    shape = lambda s: s.select("ts", "user_id")
-    return replay(i, "events", shape, lambda s: ST.silence_stream(s, "user_id", 3))
+    known = i.spark.sql(DEVICES.replace("AS TIMESTAMP)", "AS TIMESTAMP_NTZ)"), customer=i.customer)
+    d = replay_all(i, lambda s: s.select("user_id", "ts"), lambda s: ST.silence_stream(s, "user_id", registry=known))
+    return d.withColumn("last_ts", F.col("last_ts").cast("timestamp_ntz"))
 
 
-@query("stream_acknowledgements", "T9", "SELECT event_id AS stat_id, CAST(event_id % 2 AS INT) AS alert_status FROM {events} WHERE event_type = 'purchase' AND event_id % 3 = 0")
+@query("stream_acknowledgements", "T9", "SELECT event_id AS stat_id, CASE WHEN event_id % 3 = 0 THEN ts + INTERVAL 1 HOUR END AS ts_ack, CASE WHEN event_id % 3 = 0 THEN CAST(event_id % 2 AS INT) END AS alert_status FROM {events} WHERE event_type = 'purchase'")
 def _(i):
     def build(s):
         alerts = s.select(F.col("event_id").alias("stat_id"), "ts")
-        acks = s.filter("event_id % 3 = 0").select(
+        acks = s.filter("event_id % 3 = 0 OR event_id = -1").select(
             F.col("event_id").alias("stat_id"), (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("ts"), (F.col("event_id") % 2).cast("int").alias("alert_status")
         )
         return ST.ack_stream(alerts, acks)
 
-    d = replay(i, "events", lambda s: s.filter("event_type = 'purchase'"), build)
-    return d.filter("ts_ack IS NOT NULL").select("stat_id", "alert_status")
+    d = replay_all(i, lambda s: s.filter("event_type = 'purchase'").select("event_id", "ts"), build)
+    return d.select("stat_id", F.col("ts_ack").cast("timestamp_ntz").alias("ts_ack"), "alert_status")
 
 
 def _landed(i):

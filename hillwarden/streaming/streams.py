@@ -7,11 +7,11 @@ trigger and a checkpoint folder that all executors share.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ..operators import decode_logger as D, decode_text as X, routing as RT
 from ..sources import sinks as SK
@@ -125,9 +125,14 @@ def enrich_stream(messages: DataFrame, mobiles: Callable[[], DataFrame], out: st
 # --- windows -----------------------------------------------------------------
 
 
-def rain_stream(rain: DataFrame, delay: str = "1 day", width: str = "30 minutes") -> DataFrame:
-    """Half-hourly sums per gauge; rows later than a day are dropped and counted by Spark."""
+def rain_stream(rain: DataFrame, delay: str = "1 day", width: str = "30 minutes", id: str | None = None) -> DataFrame:
+    """Half-hourly sums per gauge; rows later than a day are dropped and counted by Spark.
+
+    ``id``: column of a row's own id; repeats inside the delay then count once,
+    and late rows are counted one by one (`LateRows`).
+    """
     d = timed(rain, delay).filter("rain >= 0")
+    d = d.dropDuplicatesWithinWatermark([id]) if id else d
     return d.groupBy("rain_id", F.window("ts", width)).agg(F.sum("rain").alias("rain")).select("rain_id", F.col("window.start").alias("ts"), "rain")
 
 
@@ -162,104 +167,226 @@ def ack_stream(alerts: DataFrame, acks: DataFrame, within: str = "1 day", delay:
 
 
 # --- state -------------------------------------------------------------------
-# One small state per key; rows arrive in Arrow batches. The step functions use
-# only pandas, so the workers need not have this package installed.
+# Rows wait in a map state until the watermark has passed them, then they are
+# applied in time order. The map is keyed by minute: a batch rewrites only the
+# minutes it has rows of, and a timer per minute brings up those that are due.
+# The processors use only pandas, so the workers need not have this package.
+
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+MINUTE = 60_000_000  # microseconds
+
 
+def _stateful(df: DataFrame, key: str, fold, out: str, columns: list[str], value: str | None = None, tie: str | None = None, initial: DataFrame | None = None) -> DataFrame:
+    """Apply ``fold`` to each key's rows in the order (ts, tie), once the watermark has passed them.
 
-def merge_alert_stream(evals: DataFrame, key: str, level: str, delay: str = "1 hour", gap_minutes: int = 90) -> DataFrame:
+    ``fold(state, rows, floor)``: state is a tuple of three integers or Nones,
+    rows a list of (time, tie, value) with times in microseconds, floor the time
+    before which no more rows will come. It returns the new state (None to
+    forget the key), a list of result tuples (key excluded; None or integers,
+    times for columns of type timestamp) and the time after which it must be
+    asked again, or None. ``initial`` holds (key, since, a registration time) of
+    keys that may never send a row; their state starts as (since, None, 1).
+
+    State of this kind needs the RocksDB store; it is set for the session
+    unless another store was chosen.
+    """
+    from pyspark.sql.streaming import StatefulProcessor
+
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider"):
+        conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    minute, kinds = MINUTE, [c.strip().split(" ")[1] for c in out.split(",")]
+    epoch = pd.Timestamp("1970-01-01", tz="UTC")
+
+    def micros(times: pd.Series) -> pd.Series:
+        t = pd.to_datetime(times, utc=True)
+        return ((t - epoch) // pd.Timedelta(microseconds=1)).astype("int64")
+
+    class Processor(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.handle = handle
+            self.run = handle.getValueState("run", "a bigint, b bigint, c bigint, ask bigint")
+            self.wait = handle.getMapState("wait", "minute bigint", "t array<bigint>, tie array<bigint>, v array<bigint>")
+
+        def handleInputRows(self, key, rows, timerValues):
+            for b in rows:
+                t = micros(b["ts"])
+                ties = b["tie"] if "tie" in b else pd.Series(0, index=b.index)
+                values = b["value"] if "value" in b else pd.Series(0, index=b.index)
+                for m, at in t.groupby(t // minute).groups.items():
+                    k = (int(m),)
+                    old = self.wait.getValue(k) if self.wait.exists() and self.wait.containsKey(k) else ([], [], [])
+                    new = [[*o, *map(int, c.loc[at])] for o, c in zip(old, (t, ties, values))]
+                    self.wait.updateValue(k, tuple(new))
+                    self.handle.registerTimer((int(m) + 1) * minute // 1000)
+            yield self._table(key, [])
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            state = self.run.get() if self.run.exists() else None
+            mine = expiredTimerInfo.getExpiryTimeInMs()
+            waiting = self.wait.exists() and self.wait.containsKey((mine * 1000 // minute - 1,))
+            if not waiting and (state is None or state[3] != mine):
+                return iter([self._table(key, [])])  # brought up with an earlier timer
+            now = timerValues.getCurrentWatermarkInMs()
+            floor = now * 1000 // minute * minute
+            due = sorted({t for t in self.handle.listTimers() if t <= now} | {mine})
+            rows = []
+            for t in due:
+                k = (t * 1000 // minute - 1,)
+                if self.wait.exists() and self.wait.containsKey(k):
+                    rows += sorted(zip(*self.wait.getValue(k)))
+                    self.wait.removeKey(k)
+                if t != mine:
+                    self.handle.deleteTimer(t)
+            state, found, ask = fold(tuple(state[:3]) if state else None, rows, floor)
+            if state is None:
+                self.run.clear()
+            else:
+                if ask is not None:
+                    ask = (ask // minute + 1) * minute // 1000
+                    self.handle.registerTimer(ask)
+                self.run.update((*state, ask))
+            return iter([self._table(key, found)])
+
+        def handleInitialState(self, key, initialState, timerValues) -> None:
+            since = int(micros(initialState["since"]).min())
+            _, _, ask = fold((since, None, 1), [], since)
+            ask = (ask // minute + 1) * minute // 1000
+            self.handle.registerTimer(ask)
+            self.run.update((since, None, 1, ask))
+
+        def close(self) -> None:
+            pass
+
+        @staticmethod
+        def _table(key, found):
+            data = {columns[0]: pd.Series([key[0]] * len(found), dtype="object" if isinstance(key[0], str) else "int64")}
+            for n, (name, kind) in enumerate(zip(columns[1:], kinds[1:])):
+                values = [f[n] for f in found]
+                if kind == "timestamp":
+                    data[name] = pd.Series([pd.NaT if v is None else pd.Timestamp(v, unit="us") for v in values], dtype="datetime64[us]")
+                else:
+                    data[name] = pd.Series(values, dtype="bool" if kind == "boolean" else "int64")
+            return pd.DataFrame(data)
+
+    cols = [F.col(key), F.col("ts")]
+    cols += [F.col(value).cast("long").alias("value")] if value else []
+    cols += [F.col(tie).cast("long").alias("tie")] if tie else []
+    start = initial.select(F.col(key), F.col("since").cast("timestamp").alias("since")).groupBy(key) if initial is not None else None
+    return df.select(*cols).groupBy(key).transformWithStateInPandas(Processor(), out, "append", "EventTime", start)
+
+
+def _micros(**span) -> int:
+    return int(pd.Timedelta(**span) / pd.Timedelta(microseconds=1))
+
+
+def merge_alert_stream(evals: DataFrame, key: str, level: str, delay: str = "1 hour", gap_minutes: int = 90, tie: str | None = None) -> DataFrame:
     """Alert intervals; an interval is emitted once it can no longer grow.
 
-    Rows of a trigger are buffered until the watermark passes them, then
-    applied in time order, so late rows inside the delay merge correctly.
+    Rows are applied in time order, to the microsecond, those of equal time by
+    ``tie`` (the first wins), so late rows inside the delay merge as in the
+    batch operator.
     """
-    gap = pd.Timedelta(minutes=gap_minutes)
-
-    def step(k, batches: Iterator[pd.DataFrame], state: GroupState):
-        start, end, lv, wait_t, wait_l = state.get if state.exists else (None, None, None, [], [])
-        wait = dict(zip(wait_t, wait_l))
-        for b in batches:
-            for t, v in zip(b["ts"], b[level]):
-                m = int(pd.Timestamp(t).value // 1_000_000)
-                wait[m] = min(int(v), wait.get(m, int(v)))
-        wm = state.getCurrentWatermarkMs()
+    gap = _micros(minutes=gap_minutes)
+
+    def fold(state, rows, floor):
+        start, end, lv = state or (None, None, None)
         out = []
-        for m in sorted(t for t in wait if t <= wm):
-            v = wait.pop(m)
-            if end is not None and m <= end:
+        for t, _, v in rows:
+            if end is not None and t <= end:
                 continue
-            if end is not None and v == lv and m - end <= gap.value // 1_000_000:
-                end = m
+            if end is not None and v == lv and t - end <= gap:
+                end = t
             else:
                 if end is not None:
-                    out.append((k[0], start, end, lv))
-                start, end, lv = m, m, v
-        if end is not None and wm > end + gap.value // 1_000_000 and not any(t - end <= gap.value // 1_000_000 for t in wait):
-            out.append((k[0], start, end, lv))
-            start = end = lv = None
-        if end is None and not wait:
-            state.remove()
-        else:
-            state.update((start, end, lv, list(wait), list(wait.values())))
-            due = min([*wait, *([end + gap.value // 1_000_000] if end is not None else [])])
-            state.setTimeoutTimestamp(max(due, wm) + 1)
-        yield pd.DataFrame(
-            {key: [o[0] for o in out], "ts": [pd.Timestamp(o[1], unit="ms") for o in out], "ts_updated": [pd.Timestamp(o[2], unit="ms") for o in out], level: [o[3] for o in out]}
-        ).astype({"ts": "datetime64[ns]", "ts_updated": "datetime64[ns]"})
+                    out.append((start, end, lv))
+                start, end, lv = t, t, v
+        if end is not None and end + gap < floor:
+            out.append((start, end, lv))
+            end = None
+        return (None, out, None) if end is None else ((start, end, lv), out, end + gap)
 
     kt = dict(evals.dtypes)[key]
-    return timed(evals, delay).groupBy(key).applyInPandasWithState(
-        step, f"{key} {kt}, ts timestamp, ts_updated timestamp, {level} int",
-        "start long, end long, lv int, wait_t array<long>, wait_l array<int>", "append", GroupStateTimeout.EventTimeTimeout,
-    )
+    return _stateful(timed(evals, delay), key, fold, f"{key} {kt}, ts timestamp, ts_updated timestamp, {level} int", [key, "ts", "ts_updated", level], level, tie).withColumn(level, F.col(level).cast("int"))
 
 
 def cooldown_stream(triggers: DataFrame, key: str, hours: int = 24, delay: str = "1 hour") -> DataFrame:
-    """First trigger of a key, then silence for a day from the last emitted one."""
-    hold = hours * 3_600_000
-
-    def step(k, batches: Iterator[pd.DataFrame], state: GroupState):
-        last, wait = state.get if state.exists else (None, [])
-        wait = set(wait)
-        for b in batches:
-            wait.update(int(pd.Timestamp(t).value // 1_000_000) for t in b["ts"])
-        wm, out = state.getCurrentWatermarkMs(), []
-        for m in sorted(t for t in wait if t <= wm):
-            wait.discard(m)
-            if last is None or m > last + hold:
-                out.append(m)
-                last = m
-        if not wait and last is not None and wm > last + hold:
-            state.remove()
-        else:
-            state.update((last, sorted(wait)))
-            due = min(wait) if wait else last + hold
-            state.setTimeoutTimestamp(max(due, wm) + 1)
-        yield pd.DataFrame({key: [k[0]] * len(out), "ts": pd.to_datetime(out, unit="ms")}).astype({"ts": "datetime64[ns]"})
+    """First trigger of a key, then silence until more than a day after the last emitted one."""
+    hold = _micros(hours=hours)
+
+    def fold(state, rows, floor):
+        last = state[0] if state else None
+        out = []
+        for t, _, _ in rows:
+            if last is None or t > last + hold:
+                out.append((t,))
+                last = t
+        if last is None or last + hold < floor:
+            return None, out, None
+        return (last, None, None), out, last + hold
 
     kt = dict(triggers.dtypes)[key]
-    return timed(triggers, delay).groupBy(key).applyInPandasWithState(
-        step, f"{key} {kt}, ts timestamp", "last long, wait array<long>", "append", GroupStateTimeout.EventTimeTimeout
-    )
+    return _stateful(timed(triggers, delay), key, fold, f"{key} {kt}, ts timestamp", [key, "ts"])
+
 
+def silence_stream(facts: DataFrame, key: str, hours: int = 72, delay: str = "1 hour", registry: DataFrame | None = None) -> DataFrame:
+    """One row for every silence of more than ``hours``: last_ts, and whether nothing had ever come.
 
-def silence_stream(facts: DataFrame, key: str, hours: int = 72, delay: str = "1 hour") -> DataFrame:
-    """One row when a device has sent nothing for ``hours``; only its latest time is kept."""
-    hold = hours * 3_600_000
+    Each pause between two rows of a device and the pause after its last one
+    count, whatever the batches were. ``registry`` (key, since) adds devices
+    that may never send: their silence is counted from ``since`` and last_ts is
+    null. A silence is reported when it is long enough, once.
+    """
+    hold = _micros(hours=hours)
 
-    def step(k, batches: Iterator[pd.DataFrame], state: GroupState):
-        last = state.get[0] if state.exists else None
-        if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame({key: [k[0]], "last_ts": pd.to_datetime([last], unit="ms")}).astype({"last_ts": "datetime64[ns]"})
-            return
-        for b in batches:
-            m = int(pd.Timestamp(b["ts"].max()).value // 1_000_000)
-            last = m if last is None else max(last, m)
-        state.update((last,))
-        state.setTimeoutTimestamp(max(last + hold, state.getCurrentWatermarkMs()) + 1)
-        yield pd.DataFrame({key: pd.Series([], dtype="int64"), "last_ts": pd.Series([], dtype="datetime64[ns]")})
+    def fold(state, rows, floor):
+        last, told, never = state or (None, None, 0)
+        out = []
+        report = lambda: out.append((None if never else last, bool(never)))
+        for t, _, _ in rows:
+            if last is not None and not told and t - last > hold:
+                report()
+            if last is None or never or t > last:
+                last, told, never = t, None, 0
+        if last is not None and not told and last + hold < floor:
+            report()
+            told = 1
+        return (None, out, None) if last is None else ((last, told, never), out, None if told else last + hold)
 
     kt = dict(facts.dtypes)[key]
-    return timed(facts, delay).groupBy(key).applyInPandasWithState(
-        step, f"{key} {kt}, last_ts timestamp", "last long", "append", GroupStateTimeout.EventTimeTimeout
-    )
+    return _stateful(timed(facts, delay), key, fold, f"{key} {kt}, last_ts timestamp, never boolean", [key, "last_ts", "never"], initial=registry)
+
+
+# --- late rows -----------------------------------------------------------------
+
+
+class LateRows(StreamingQueryListener):
+    """Counts rows that came behind the watermark, by batch and operator, and keeps the counts in a table if told where.
+
+    Add it with ``spark.streams.addListener``. Rows of the operators above and
+    of deduplication are counted one by one; a windowed sum counts what it has
+    summed before the state, so ``rain_stream`` can be told the rows' id, and
+    then drops late rows before it sums.
+    """
+
+    def __init__(self, spark: SparkSession | None = None, path: str | None = None):
+        self.spark, self.path, self.counts = spark, path, {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        rows = [(str(p.id), str(p.runId), int(p.batchId), n, int(o.numRowsDroppedByWatermark)) for n, o in enumerate(p.stateOperators) if o.numRowsDroppedByWatermark]
+        self.counts.update({r[:4]: r[4] for r in rows})
+        if rows and self.path:
+            self.spark.createDataFrame(rows, "query string, run string, batch long, operator int, late long").coalesce(1).write.mode("append").parquet(self.path)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def total(self, query: str | None = None) -> int:
+        return sum(n for k, n in self.counts.items() if query in (None, k[0]))
