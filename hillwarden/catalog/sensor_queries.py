@@ -459,9 +459,40 @@ def _(i):
     return d.select(*NODE, "low", "high")
 
 
-@query("displacement_bundle", "P22,I13")
-def _(i):
-    return P.bundle(_kin(i), i.sensors)
+def note_sql(axis: str) -> str:
+    """CTEs r_, c_ and n_ of an axis: node, its rank correlation with time, its annotation."""
+    return f"""r_{axis} AS (SELECT tsm_id, node_id, {axis} AS v, row_number() OVER (PARTITION BY tsm_id, node_id ORDER BY ts)::DOUBLE AS i, rank() OVER (PARTITION BY tsm_id, node_id ORDER BY {axis}) + (count(*) OVER (PARTITION BY tsm_id, node_id, {axis}) - 1) / 2.0 AS k FROM kin),
+c_{axis} AS (SELECT tsm_id, node_id, CASE WHEN stddev_pop(k) > 0 THEN corr(i, k) END AS rho, max(v) - min(v) AS spread FROM r_{axis} GROUP BY ALL),
+n_{axis} AS (SELECT tsm_id, node_id, node_id || CASE WHEN spread > 0.01 THEN repeat('+', least(CAST(CASE WHEN rho > 0.5 THEN floor(round((round_even(rho, 1) - 0.5) * 10, 6)) ELSE 0 END AS INT), 4)) ELSE '' END AS t FROM c_{axis})"""
+
+
+PARTS = f"""{OFFS}, f AS (SELECT tsm_id, node_id, arg_min(xz, ts) AS a, arg_min(xy, ts) AS b FROM kin GROUP BY ALL), t AS (SELECT tsm_id, ts, sum(xz) AS sz, sum(xy) AS sy FROM kin GROUP BY ALL), f2 AS (SELECT tsm_id, arg_min(sz, ts) AS a, arg_min(sy, ts) AS b FROM t GROUP BY tsm_id), {note_sql('xz')}, {note_sql('xy')},
+vl AS (SELECT tsm_id, node_id, ts, 'downslope' AS axis, abs(vel_xz) AS v FROM kin WHERE ts >= end_ts - INTERVAL 3 HOUR UNION ALL SELECT tsm_id, node_id, ts, 'latslope', abs(vel_xy) FROM kin WHERE ts >= end_ts - INTERVAL 3 HOUR)
+SELECT 'column' AS part, tsm_id, ts, node_id, cs_xz AS downslope, cs_xy AS latslope, {R('-(dep + max(dep) OVER (PARTITION BY tsm_id) - max(dep) OVER (PARTITION BY tsm_id, ts))', 4)} AS depth, NULL AS text FROM cp3
+UNION ALL SELECT 'disp', tsm_id, ts, node_id, {R('round(xz - a, 4) + (10 - node_id) * o', 6)}, {R('round(xy - b, 4) + (10 - node_id) * o', 6)}, NULL, NULL FROM kin JOIN f USING (tsm_id, node_id) JOIN po USING (tsm_id)
+UNION ALL SELECT 'cumulative', tsm_id, ts, NULL, {R('sz - a + o * 10', 6)}, {R('sy - b + o * 10', 6)}, NULL, NULL FROM t JOIN f2 USING (tsm_id) JOIN po USING (tsm_id)
+UNION ALL SELECT 'base', tsm_id, NULL, NULL, {R('o * 10', 6)}, NULL, NULL, NULL FROM po
+UNION ALL SELECT 'annotation', tsm_id, NULL, node_id, NULL, NULL, NULL, n_xz.t || ' ' || n_xy.t FROM n_xz JOIN n_xy USING (tsm_id, node_id)
+UNION ALL SELECT 'velocity', tsm_id, ts, node_id, NULL, NULL, NULL, axis || CASE WHEN v > 0.5 THEN ' L3' ELSE ' L2' END FROM vl WHERE v > 0.032"""
+
+
+@query("displacement_bundle", "P22,A23,I13", f"WITH {KIN}, {COLPOS}, {PARTS}")
+def _(i):
+    b = P.bundle(_kin(i), i.sensors, digits=6)
+    null = F.lit(None)
+    row = lambda part, ts=null, node=null, down=null, lat=null, depth=null, text=null: F.struct(
+        F.lit(part).alias("part"), ts.cast("timestamp_ntz").alias("ts"), node.cast("int").alias("node_id"), down.cast("double").alias("downslope"),
+        lat.cast("double").alias("latslope"), depth.cast("double").alias("depth"), text.cast("string").alias("text"))
+    moving = lambda axis, level: F.transform(F.col(f"v.{axis}.L{level}"), lambda x: row("velocity", x["ts"], x["node_id"], text=F.lit(f"{axis} L{level}")))
+    parts = F.concat(
+        F.transform("c", lambda x: row("column", x["ts"], x["node_id"], x["downslope"], x["latslope"], x["depth"])),
+        F.transform("d.disp", lambda x: row("disp", x["ts"], x["node_id"], x["downslope"], x["latslope"])),
+        F.transform("d.cumulative", lambda x: row("cumulative", x["ts"], down=x["downslope"], lat=x["latslope"])),
+        F.array(row("base", down=F.col("d.cml_base"))),
+        F.transform("d.annotation", lambda x: row("annotation", node=x["node_id"], text=F.concat_ws(" ", x["downslope_annotation"], x["latslope_annotation"]))),
+        *[moving(a, n) for a in ("downslope", "latslope") for n in (2, 3)],
+    )
+    return b.select("tsm_id", F.explode(parts).alias("x")).select("tsm_id", "x.*")
 
 
 B_ENDS = [f"2024-01-20 {h}:00" for h in ("11:00", "11:30", "12:00")]

@@ -168,6 +168,22 @@ def islands(
     return d.groupBy(*keys, "__island").agg(*aggs)
 
 
+def value_bands(df: DataFrame, col: str, bands: int | None = None, error: float = 0.002) -> Column:
+    """Number of the band a value falls into, for `scan` over values of any range.
+
+    Splitters are approximate quantiles of ``df`` (one job), so bands hold
+    about the same number of rows wherever the values lie. At most ``bands``
+    of them, the shuffle partitions by default; equal values share a band.
+    NULL comes first, NaN last.
+    """
+    bands = bands or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cuts = sorted(set(df.select(F.col(col).cast("double").alias("v")).approxQuantile("v", [k / bands for k in range(1, bands)], error)))
+    if not cuts:
+        return F.lit(0)
+    v = F.col(col).cast("double")
+    return F.when(v.isNull(), -1).otherwise(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= v)))
+
+
 def with_halo(
     df: DataFrame, position: Column, size: int | float, back: int | float, ahead: int | float = 0
 ) -> DataFrame:

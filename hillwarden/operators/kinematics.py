@@ -133,7 +133,10 @@ def rolling_spearman(df: DataFrame, value: str, n: int = 144, keys: Sequence[str
     """Rank correlation of the last ``n`` grid rows with time.
 
     Grouped-map over (series, week) with the rows before the week copied in,
-    so a group is bounded by the slot grid and not by the series.
+    so a group is bounded by the slot grid and not by the series. Inside, ranks
+    follow the window from row to row instead of being sorted anew. Equal values
+    share their mean rank; a window of one value has none. NaN counts as above
+    all numbers, each apart.
     """
     from ..functions.scan import CHUNK, with_halo
 
@@ -143,27 +146,49 @@ def rolling_spearman(df: DataFrame, value: str, n: int = 144, keys: Sequence[str
     schema = ", ".join(f"{k} {t}" for k, t in fields.items()) + ", rho double"
     key_list = list(keys)
 
+    def moving_rho(values: np.ndarray) -> np.ndarray:
+        """Rank correlation of each run of n values with their order.
+
+        Only the first run is ranked. From one run to the next a value leaves
+        and one enters: values above either move by one rank, equals by half a
+        rank. These changes to the sum of rank times position, and to the tie
+        correction, come from comparisons alone and are then added up.
+        """
+        rho = np.full(len(values), np.nan)
+        m = len(values) - n + 1
+        if m < 1:
+            return rho
+        code = np.unique(values, return_inverse=True, equal_nan=False)[1]
+        first = pd.Series(code[:n]).rank().to_numpy()
+        sizes = np.unique(code[:n], return_counts=True)[1]
+        product = np.full(m, float(np.dot(first, np.arange(n))))
+        ties = np.full(m, float((sizes**3 - sizes).sum()))
+        if m > 1:
+            stay = np.lib.stride_tricks.sliding_window_view(code[1:-1], n - 1)  # what two runs have in common
+            begin = np.arange(1, m)  # position of its first value
+            place = np.arange(n - 1)
+
+            def change(x, position):
+                equal = stay == x[:, None]
+                up = (stay > x[:, None]) + 0.5 * equal
+                same = equal.sum(axis=1)
+                rank = n - up.sum(axis=1)  # one more than those below, and half of the equals
+                return up @ place + up.sum(axis=1) * begin + rank * position, 3 * same * (same + 1)
+
+            gone, gone_ties = change(code[: m - 1], begin - 1)
+            new, new_ties = change(code[n:], begin + n - 1)
+            product[1:] += np.cumsum(new - gone)
+            ties[1:] += np.cumsum(new_ties - gone_ties)
+        spread = n * (n * n - 1) / 12
+        covariance = product - (np.arange(m) + (n - 1) / 2) * (n * (n + 1) / 2)
+        den = np.sqrt(np.maximum(spread - ties / 12, 0) * spread)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            rho[n - 1 :] = np.where(den > 0, covariance / den, np.nan)
+        return rho
+
     def per_group(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ts")
-        v = pdf[value].to_numpy(float)
-        rho = np.full(len(v), np.nan)
-        if len(v) >= n:
-            win = np.lib.stride_tricks.sliding_window_view(v, n)
-            order = np.argsort(win, axis=1, kind="stable")
-            ranks = np.empty_like(order)
-            np.put_along_axis(ranks, order, np.arange(n)[None, :].repeat(len(win), 0), axis=1)
-            ranks = ranks.astype(float)
-            srt = np.take_along_axis(win, order, axis=1)
-            # average the ranks of equal values
-            first = np.maximum.accumulate(np.where(np.diff(srt, axis=1, prepend=np.nan) != 0, np.arange(n), 0), axis=1)
-            nxt = np.where(np.diff(srt, axis=1, append=np.nan) != 0, np.arange(n), n)
-            last = np.minimum.accumulate(nxt[:, ::-1], axis=1)[:, ::-1]
-            np.put_along_axis(ranks, order, (first + last) / 2.0, axis=1)
-            t = np.arange(n) - (n - 1) / 2.0
-            c = ranks - ranks.mean(axis=1, keepdims=True)
-            den = np.sqrt((c * c).sum(axis=1) * (t * t).sum())
-            with np.errstate(invalid="ignore", divide="ignore"):
-                rho[n - 1:] = np.where(den > 0, (c * t).sum(axis=1) / den, np.nan)
+        rho = moving_rho(pdf[value].to_numpy(float))
         out = pdf[key_list + ["ts"]].copy()
         out["rho"] = rho
         return out[pdf["__own"].to_numpy(bool)]

@@ -7,11 +7,13 @@ windows partitioned by the series key are bounded.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.clock import clean_round, floor_to, right_closed_slot, span
+from ..functions.scan import CHUNK, own_rows, with_halo
 
 
 def _series(keys: Sequence[str], ts: str = "ts"):
@@ -173,34 +175,32 @@ def zeroed(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: Seque
 
 
 def gaussian_mean(
-    df: DataFrame, keys: Sequence[str], index: str, value: str, sigma: float = 3.0, width: int = 39, out: str = "mean"
+    df: DataFrame, keys: Sequence[str], index: str, value: str, sigma: float = 3.0, width: int = 39, out: str = "mean", chunk: int = 4096
 ) -> DataFrame:
     """Weighted mean around each row, edges reflected.
 
-    ``index`` is the 1-based row number. Each row is sent to the targets its
-    weight reaches (at most ``width`` of them, plus mirrored ones at the
-    edges), then summed per target: no task ever needs a whole series.
+    ``index`` is the 1-based row number, without gaps. A series is cut into
+    chunks of rows with a halo of half a width, so no task needs a whole series
+    and few rows are copied; each row then weighs the values of its own frame.
+    Beyond an end the series reads backwards, and forwards again, as often as
+    a short series needs.
     """
     half = width // 2
-    size = df.groupBy(*keys).agg(F.max(index).alias("__n"))
-    d = df.join(size, list(keys))
-    i, n = F.col(index), F.col("__n")
-    period = 2 * n
-    # A reflected series repeats with period 2n: row i also sits at 1 - i,
-    # both shifted by multiples of 2n.
-    reach = F.ceil(F.lit(half + 1) / period) + 1
-    copies = F.flatten(
-        F.transform(F.sequence(-reach, reach), lambda m: F.array(i + m * period, F.lit(1) - i + m * period))
-    )
-    d = d.select(*keys, "__n", F.col(value).alias("__v"), F.explode(copies).alias("__pos"))
-    lo = F.greatest(F.lit(1), F.col("__pos") - half)
-    hi = F.least(F.col("__n"), F.col("__pos") + half)
-    d = d.filter(lo <= hi).select(*keys, "__v", "__pos", F.explode(F.sequence(lo.cast("long"), hi.cast("long"))).alias(index))
-    off = (F.col("__pos") - F.col(index)).cast("double")
-    d = d.withColumn("__w", F.exp(-(off * off) / F.lit(2 * sigma * sigma)))
-    return d.groupBy(*keys, index).agg(
-        (F.sum(F.col("__w") * F.col("__v")) / F.sum("__w")).alias(out)
+    weights = [math.exp(-(o * o) / (2.0 * sigma * sigma)) for o in range(-half, half + 1)]
+    d = with_halo(df.select(*keys, index, F.col(value).alias("__v")), F.col(index), max(chunk, half), half, half)
+    frame = W.partitionBy(*keys, CHUNK).orderBy(index).rowsBetween(-half, half)
+    # structs, so that NULL values keep their places
+    d = own_rows(d.withColumns({"__f": F.collect_list(F.struct("__v")).over(frame), "__lo": F.min(index).over(frame), "__n": F.max(index).over(frame)}))
+    # where the frame is cut, __n is the last row; elsewhere no row beyond it is asked for
+    n, at = F.col("__n"), lambda o: F.pmod(F.col(index) + o - 1, 2 * F.col("__n"))
+    place = lambda o: F.when(at(o) < n, at(o) + 1).otherwise(2 * n - at(o)) - F.col("__lo") + 1
+    terms = F.zip_with(
+        F.sequence(F.lit(-half), F.lit(half)), F.array(*map(F.lit, weights)),
+        lambda o, w: F.struct((w * F.element_at(F.col("__f"), place(o).cast("int"))["__v"]).alias("s"), w.alias("w")),
     )
+    # a NULL value carries no weight in the sum but keeps it below the line, as a sum over rows would
+    total = F.aggregate(terms, F.lit(0.0), lambda a, t: a + F.coalesce(t["s"], F.lit(0.0)))
+    return d.select(*keys, index, (total / F.lit(sum(weights))).alias(out))
 
 
 def gaussian_smooth(

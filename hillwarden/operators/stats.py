@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.clock import clean_round, seconds_between, span
-from ..functions.scan import running_sum, scan
+from ..functions.scan import running_sum, scan, value_bands
 
 # --- keys ------------------------------------------------------------------
 
@@ -161,11 +161,12 @@ def confusion(df: DataFrame, pred: Column, actual: Column, keys: Sequence[str] =
     return g.select(*keys, "tp", "fp", "fn", "tn", *r.values())
 
 
-def roc(df: DataFrame, score: str, label: str, keys: Sequence[str] = (), bucket: float = 1000.0) -> DataFrame:
+def roc(df: DataFrame, score: str, label: str, keys: Sequence[str] = (), bands: int | None = None) -> DataFrame:
     """Curve over every distinct score, counting scores at or above it.
 
     Scores are first reduced to one row per value, then summed from the top
-    with a scan over score bands, so no band or key needs a single task.
+    with a scan over bands that quantiles of the scores split, so that no key
+    needs a single task, be the scores within 0 to 1 or of any other range.
     """
     g = df.groupBy(*keys, score).agg(
         F.sum(F.col(label).cast("bigint")).alias("__p"), F.sum((1 - F.col(label)).cast("bigint")).alias("__n")
@@ -178,7 +179,7 @@ def roc(df: DataFrame, score: str, label: str, keys: Sequence[str] = (), bucket:
         k = ["__all"]
     d = scan(
         g, k, [score], {"tp": running_sum(F.col("__p")), "fp": running_sum(F.col("__n"))},
-        F.floor(F.col(score) / F.lit(bucket)), reverse=True,
+        value_bands(g, score, bands), reverse=True,
     )
     return d.select(
         *keys, F.col(score).alias("threshold"), "tp", "fp",
@@ -254,18 +255,33 @@ def spearman_with_order(df: DataFrame, keys: Sequence[str], value: str, order: s
     )
 
 
+def _rising(rho: Column, spread: Column) -> tuple[Column, Column]:
+    """Score of a rank correlation with time, and its plus signs."""
+    # ten times the correlation, rounded half-even like the source of the rule
+    score = F.when(rho > 0.5, F.floor(F.round((F.bround(rho, 1) - 0.5) * 10, 6))).otherwise(0).cast("int")
+    return score, F.when(spread > 0.01, F.repeat(F.lit("+"), F.least(score, F.lit(4)))).otherwise("")
+
+
 def node_annotation(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Node number with plus signs for a steadily growing displacement."""
     s = spearman_with_order(df, keys, value)
-    # ten times the correlation, rounded half-even like the source of the rule
-    tenths = F.bround(F.col("rho"), 1)
-    score = F.when(F.col("rho") > 0.5, F.floor(F.round((tenths - 0.5) * 10, 6))).otherwise(0).cast("int")
-    plus = F.when(F.col("spread") > 0.01, F.repeat(F.lit("+"), F.least(score, F.lit(4)))).otherwise("")
+    score, plus = _rising(F.col("rho"), F.col("spread"))
     return s.select(
         *keys, clean_round("rho", 6).alias("rho"), score.alias("score"), F.concat(F.col("node_id").cast("string"), plus).alias("text")
     )
 
 
+def annotations(df: DataFrame, keys: Sequence[str], values: Sequence[str], order: str = "ts") -> DataFrame:
+    """`node_annotation` of several axes in one pass: keys and text_<axis>."""
+    w = W.partitionBy(*keys)
+    rank = lambda v: F.rank().over(w.orderBy(v)) + (F.count(F.lit(1)).over(W.partitionBy(*keys, v)) - 1) / 2.0
+    d = df.select(*keys, *values, F.row_number().over(w.orderBy(order)).cast("double").alias("__i"), *[rank(v).alias(f"__r_{v}") for v in values])
+    rho = lambda v: F.try_divide(F.covar_pop("__i", f"__r_{v}"), F.stddev_pop("__i") * F.stddev_pop(f"__r_{v}"))
+    g = d.groupBy(*keys).agg(*[c for v in values for c in (rho(v).alias(f"__rho_{v}"), (F.max(v) - F.min(v)).alias(f"__spread_{v}"))])
+    text = lambda v: F.concat(F.col("node_id").cast("string"), _rising(F.col(f"__rho_{v}"), F.col(f"__spread_{v}"))[1])
+    return g.select(*keys, *[text(v).alias(f"text_{v}") for v in values])
+
+
 def site_activity(triggers: DataFrame, site: str = "site_id", event: str = "event_id", letter: str = "trigger_type") -> DataFrame:
     """Activity scores of a site from its events' trigger letters.
 

@@ -391,14 +391,65 @@ def noise_envelope(kin: DataFrame, band: DataFrame, sensors: DataFrame, value: s
     return d.select(*SERIES, *[clean_round(F.col(c) - F.col("__0") + lift, digits).alias(c) for c in ("low", "high")])
 
 
-def bundle(kin: DataFrame, sensors: DataFrame) -> DataFrame:
-    """One JSON text per (end, sensor, node): its displacement and velocity series.
+def bundle(kin: DataFrame, sensors: DataFrame, fix: str = "bottom", how: str = "mean", digits: int = 4, velocity_hours: int = 3, cfg: Subsurface = SUBSURFACE) -> DataFrame:
+    """Everything a displacement page shows of a sensor, one nested row per (end, sensor).
 
-    A node's series within a window has a fixed number of slots, so the
-    collected array is bounded.
+    ``c`` column positions; ``d`` the zeroed, spread displacement, both axes'
+    annotations, the cumulative surface and its base; ``v`` the nodes whose
+    velocity is in the level-2 or level-3 band within the last hours, by axis.
+    xz is downslope, xy latslope.
+
+    The kinematics is stored once and its parts are derived from that; they
+    meet as tagged rows in one aggregate. A sensor's slots and nodes within a
+    window are limited, and so are its arrays.
     """
-    item = F.struct("ts", "xz", "xy", "vel_xz", "vel_xy")
-    return kin.groupBy(*SERIES).agg(F.to_json(F.array_sort(F.collect_list(item))).alias("series"))
+    from ..operators.stats import annotations
+    from ..session import cut_lineage
+
+    kin = cut_lineage(kin)
+    end = ["end_ts", "tsm_id"]
+    kinds = {"ts": "timestamp_ntz", "node_id": "int", "down": "double", "lat": "double", "depth": "double", "level": "int", "axis": "string", "down_text": "string", "lat_text": "string"}
+
+    def tagged(d: DataFrame, part: str, **cols) -> DataFrame:
+        pick = {**({c: c for c in ("ts", "node_id") if c in d.columns}), **cols}
+        return d.select(*end, F.lit(part).alias("part"), *[(F.col(pick[c]) if c in pick else F.lit(None)).cast(t).alias(c) for c, t in kinds.items()])
+
+    base = plot_offset(kin, how).join(sensors.select("tsm_id", "number_of_segments"), "tsm_id").withColumn("base", clean_round(F.col("plot_offset") * F.col("number_of_segments"), digits))
+    recent = kin.filter(F.col("ts") >= F.col("end_ts") - span(hours=velocity_hours))
+    rows = [
+        tagged(column_position(kin, sensors, fix, cfg), "column", down="cs_xz", lat="cs_xy", depth="depth"),
+        tagged(disp_offset(kin, sensors, how, digits), "disp", down="xz", lat="xy"),
+        tagged(cumulative_surface(kin, sensors, how, digits), "cumulative", down="xz", lat="xy"),
+        tagged(base, "base", down="base"),
+        tagged(annotations(kin, SERIES, ("xz", "xy")), "annotation", down_text="text_xz", lat_text="text_xy"),
+        tagged(classify_velocity(recent, cfg), "velocity", level="level", axis="axis"),
+    ]
+    every = rows[0]
+    for d in rows[1:]:
+        every = every.unionByName(d)
+
+    def listed(part: str, *fields, also=None):
+        hit = F.col("part") == part
+        named = [F.col(f).alias(n) for f, n in fields]
+        return F.sort_array(F.collect_list(F.when(hit if also is None else hit & also, F.struct(*named))))
+
+    at, slope = [("ts", "ts"), ("node_id", "node_id")], [("down", "downslope"), ("lat", "latslope")]
+    moving = lambda axis, level: listed("velocity", *at, also=(F.col("axis") == axis) & (F.col("level") == level)).alias(f"L{level}")
+    return every.groupBy(*end).agg(
+        F.struct(*[F.struct(moving(f"vel_{a}", 2), moving(f"vel_{a}", 3)).alias(n) for a, n in (("xz", "downslope"), ("xy", "latslope"))]).alias("v"),
+        listed("column", *at, ("depth", "depth"), ("lat", "latslope"), ("down", "downslope")).alias("c"),
+        F.struct(
+            listed("disp", *at, *slope).alias("disp"),
+            listed("annotation", ("node_id", "node_id"), ("down_text", "downslope_annotation"), ("lat_text", "latslope_annotation")).alias("annotation"),
+            listed("cumulative", ("ts", "ts"), *slope).alias("cumulative"),
+            F.max(F.when(F.col("part") == "base", F.col("down"))).alias("cml_base"),
+        ).alias("d"),
+    )
+
+
+def bundle_json(bundles: DataFrame) -> DataFrame:
+    """The nested rows as one JSON text each."""
+    return bundles.select("end_ts", "tsm_id", F.to_json(F.struct("v", "c", "d")).alias("series"))
 
 
 def backfill(readings: DataFrame, sensors: DataFrame, start: str, end: str, minutes: int = 30, done: DataFrame | None = None,
