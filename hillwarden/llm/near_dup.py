@@ -196,7 +196,7 @@ def components(links: DataFrame, limit: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, small: int = 16, rounds: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, small: int = 16) -> DataFrame:
     """One row per row of docs: doc_id, rk, class_id (least doc_id of its class), class_size, kept.
 
     Two texts are linked if the Jaccard similarity of their sets of k-word
@@ -204,15 +204,13 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, sma
     with equal sets are one text from the start. Candidates share one of 25
     bands of five ProbMinHash registers.
 
-    Pairs are never listed by bucket. First each text is compared with one
-    pivot, the first by lot among those of its buckets, which joins most of a
-    group of any size. Then, for `rounds` rounds or until a round links
-    nothing, each text that still shares a bucket with another class is
-    compared with one member of the largest class of such a bucket. These steps
-    only make classes grow cheaply. In buckets that still hold several classes
-    every pair of different classes is then compared: listed in buckets of up
-    to `small` texts, in blocks inside tasks in larger ones (`_crowded`). So
-    each pair that shares a bucket ends up in one class or has been compared.
+    Pairs of a crowded bucket are never listed. First each text is compared with one
+    pivot: of its buckets' members that which shares most buckets with others,
+    so most of a group of copies, of any size, meets its original. In buckets
+    that still hold several classes every pair of different classes is then
+    compared: listed in buckets of up to `small` texts, in blocks inside tasks
+    in larger ones (`_crowded`). So each pair that shares a bucket ends up in
+    one class or has been compared.
 
     Null and empty texts, and others without words, are alike only if equal
     byte for byte (null as empty). Null doc_ids are ignored for class_id, which is
@@ -224,10 +222,12 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, sma
     reps = keep(rows.groupBy("same").agg(F.min("rid").alias("rid")))
     sketches = keep(rows.select("rid", "bands", "sig").join(reps.select("rid"), "rid"))
     inside = sketches.select("rid", F.posexplode("bands").alias("band", "key"))
-    buckets = keep(inside.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(_lot("rid", 0), "rid")).getField("rid").alias("pivot")).where("n > 1"))
-    members = keep(inside.join(buckets, "key"))
+    members = keep(inside.join(inside.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key"))
 
-    first = members.groupBy("rid").agg(F.min(F.struct(_lot("pivot", 0), "pivot")).getField("pivot").alias("pivot")).where("rid != pivot")
+    # the text that shares most buckets with others is most likely what the rest was copied from
+    central = keep(members.join(members.groupBy("rid").agg(F.sum("n").alias("c")), "rid").select("key", "rid", F.struct("c", _lot("rid", 0), "rid").alias("rank")))
+    pivots = central.groupBy("key").agg(F.max("rank").alias("top"))
+    first = central.select("key", "rid").join(pivots, "key").groupBy("rid").agg(F.max("top").getField("rid").alias("pivot")).where("rid != pivot")
     links = verified(_pair("rid", "pivot", first).distinct(), sketches, rows, similarity)
     label = components(links)
 
@@ -240,11 +240,6 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, sma
         return True
 
     now = _mixed(members, label)
-    for r in range(rounds):
-        if now.limit(1).count() == 0 or not joined(verified(_next(now, r + 1), sketches, rows, similarity)):
-            break
-        now = _mixed(now.drop("comp"), label)
-
     few = now.where(F.col("n") <= small).groupBy("key").agg(F.collect_set(F.struct("comp", "rid")).alias("r"))
     cross = few.select(F.explode("r").alias("x"), "r").select("x", F.explode(F.expr("filter(r, y -> y.comp > x.comp)")).alias("y"))
     if now.limit(1).count() and joined(verified(_pair("x.rid", "y.rid", cross).distinct(), sketches, rows, similarity)):
@@ -270,14 +265,6 @@ def _mixed(members: DataFrame, label: DataFrame) -> DataFrame:
     return keep(now.join(several, "key"))
 
 
-def _next(now: DataFrame, seed: int) -> DataFrame:
-    """Pairs (a, b), at most one a text: a text and a member, drawn anew each round, of the largest class of one of its buckets."""
-    sizes = now.groupBy("key", "comp").agg(F.count("*").alias("n"), F.min(F.struct(_lot("rid", seed), "rid")).getField("rid").alias("pivot"))
-    largest = keep(sizes.groupBy("key").agg(F.max(F.struct("n", "comp", "pivot")).alias("p")).select("key", F.col("p.pivot").alias("pivot"), F.col("p.comp").alias("class")))
-    one = now.join(largest, "key").where("comp != class").groupBy("rid").agg(F.min(F.struct(_lot("pivot", seed), "pivot")).getField("pivot").alias("pivot"))
-    return _pair("rid", "pivot", one).distinct()
-
-
 def _crowded(now: DataFrame, rows: DataFrame, similarity: float, block: int = 512, size: int = 1 << 22) -> DataFrame:
     """Links (a, b) that join all classes of a bucket between which a pair is similar enough; every such pair is compared.
 
