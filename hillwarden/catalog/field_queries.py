@@ -533,7 +533,7 @@ def _(i):
     return A.fit_plane(i.quakes, "magnitude", "depth", z)
 
 
-@query("site_activity", "A24", """WITH l AS (SELECT site_id, CAST(floor(trigger_id / 7) AS BIGINT) AS event_id, replace(replace(CASE trigger_source WHEN 'subsurface' THEN CASE WHEN alert_level = 3 THEN 'S' ELSE 's' END WHEN 'surficial' THEN CASE WHEN alert_level = 3 THEN 'G' ELSE 'g' END WHEN 'on demand' THEN CASE WHEN alert_level = 3 THEN 'M' ELSE 'm' END WHEN 'rainfall' THEN 'R' ELSE 'E' END, 'M', 'G'), 'm', 'g') AS t FROM {triggers} WHERE alert_level > 0 AND trigger_id % 50 < 12),
+@query("site_activity", "A24", """WITH l AS (SELECT site_id, CAST(floor(trigger_id / 7) AS BIGINT) AS event_id, replace(replace(CASE trigger_source WHEN 'subsurface' THEN CASE WHEN alert_level = 3 THEN 'S' ELSE 's' END WHEN 'surficial' THEN CASE WHEN alert_level = 3 THEN 'G' ELSE 'g' END WHEN 'on demand' THEN CASE WHEN alert_level = 3 THEN 'M' ELSE 'm' END WHEN 'rainfall' THEN 'R' ELSE 'E' END, 'M', 'G'), 'm', 'g') AS t FROM {triggers} WHERE alert_level > 0),
 e AS (SELECT site_id, event_id, max(CAST(t = 'S' AS INT)) AS S3, max(CAST(t = 'G' AS INT)) AS G3, max(CAST(t = 's' AS INT)) AS s2, max(CAST(t = 'g' AS INT)) AS g2, max(CAST(t = 'R' AS INT)) AS r, max(CAST(t = 'E' AS INT)) AS q FROM l GROUP BY ALL),
 g AS (SELECT site_id, max(greatest(S3, s2)) AS s, max(greatest(G3, g2)) AS gg, max(greatest(S3, G3)) AS l3, count(*) FILTER (S3 + G3 + s2 + g2 > 0) AS n, count(*) FILTER (r = 1) AS rain_event, count(*) FILTER (q = 1) AS eq_event, count(*) FILTER (S3 + G3 = 0 AND s2 + g2 = 1) AS a2_single, count(*) FILTER (S3 + G3 = 0 AND s2 + g2 = 2) AS a2_both, count(*) FILTER (S3 + G3 = 1) AS a3_single, count(*) FILTER (S3 + G3 = 2) AS a3_both FROM e GROUP BY site_id)
 SELECT site_id, s + gg AS corr_event, CASE WHEN l3 = 1 THEN 4 WHEN n > 0 THEN 3 ELSE 0 END AS max_event, CASE WHEN n >= 5 THEN 4 WHEN n >= 3 THEN 3 WHEN n >= 2 THEN 2 WHEN n >= 1 THEN 1 ELSE 0 END AS freq_event, rain_event, eq_event, a2_single, a2_both, a3_single, a3_both, CAST(a2_single + 1.5 * a2_both + 8 * a3_single + 12 * a3_both AS DOUBLE) AS total FROM g""")
@@ -543,7 +543,7 @@ def _(i):
         F.when(s == "subsurface", F.when(l3, "S").otherwise("s")).when(s == "surficial", F.when(l3, "G").otherwise("g"))
         .when(s == "on demand", F.when(l3, "M").otherwise("m")).when(s == "rainfall", "R").otherwise("E")
     )
-    d = i.triggers.filter("alert_level > 0 AND trigger_id % 50 < 12").select("site_id", F.floor(F.col("trigger_id") / 7).alias("event_id"), letter.alias("trigger_type"))
+    d = i.triggers.filter("alert_level > 0").select("site_id", F.floor(F.col("trigger_id") / 7).alias("event_id"), letter.alias("trigger_type"))
     return A.site_activity(d)
 
 

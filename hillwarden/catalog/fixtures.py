@@ -25,12 +25,12 @@ VIEWS: dict[str, str] = {
     "sensors": """SELECT DISTINCT CAST((user_id - user_id % 10) / 10 AS INT) AS tsm_id, 10 AS number_of_segments, CAST(1.0 AS DOUBLE) AS segment_length,
         CAST((user_id - user_id % 10) / 10 AS INT) % 50 AS site_id FROM {events}""",
     "rain": """SELECT event_id, user_id AS rain_id, ts, CAST(CASE WHEN event_type = 'error' THEN -1.0 ELSE (CAST(floor(value) AS INT) % 40) / 2.0 END AS DOUBLE) AS rain FROM {events}""",
-    "tags": """SELECT user_id AS rain_id, ts AS ts_start, CASE WHEN event_id % 2 = 0 THEN NULL ELSE ts + INTERVAL 6 HOUR END AS ts_end FROM {events} WHERE event_id % 211 = 0""",
+    "tags": """SELECT s_suppkey AS rain_id, CAST('2024-01-02 00:00:00' AS TIMESTAMP) + INTERVAL 1 HOUR * CAST(s_suppkey * 7 % 640 AS INT) AS ts_start, CASE WHEN s_suppkey % 2 = 1 THEN CAST('2024-01-02 06:00:00' AS TIMESTAMP) + INTERVAL 1 HOUR * CAST(s_suppkey * 7 % 640 AS INT) END AS ts_end FROM {supplier}""",
     "sites": """SELECT c_custkey AS site_id, CAST((5000 + (c_custkey * 7919) % 14000) / 1000.0 AS DOUBLE) AS latitude, CAST((118000 + (c_custkey * 10473) % 8000) / 1000.0 AS DOUBLE) AS longitude,
         CAST(100 + (c_custkey % 5) * 25 AS DOUBLE) AS threshold_value, c_mktsegment AS province FROM {customer}""",
     "gauges": """SELECT s_suppkey AS rain_id, CAST((5000 + (s_suppkey * 6151) % 14000) / 1000.0 AS DOUBLE) AS latitude, CAST((118000 + (s_suppkey * 3571) % 8000) / 1000.0 AS DOUBLE) AS longitude, s_suppkey % 7 <> 0 AS active FROM {supplier}""",
-    "quakes": """SELECT o_orderkey AS eq_id, o_orderdate AS ts, CAST((30 + o_orderkey % 45) / 10.0 AS DOUBLE) AS magnitude, CAST(o_orderkey % 120 AS DOUBLE) AS depth, CAST((5000 + (o_orderkey * 4639) % 14000) / 1000.0 AS DOUBLE) AS latitude,
-        CAST((118000 + (o_orderkey * 8513) % 8000) / 1000.0 AS DOUBLE) AS longitude FROM {orders} WHERE o_orderkey % 25 = 0""",
+    "quakes": """SELECT p_partkey AS eq_id, CAST('1996-01-01 00:00:00' AS TIMESTAMP) + INTERVAL 1 HOUR * CAST(p_partkey * 5 % 8760 AS INT) AS ts, CAST((30 + p_partkey % 45) / 10.0 AS DOUBLE) AS magnitude, CAST(p_partkey % 120 AS DOUBLE) AS depth, CAST((5000 + (p_partkey * 4639) % 14000) / 1000.0 AS DOUBLE) AS latitude,
+        CAST((118000 + (p_partkey * 8513) % 8000) / 1000.0 AS DOUBLE) AS longitude FROM {part}""",
     "markers": """SELECT event_id AS data_id, user_id AS marker_id, CAST(user_id % 50 AS INT) AS site_id, ts, CAST((5000 + event_id % 400) / 100.0 AS DOUBLE) AS measurement,
         CASE WHEN event_type = 'view' THEN 'DRS' ELSE 'SMS' END AS data_source FROM {events} WHERE event_type IN ('view', 'click', 'purchase')""",
     "evals": """SELECT event_id, CAST(user_id % 5 AS INT) AS site_id, ts, CAST(CASE WHEN value >= 90 THEN 3 WHEN value >= 50 THEN 2 WHEN value >= 5 THEN 0 ELSE -1 END AS INT) AS alert_level, event_type AS trigger_source FROM {events}""",
@@ -43,12 +43,12 @@ VIEWS: dict[str, str] = {
     "accelerometers": """SELECT tsm_id, n AS node_id, a AS accel_number, CAST(CASE WHEN (tsm_id + n + a) % 3 = 0 THEN 0 ELSE 1 END AS INT) AS in_use, CAST(3.05 AS DOUBLE) AS voltage_min, CAST(3.35 AS DOUBLE) AS voltage_max,
         CAST(tsm_id * 100 + n * 2 + a AS BIGINT) AS accel_id
         FROM (SELECT tsm_id, n, each(1, 2) AS a FROM (SELECT tsm_id, each(1, 2, 3, 4, 5, 6, 7, 8, 9, 10) AS n FROM {sensors}) AS s1) AS s2""",
-    "node_status": """SELECT DISTINCT CAST((user_id - user_id % 10) / 10 AS INT) AS tsm_id, CAST(user_id % 10 AS INT) + 1 AS node_id, CAST(CASE WHEN user_id % 3 = 0 THEN 4 ELSE 1 END AS INT) AS status, CAST('2024-01-05 00:00:00' AS TIMESTAMP) AS date_identified FROM {events} WHERE user_id % 23 = 0""",
+    "node_status": """SELECT DISTINCT CAST((user_id - user_id % 10) / 10 AS INT) AS tsm_id, CAST(user_id % 10 AS INT) + 1 AS node_id, CAST(CASE WHEN user_id % 69 = 0 THEN 4 ELSE 1 END AS INT) AS status, CAST('2024-01-05 00:00:00' AS TIMESTAMP) AS date_identified FROM {events}""",
     "mobiles": """SELECT c_custkey AS mobile_id, '639' || substr(CAST(1000000000 + c_custkey AS VARCHAR(20)), 2, 9) AS sim_num, c_custkey % 100 AS logger_id, CAST('2020-01-01 00:00:00' AS TIMESTAMP) AS date_activated FROM {customer}
         UNION ALL SELECT c_custkey + 1000000 AS mobile_id, '09' || substr(CAST(1000000000 + c_custkey AS VARCHAR(20)), 2, 9) AS sim_num, c_custkey % 100 + 500 AS logger_id, CAST('2022-01-01 00:00:00' AS TIMESTAMP) AS date_activated FROM {customer} WHERE c_custkey % 9 = 0""",
-    "roster": """SELECT o_orderdate + INTERVAL 8 HOUR AS ts, min('MT' || CAST(o_custkey AS VARCHAR(20))) AS mt, min('CT' || CAST(o_custkey AS VARCHAR(20))) AS ct FROM {orders} WHERE o_orderkey % 3 = 0 GROUP BY o_orderdate
-        UNION ALL SELECT o_orderdate + INTERVAL 20 HOUR AS ts, min('MT' || CAST(o_custkey AS VARCHAR(20))) AS mt, min('CT' || CAST(o_custkey AS VARCHAR(20))) AS ct FROM {orders} WHERE o_orderkey % 3 = 1 GROUP BY o_orderdate""",
-    "downtime": """SELECT ts AS start_ts, ts_updated AS end_ts FROM {intervals} WHERE event_id % 31 = 0""",
+    "roster": """SELECT o_orderdate + INTERVAL 8 HOUR AS ts, min('MT' || CAST(o_custkey AS VARCHAR(20))) AS mt, min('CT' || CAST(o_custkey AS VARCHAR(20))) AS ct FROM {orders} GROUP BY o_orderdate
+        UNION ALL SELECT o_orderdate + INTERVAL 20 HOUR AS ts, max('MT' || CAST(o_custkey AS VARCHAR(20))) AS mt, max('CT' || CAST(o_custkey AS VARCHAR(20))) AS ct FROM {orders} GROUP BY o_orderdate""",
+    "downtime": """SELECT s_suppkey AS down_id, CAST('1995-01-02 00:00:00' AS TIMESTAMP) + INTERVAL 1 DAY * CAST(s_suppkey * 23 % 2400 AS INT) AS start_ts, CAST('1995-01-02 00:00:00' AS TIMESTAMP) + INTERVAL 1 DAY * CAST(s_suppkey * 23 % 2400 AS INT) + INTERVAL 3 HOUR * CAST(1 + s_suppkey % 9 AS INT) AS end_ts FROM {supplier}""",
     "site_names": """SELECT c_custkey AS site_id, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE 'Sitio ' || CAST(c_custkey % 13 AS VARCHAR(20)) END AS sitio, 'Brgy. ' || CAST(c_custkey AS VARCHAR(20)) AS barangay, n_name || CASE WHEN c_nationkey % 2 = 0 THEN ' City' ELSE '' END AS municipality, c_nationkey AS nation
         FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey""",
     "contacts": """SELECT c_custkey AS user_id, c_custkey AS site_id, CASE WHEN c_custkey % 4 = 0 THEN 'lewc' WHEN c_custkey % 4 = 1 THEN 'blgu' WHEN c_custkey % 4 = 2 THEN 'mlgu' ELSE 'plgu' END AS org_name, CAST(CASE WHEN c_custkey % 11 = 0 THEN 2 ELSE NULL END AS INT) AS alert_restriction,
@@ -57,15 +57,15 @@ VIEWS: dict[str, str] = {
     "punches": """SELECT o_custkey % 50 AS staff_id, o_orderkey AS punch_id, o_orderdate + INTERVAL 7 HOUR + INTERVAL 1 MINUTE * CAST(o_orderkey % 120 AS INT) AS time_in, o_orderdate + INTERVAL 19 HOUR + INTERVAL 1 MINUTE * CAST(o_orderkey % 150 AS INT) AS time_out FROM {orders}""",
     "evaluations": """SELECT event_id AS eval_id, floor(user_id / 10) AS staff_id, ts, CAST(event_id % 4 AS INT) AS typo, CAST(event_id % 3 AS INT) AS wrong_alert, CAST(event_id % 2 AS INT) AS late_entry, CAST(1 + event_id % 5 AS INT) AS rating_a, CAST(CASE WHEN event_id % 7 = 0 THEN NULL ELSE 1 + event_id % 4 END AS INT) AS rating_b FROM {events}""",
     "reports": """SELECT event_id AS report_id, CASE WHEN event_id % 3 = 0 THEN 'accuracy' WHEN event_id % 3 = 1 THEN 'timeliness' ELSE 'error_logs' END AS type, event_type || CASE WHEN event_id % 5 = 0 THEN '_unknown' ELSE '' END AS metric_name, ts, 'report ' || CAST(event_id AS VARCHAR(20)) AS report_message, value AS execution_time FROM {events}""",
-    "marker_history": """SELECT user_id AS marker_id, event_id AS hist_id, ts, CASE WHEN event_type = 'view' THEN 'add' WHEN event_type = 'click' THEN 'rename' WHEN event_type = 'purchase' THEN 'reposition' ELSE 'mute' END AS event, 'M' || CAST(event_id % 26 AS VARCHAR(20)) AS marker_name FROM {events} WHERE event_id % 17 = 0""",
+    "marker_history": """SELECT user_id AS marker_id, event_id AS hist_id, ts, CASE WHEN event_type = 'view' THEN 'add' WHEN event_type = 'click' THEN 'rename' WHEN event_type = 'purchase' THEN 'reposition' ELSE 'mute' END AS event, 'M' || CAST(event_id % 26 AS VARCHAR(20)) AS marker_name FROM {events}""",
     "triggers": """SELECT event_id AS trigger_id, CAST(user_id % 50 AS INT) AS site_id, CASE WHEN event_type = 'view' THEN 'rainfall' WHEN event_type = 'click' THEN 'subsurface' WHEN event_type = 'purchase' THEN 'surficial' WHEN event_type = 'error' THEN 'earthquake' ELSE 'on demand' END AS trigger_source,
         CAST(event_id % 4 AS INT) AS alert_level, ts, ts + INTERVAL 1 MINUTE * CAST(event_id % 7 * 30 AS INT) AS ts_updated FROM {events}""",
     "alert_status": """SELECT trigger_id, ts_updated - INTERVAL 1 MINUTE * CAST(trigger_id % 7 * 600 AS INT) AS ts_last_retrigger, CAST(trigger_id % 3 - 1 AS INT) AS alert_status, CAST(trigger_id % 40 AS INT) AS user_id FROM {triggers} WHERE trigger_id % 5 = 0""",
-    "event_rows": """SELECT o_orderkey AS event_id, o_custkey AS site_id, data_ts, CASE WHEN o_orderkey % 7 = 0 THEN 'E' WHEN o_orderkey % 5 = 0 THEN 'm' WHEN o_orderkey % 11 = 0 THEN 'D' ELSE 'R' END AS alert_symbol, CAST(2 + o_orderkey % 3 AS INT) AS pub_sym_id,
-        data_ts + INTERVAL 30 MINUTE + INTERVAL 1 DAY * CAST(1 + o_orderkey % 2 AS INT) AS validity, CAST(CASE WHEN o_custkey % 4 = 0 THEN 0 ELSE 1 END AS INT) AS has_markers FROM {orders} JOIN {schedule} ON o_orderkey = release_id WHERE o_orderkey % 40 = 0
-        UNION ALL SELECT o_orderkey AS event_id, o_custkey AS site_id, data_ts + INTERVAL 300 MINUTE + INTERVAL 30 MINUTE * CAST(o_orderkey / 80 % 7 AS INT) AS data_ts, CASE WHEN o_orderkey % 3 = 0 THEN 'M' ELSE 's' END AS alert_symbol, CAST(3 + o_orderkey % 2 AS INT) AS pub_sym_id,
-        data_ts + INTERVAL 30 MINUTE + INTERVAL 3 DAY AS validity, CAST(CASE WHEN o_custkey % 4 = 0 THEN 0 ELSE 1 END AS INT) AS has_markers FROM {orders} JOIN {schedule} ON o_orderkey = release_id WHERE o_orderkey % 80 = 0""",
-    "seasons": """SELECT c_custkey AS site_id, CAST(m AS INT) AS month, CASE WHEN (c_custkey + m) % 2 = 0 THEN 'wet' ELSE 'dry' END AS season_type FROM (SELECT c_custkey, each(1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12) AS m FROM {customer} WHERE c_custkey % 3 = 0) AS s1""",
+    "event_rows": """SELECT event_id, site_id, data_ts, alert_symbol, pub_sym_id, validity, has_markers FROM (SELECT c_custkey AS event_id, c_custkey AS site_id, CAST('1995-01-01 03:30:00' AS TIMESTAMP) + INTERVAL 1 DAY * CAST(c_custkey * 13 % 2300 AS INT) + INTERVAL 4 HOUR * CAST(c_custkey % 4 AS INT) AS data_ts, CASE WHEN c_custkey % 7 = 0 THEN 'E' WHEN c_custkey % 5 = 0 THEN 'm' WHEN c_custkey % 11 = 0 THEN 'D' ELSE 'R' END AS alert_symbol, CAST(2 + c_custkey % 3 AS INT) AS pub_sym_id,
+        CAST('1995-01-01 04:00:00' AS TIMESTAMP) + INTERVAL 1 DAY * CAST(c_custkey * 13 % 2300 + 1 + c_custkey % 2 AS INT) + INTERVAL 4 HOUR * CAST(c_custkey % 4 AS INT) AS validity, CAST(CASE WHEN c_custkey % 4 = 0 THEN 0 ELSE 1 END AS INT) AS has_markers FROM {customer}) AS e1
+        UNION ALL SELECT c_custkey AS event_id, c_custkey AS site_id, CAST('1995-01-01 08:30:00' AS TIMESTAMP) + INTERVAL 1 DAY * CAST(c_custkey * 13 % 2300 AS INT) + INTERVAL 4 HOUR * CAST(c_custkey % 4 AS INT) + INTERVAL 30 MINUTE * CAST(c_custkey % 7 AS INT) AS data_ts, CASE WHEN c_custkey % 3 = 0 THEN 'M' ELSE 's' END AS alert_symbol, CAST(3 + c_custkey % 2 AS INT) AS pub_sym_id,
+        CAST('1995-01-04 04:00:00' AS TIMESTAMP) + INTERVAL 1 DAY * CAST(c_custkey * 13 % 2300 AS INT) + INTERVAL 4 HOUR * CAST(c_custkey % 4 AS INT) AS validity, CAST(CASE WHEN c_custkey % 4 = 0 THEN 0 ELSE 1 END AS INT) AS has_markers FROM {customer}""",
+    "seasons": """SELECT c_custkey AS site_id, CAST(m AS INT) AS month, CASE WHEN (c_custkey + m) % 2 = 0 THEN 'wet' ELSE 'dry' END AS season_type FROM (SELECT c_custkey, each(1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12) AS m FROM {customer}) AS s1""",
     "plan": """SELECT * FROM (VALUES ('wet', 2), ('wet', 5), ('dry', 3)) AS p(season_type, iso_week_day)""",
     "releases": """SELECT release_id, site_id, data_ts, event, raising, lowering, 0 AS extended, CAST(1 + release_id % 4 AS INT) AS pub_sym_id FROM {schedule}""",
     "sent_log": """SELECT release_id + 10000000 * k AS sent_id, site_id, site_id AS user_id, data_ts + INTERVAL 10 MINUTE * CAST(release_id % 31 + k * 9 AS INT) AS ts_written FROM (SELECT *, each(0, 1) AS k FROM {schedule} WHERE release_id % 5 <> 0) AS s1""",

@@ -317,22 +317,32 @@ def _(i):
     return X.observation_measurements(_observations(i))
 
 
-@query("html_events", "M18", "SELECT eq_id AS page_id, ts AS event_ts, 8.5::DOUBLE AS latitude, 126.25::DOUBLE AS longitude, depth, magnitude, 'Province' || (eq_id % 9) AS province, 'Town' || (eq_id % 7) AS municipality FROM {quakes} CROSS JOIN (VALUES (1), (2)) AS v(k) WHERE k = 1 OR eq_id % 2 = 0")
-def _(i):
+# --- pages: every stored page as it is, two in three with a table of events behind its text ---
+
+PAGE_TS = "TIMESTAMP '2020-01-01 00:00:00' + INTERVAL 1 HOUR * CAST(page_id AS INT)"
+
+
+def _pages(i):
     td = lambda *c: F.concat(*[F.concat(F.lit("<td class='x'><b>"), x.cast("string"), F.lit(" </b></td>")) for x in c])
-    e = F.col("eq_id")
-    cells = td(F.date_format("ts", "dd MMMM yyyy - hh:mm a"), F.lit("8.50"), F.lit("126.25"), F.col("depth"), F.col("magnitude"),
-               F.concat(F.lit("011 km N of Town"), (e % 7).cast("string"), F.lit(" (Province"), (e % 9).cast("string"), F.lit(")")))
-    # every other page holds two events in one row
-    row = F.concat(F.lit("<tr>"), F.when(e % 2 == 0, F.concat(cells, cells)).otherwise(cells), F.lit("</tr>"))
-    html = F.concat(F.lit("<table><tr><th>Date</th></tr>"), row, F.lit("</table>"))
-    d = i.quakes.select(e.alias("page_id"), F.explode(F.array(html)).alias("html"))
-    return X.extract_html_events(d).select("page_id", "event_ts", "latitude", "longitude", "depth", "magnitude", "province", "municipality")
+    p = F.col("page_id")
+    ts = at("2020-01-01 00:00:00") + F.make_dt_interval(hours=p.cast("int"))
+    cells = td(F.date_format(ts, "dd MMMM yyyy - hh:mm a"), F.lit("10.25"), F.lit("123.75"), (p % 120).cast("double"), ((p % 45 + 30) / 10).cast("double"),
+               F.concat(F.lit("023 km S of Town"), (p % 7).cast("string"), F.lit(" (Province"), (p % 9).cast("string"), F.lit(")")))
+    # every other table holds two events in one row
+    table = F.concat(F.lit("<table><tr><th>Date</th></tr><tr>"), F.when(p % 2 == 0, F.concat(cells, cells)).otherwise(cells), F.lit("</tr></table>"))
+    whole = F.concat(F.coalesce("html", F.lit("")), F.when(p % 3 == 0, "").otherwise(table))
+    return i.pages.select("page_id", F.explode(F.array(whole)).alias("html"))
+
+
+@query("html_events", "M18", f"SELECT page_id, {PAGE_TS} AS event_ts, 10.25::DOUBLE AS latitude, 123.75::DOUBLE AS longitude, CAST(page_id % 120 AS DOUBLE) AS depth, (page_id % 45 + 30) / 10.0::DOUBLE AS magnitude, 'Province' || (page_id % 9) AS province, 'Town' || (page_id % 7) AS municipality FROM {{pages}} CROSS JOIN (VALUES (1), (2)) AS v(k) WHERE page_id % 3 <> 0 AND (k = 1 OR page_id % 2 = 0)")
+def _(i):
+    return X.extract_html_events(_pages(i)).select("page_id", "event_ts", "latitude", "longitude", "depth", "magnitude", "province", "municipality")
 
 
-@query("html_cells", "M18")
+@query("html_cells", "M18", "SELECT page_id, CAST(CASE WHEN page_id % 3 = 0 THEN 0 ELSE 1 END AS INT) AS table_rows, CAST(CASE WHEN page_id % 3 = 0 THEN 0 WHEN page_id % 2 = 0 THEN 12 ELSE 6 END AS INT) AS cells FROM {pages}")
 def _(i):
-    return i.pages.select("page_id", F.size(X.html_cells()).alias("table_rows"))
+    d = _pages(i).select("page_id", X.html_cells().alias("r"))
+    return d.select("page_id", F.size("r").alias("table_rows"), F.size(F.flatten("r")).alias("cells"))
 
 
 # In the wrong table, logger texts meet people's formats only and count as handled; people's texts fit nothing there, but tables for synchronising are read from either.

@@ -187,18 +187,17 @@ def _(i):
     return GR.evaluation_grade(s, i.evaluations.withColumn("staff_id", F.col("staff_id").cast("bigint")), ["staff_id"])
 
 
-@query("attendance", "S14", """WITH s AS (SELECT DISTINCT o_custkey % 50 AS staff_id, o_orderdate + INTERVAL 8 HOUR AS shift_ts FROM {orders} WHERE o_orderkey % 6 = 0), p AS (SELECT s.staff_id, s.shift_ts, sum(greatest(0.0, date_diff('microsecond', greatest(time_in, shift_ts - INTERVAL 15 MINUTE), least(time_out, shift_ts + INTERVAL 735 MINUTE)) / 3600000000.0)) AS h FROM s JOIN {punches} p ON p.staff_id = s.staff_id AND p.time_in <= s.shift_ts + INTERVAL 735 MINUTE AND p.time_out >= s.shift_ts - INTERVAL 15 MINUTE GROUP BY ALL)
+@query("attendance", "S14", """WITH s AS (SELECT DISTINCT o_custkey % 50 AS staff_id, o_orderdate + INTERVAL 8 HOUR AS shift_ts FROM {orders}), p AS (SELECT s.staff_id, s.shift_ts, sum(greatest(0.0, date_diff('microsecond', greatest(time_in, shift_ts - INTERVAL 15 MINUTE), least(time_out, shift_ts + INTERVAL 735 MINUTE)) / 3600000000.0)) AS h FROM s JOIN {punches} p ON p.staff_id = s.staff_id AND p.time_in <= s.shift_ts + INTERVAL 735 MINUTE AND p.time_out >= s.shift_ts - INTERVAL 15 MINUTE GROUP BY ALL)
 SELECT s.staff_id, s.shift_ts, """ + R("coalesce(h, 0.0)::DOUBLE / 12.5", 4) + """ AS grade FROM s LEFT JOIN p ON s.staff_id = p.staff_id AND s.shift_ts = p.shift_ts""")
 def _(i):
-    s = i.orders.filter("o_orderkey % 6 = 0").select((F.col("o_custkey") % 50).alias("staff_id"), (F.col("o_orderdate") + span(hours=8)).alias("shift_ts")).distinct()
+    s = i.orders.select((F.col("o_custkey") % 50).alias("staff_id"), (F.col("o_orderdate") + span(hours=8)).alias("shift_ts")).distinct()
     return GR.attendance(s, i.punches)
 
 
-@query("availability", "S15,J13", """WITH s AS (SELECT DISTINCT o_orderdate + INTERVAL 8 HOUR AS shift_ts FROM {orders}), o AS (SELECT shift_ts, sum(date_diff('microsecond', greatest(ts, shift_ts), least(ts_updated, shift_ts + INTERVAL 12 HOUR)) / 3600000000.0) AS h FROM s JOIN {intervals} i ON i.event_id % 31 = 0 AND ts <= shift_ts + INTERVAL 12 HOUR AND ts_updated >= shift_ts GROUP BY 1) SELECT s.shift_ts, """ + R("1.0 - coalesce(h, 0.0)::DOUBLE / 12.5", 4) + """ AS grade FROM s LEFT JOIN o ON s.shift_ts = o.shift_ts""")
+@query("availability", "S15,J13", """WITH s AS (SELECT DISTINCT o_orderdate + INTERVAL 8 HOUR AS shift_ts FROM {orders}), o AS (SELECT shift_ts, sum(date_diff('microsecond', greatest(start_ts, shift_ts), least(end_ts, shift_ts + INTERVAL 12 HOUR)) / 3600000000.0) AS h FROM s JOIN {downtime} i ON start_ts <= shift_ts + INTERVAL 12 HOUR AND end_ts >= shift_ts GROUP BY 1) SELECT s.shift_ts, """ + R("1.0 - coalesce(h, 0.0)::DOUBLE / 12.5", 4) + """ AS grade FROM s LEFT JOIN o ON s.shift_ts = o.shift_ts""")
 def _(i):
     s = i.orders.select((F.col("o_orderdate") + span(hours=8)).alias("shift_ts")).distinct()
-    d = i.intervals.filter("event_id % 31 = 0").select(F.col("event_id").alias("down_id"), F.col("ts").alias("start_ts"), F.col("ts_updated").alias("end_ts"))
-    return GR.availability(s, d)
+    return GR.availability(s, i.downtime)
 
 
 @query("log_grades", "S15", "SELECT staff_id, min(CASE WHEN a IS NOT NULL THEN CAST(a = 'Yes' AS INT) END) AS grade FROM (SELECT CAST(staff_id AS BIGINT) AS staff_id, CASE WHEN eval_id % 50 = 0 THEN 'No' WHEN staff_id % 2 = 0 THEN 'Yes' END AS a FROM {evaluations}) GROUP BY staff_id")
@@ -213,10 +212,10 @@ def _(i):
     return GR.peer_rating(i.evaluations.withColumn("staff_id", F.col("staff_id").cast("bigint")), "staff_id", ["rating_a", "rating_b"])
 
 
-@query("validation_tasks", "S18", "SELECT m.data_id, 'validate ' || m.site_id || ' ' || strftime(m.ts, '%Y-%m-%d %H:%M') AS message FROM {markers} m WHERE ts > TIMESTAMP '2024-01-19 00:00:00' AND ts <= TIMESTAMP '2024-01-20 12:00:00' AND data_id % 3 = 0 AND data_id % 5 = 0")
+@query("validation_tasks", "S18", "SELECT m.data_id, 'validate ' || m.site_id || ' ' || strftime(m.ts, '%Y-%m-%d %H:%M') AS message FROM {markers} m WHERE ts > TIMESTAMP '2024-01-19 00:00:00' AND ts <= TIMESTAMP '2024-01-20 12:00:00' AND data_id % 5 = 0")
 def _(i):
     lv = i.markers.select("data_id", F.when(F.col("data_id") % 5 == 0, 0).otherwise(2).alias("alert_level"))
-    return RE.to_validate(i.markers.filter("data_id % 3 = 0"), lv, at("2024-01-20 12:00:00"))
+    return RE.to_validate(i.markers, lv, at("2024-01-20 12:00:00"))
 
 
 @query("tagged_log", "S19,F22", "SELECT m.inbox_id, tag, c.site_id, c.org_name FROM (SELECT event_id AS inbox_id, user_id, ts, CASE WHEN event_type = 'click' THEN '#AlertFYI' ELSE '#GroundMeas' END AS tag FROM {events} WHERE event_type IN ('click', 'purchase')) m LEFT JOIN {contacts} c ON m.user_id = c.user_id WHERE m.ts >= TIMESTAMP '2024-01-10' AND m.ts <= TIMESTAMP '2024-01-12'")
