@@ -132,6 +132,24 @@ def _(i):
     return RF.rain_write_gate(pl, st, i.intervals, t)
 
 
+WATCHED = "(SELECT trigger_id AS event_id, trigger_id AS public_id, site_id, ts, ts_updated, alert_level FROM {triggers})"
+GATE = f"""wt AS {WATCHED}, gp AS (SELECT site_id, arg_max(alert_level, (ts, public_id)) AS alert_level FROM wt WHERE ts <= {E} AND ts_updated >= {E} - INTERVAL 30 MINUTE GROUP BY site_id),
+gs AS (SELECT site_id, min(ts) AS event_start FROM (SELECT *, sum(new) OVER (PARTITION BY site_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS isl FROM (SELECT *, CASE WHEN coalesce(max(ts_updated) OVER (PARTITION BY site_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= ts - INTERVAL 30 MINUTE, false) THEN 0 ELSE 1 END AS new FROM wt)) GROUP BY site_id, isl),
+gc AS (SELECT site_id, max(event_start) AS event_start FROM gs WHERE event_start <= {E} GROUP BY site_id),
+gt AS (SELECT wt.site_id, max(ts_updated) AS u, max(CASE WHEN alert_level = 3 THEN 1 ELSE 0 END) AS l3 FROM wt JOIN gc USING (site_id) WHERE alert_level > 0 AND ts_updated >= event_start AND ts_updated <= {E} GROUP BY wt.site_id),
+gate AS (SELECT gt.site_id, {E} + INTERVAL 30 MINUTE >= time_bucket(INTERVAL 4 HOUR, u) + INTERVAL 4 HOUR + INTERVAL 1 DAY * (1 + l3) AS write FROM gt JOIN gp USING (site_id) WHERE gp.alert_level > 0)"""
+
+
+@query("stored_rain_codes", "P9,P10", f"""WITH {RAINAL}, {GATE} SELECT site_id, rain_id, alert_level, 'a' AS rain_alert, one_day AS cumulative, half_max AS threshold FROM rl WHERE alert_level = 1 AND one_day >= half_max
+UNION ALL SELECT site_id, rain_id, alert_level, 'b', three_day, full_max FROM rl WHERE alert_level = 1 AND three_day >= full_max
+UNION ALL SELECT site_id, rain_id, alert_level, 'x', CASE WHEN one_day >= half_max * 0.75 THEN one_day ELSE three_day END, CASE WHEN one_day >= half_max * 0.75 THEN half_max ELSE full_max END FROM rl JOIN gate USING (site_id) WHERE write AND alert_level = 0 AND (one_day >= half_max * 0.75 OR three_day >= full_max * 0.75)""")
+def _(i):
+    t = at(END)
+    w = i.triggers.select(F.col("trigger_id").alias("event_id"), F.col("trigger_id").alias("public_id"), "site_id", "ts", "ts_updated", "alert_level")
+    started = I.event_sessions(w).filter(F.col("event_start") <= t).groupBy("site_id").agg(F.max("event_start").alias("event_start"))
+    return RF.stored_codes(_rain_alerts(i), RF.rain_write_gate(I.public_level(w, t), started, w, t))
+
+
 @query("rain_windows", "F18", "SELECT event_id, time_bucket(INTERVAL 30 MINUTE, ts) AS end_ts, time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 10 DAY AS start_ts, time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 13 DAY AS offset_ts FROM {events}")
 def _(i):
     return rain_grid(i.events.select("event_id", F.col("ts").alias("end_ts")))

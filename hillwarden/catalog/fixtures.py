@@ -48,7 +48,7 @@ VIEWS: dict[str, str] = {
         UNION ALL SELECT c_custkey + 1000000 AS mobile_id, '09' || substr(CAST(1000000000 + c_custkey AS VARCHAR(20)), 2, 9) AS sim_num, c_custkey % 100 + 500 AS logger_id, CAST('2022-01-01 00:00:00' AS TIMESTAMP) AS date_activated FROM {customer} WHERE c_custkey % 9 = 0""",
     "roster": """SELECT o_orderdate + INTERVAL 8 HOUR AS ts, min('MT' || CAST(o_custkey AS VARCHAR(20))) AS mt, min('CT' || CAST(o_custkey AS VARCHAR(20))) AS ct FROM {orders} GROUP BY o_orderdate
         UNION ALL SELECT o_orderdate + INTERVAL 20 HOUR AS ts, max('MT' || CAST(o_custkey AS VARCHAR(20))) AS mt, max('CT' || CAST(o_custkey AS VARCHAR(20))) AS ct FROM {orders} GROUP BY o_orderdate""",
-    "downtime": """SELECT s_suppkey AS down_id, CAST('1995-01-02 00:00:00' AS TIMESTAMP) + INTERVAL 1 DAY * CAST(s_suppkey * 23 % 2400 AS INT) AS start_ts, CAST('1995-01-02 00:00:00' AS TIMESTAMP) + INTERVAL 1 DAY * CAST(s_suppkey * 23 % 2400 AS INT) + INTERVAL 3 HOUR * CAST(1 + s_suppkey % 9 AS INT) AS end_ts FROM {supplier}""",
+    "downtime": """SELECT s_suppkey AS down_id, CAST('1995-01-02 00:00:00' AS TIMESTAMP) + INTERVAL 1 DAY * CAST(s_suppkey * 23 % 2400 AS INT) AS start_ts, CAST('1995-01-02 00:00:00' AS TIMESTAMP) + INTERVAL 1 DAY * CAST(s_suppkey * 23 % 2400 AS INT) + INTERVAL 3 HOUR * CAST(1 + s_suppkey % 9 AS INT) AS end_ts, CAST(s_suppkey % 2 AS INT) AS reported FROM {supplier}""",
     "site_names": """SELECT c_custkey AS site_id, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE 'Sitio ' || CAST(c_custkey % 13 AS VARCHAR(20)) END AS sitio, 'Brgy. ' || CAST(c_custkey AS VARCHAR(20)) AS barangay, n_name || CASE WHEN c_nationkey % 2 = 0 THEN ' City' ELSE '' END AS municipality, c_nationkey AS nation
         FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey""",
     "contacts": """SELECT c_custkey AS user_id, c_custkey AS site_id, CASE WHEN c_custkey % 4 = 0 THEN 'lewc' WHEN c_custkey % 4 = 1 THEN 'blgu' WHEN c_custkey % 4 = 2 THEN 'mlgu' ELSE 'plgu' END AS org_name, CAST(CASE WHEN c_custkey % 11 = 0 THEN 2 ELSE NULL END AS INT) AS alert_restriction,

@@ -194,12 +194,29 @@ def _(i):
     return GR.attendance(s, i.punches)
 
 
-@query("availability", "S15,J13", """WITH s AS (SELECT DISTINCT o_orderdate + INTERVAL 8 HOUR AS shift_ts FROM {orders}), o AS (SELECT shift_ts, sum(date_diff('microsecond', greatest(start_ts, shift_ts), least(end_ts, shift_ts + INTERVAL 12 HOUR)) / 3600000000.0) AS h FROM s JOIN {downtime} i ON start_ts <= shift_ts + INTERVAL 12 HOUR AND end_ts >= shift_ts GROUP BY 1) SELECT s.shift_ts, """ + R("1.0 - coalesce(h, 0.0)::DOUBLE / 12.5", 4) + """ AS grade FROM s LEFT JOIN o ON s.shift_ts = o.shift_ts""")
+@query("availability", "S15,J13", """WITH s AS (SELECT DISTINCT o_orderdate + INTERVAL 8 HOUR AS shift_ts FROM {orders}), o AS (SELECT shift_ts, sum(date_diff('microsecond', greatest(start_ts, shift_ts), least(end_ts, shift_ts + INTERVAL 12 HOUR)) / 3600000000.0) AS h FROM s JOIN {downtime} i ON reported = 0 AND start_ts <= shift_ts + INTERVAL 12 HOUR AND end_ts >= shift_ts GROUP BY 1) SELECT s.shift_ts, """ + R("1.0 - coalesce(h, 0.0)::DOUBLE / 12.5", 4) + """ AS grade FROM s LEFT JOIN o ON s.shift_ts = o.shift_ts""")
 def _(i):
     s = i.orders.select((F.col("o_orderdate") + span(hours=8)).alias("shift_ts")).distinct()
     return GR.availability(s, i.downtime)
 
 
+SHIFTS = "(SELECT DISTINCT o_custkey % 20 AS staff_id, o_orderdate + INTERVAL 4 HOUR * CAST(2 + 3 * (o_custkey % 2) AS INT) AS shift_ts FROM {orders})"
+SHIFTEVALS = """(SELECT staff_id, ts, min(CASE WHEN o % 4 = 0 THEN 'No' WHEN o % 3 = 0 THEN 'Yes' END) AS bug_log, min(CASE WHEN o % 5 = 0 THEN 'No' WHEN o % 7 = 0 THEN 'Yes' END) AS relayed, min(CASE WHEN o % 6 = 0 THEN 'NAN EEEE' ELSE rpad('A', CAST(1 + 3 * (o % 7) AS INT), ', B') END) AS contacts
+    FROM (SELECT o_custkey % 20 AS staff_id, o_orderdate + INTERVAL 1 HOUR * CAST(8 + o_orderkey % 3 * 6 AS INT) AS ts, o_orderkey AS o FROM {orders}) AS e1 GROUP BY staff_id, ts)"""
+RELEASED = "(SELECT data_ts FROM {event_rows})"
+
+
+@query("shift_system_grades", "S15", f"""WITH s AS {SHIFTS}, v AS {SHIFTEVALS}, sys AS (SELECT shift_ts, 1.0 - coalesce(sum(CASE WHEN start_ts IS NOT NULL THEN date_diff('microsecond', greatest(start_ts, shift_ts), least(end_ts, shift_ts + INTERVAL 12 HOUR)) / 3600000000.0 END), 0.0)::DOUBLE / 12.5 AS g FROM (SELECT DISTINCT shift_ts FROM s) LEFT JOIN {{downtime}} ON reported = 0 AND start_ts <= shift_ts + INTERVAL 12 HOUR AND end_ts >= shift_ts GROUP BY shift_ts),
+b AS (SELECT s.staff_id, s.shift_ts, min_by(struct_pack(b := bug_log, r := relayed, c := contacts), v.ts) AS e FROM s JOIN v ON v.staff_id = s.staff_id AND v.ts >= s.shift_ts AND v.ts <= s.shift_ts + INTERVAL 1 DAY GROUP BY ALL),
+h AS (SELECT DISTINCT s.shift_ts FROM s JOIN {RELEASED} r ON r.data_ts > s.shift_ts AND r.data_ts <= s.shift_ts + INTERVAL 12 HOUR),
+x AS (SELECT s.*, {R('g', 4)} AS g, h.shift_ts IS NOT NULL AS release, e IS NOT NULL AS have, e.c AS c, CASE WHEN coalesce(e.b, e.r) IS NOT NULL THEN CASE WHEN coalesce(e.b, 'Yes') = 'Yes' AND coalesce(e.r, 'Yes') = 'Yes' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END END AS bug FROM s JOIN sys USING (shift_ts) LEFT JOIN b USING (staff_id, shift_ts) LEFT JOIN h USING (shift_ts))
+SELECT staff_id, shift_ts, release, {R('CASE WHEN release OR bug IS NULL THEN g ELSE (g + bug) / 2 END', 4)} AS system, CASE WHEN release THEN bug END AS bug, CASE WHEN NOT release AND c IS NOT NULL THEN {R("CASE WHEN c = 'NAN EEEE' THEN 0.0::DOUBLE ELSE least(1.0::DOUBLE, len(string_split(c, ', ')) / 5.0::DOUBLE) END", 4)} END AS contacts FROM x""")
+def _(i):
+    tables = {"orders": i.orders}
+    evals = i.spark.sql("SELECT * FROM " + SHIFTEVALS, **tables).withColumnRenamed("ts", "shift_ts")
+    return GR.shift_system_grades(i.spark.sql("SELECT * FROM " + SHIFTS, **tables), i.event_rows.select("data_ts"), evals, i.downtime)
+
+
 @query("log_grades", "S15", "SELECT staff_id, min(CASE WHEN a IS NOT NULL THEN CAST(a = 'Yes' AS INT) END) AS grade FROM (SELECT CAST(staff_id AS BIGINT) AS staff_id, CASE WHEN eval_id % 50 = 0 THEN 'No' WHEN staff_id % 2 = 0 THEN 'Yes' END AS a FROM {evaluations}) GROUP BY staff_id")
 def _(i):
     a = F.when(F.col("eval_id") % 50 == 0, "No").when(F.col("staff_id") % 2 == 0, "Yes")

@@ -240,8 +240,8 @@ def _fold(r: str) -> str:
     return f"CASE WHEN {r} > 0 AND {r} < 1 THEN {r} WHEN {r} <> 0 THEN 1.0 / {r} END"
 
 
-@query("adjacent_ratio", "W9,J16", f"""WITH {SERIES_SQL}, {DISP}, n AS (SELECT a.tsm_id, a.node_id, a.ts, greatest(u.disp_xz, u.disp_xy) / least(nullif(a.disp_xz, 0), nullif(a.disp_xy, 0)) AS ru, greatest(b.disp_xz, b.disp_xy) / least(nullif(a.disp_xz, 0), nullif(a.disp_xy, 0)) AS rd
- FROM dsp a LEFT JOIN dsp u ON a.tsm_id = u.tsm_id AND a.ts = u.ts AND u.node_id = a.node_id - 1 LEFT JOIN dsp b ON a.tsm_id = b.tsm_id AND a.ts = b.ts AND b.node_id = a.node_id + 1)
+@query("adjacent_ratio", "W9,J16", f"""WITH {SERIES_SQL}, {DISP}, n AS (SELECT tsm_id, node_id, ts, CASE WHEN lag(node_id) OVER w = node_id - 1 THEN greatest(lag(disp_xz) OVER w, lag(disp_xy) OVER w) END / least(nullif(disp_xz, 0), nullif(disp_xy, 0)) AS ru, CASE WHEN lead(node_id) OVER w = node_id + 1 THEN greatest(lead(disp_xz) OVER w, lead(disp_xy) OVER w) END / least(nullif(disp_xz, 0), nullif(disp_xy, 0)) AS rd
+ FROM dsp WINDOW w AS (PARTITION BY tsm_id, ts ORDER BY node_id))
 SELECT tsm_id, node_id, ts, {R(f'({_fold("ru")}) * 100', 4)} AS up_ratio, {R(f'({_fold("rd")}) * 100', 4)} AS down_ratio FROM n""")
 def _(i):
     return K.adjacent_ratio(K.node_disp(_nodes(i)), ["disp_xz", "disp_xy"]).select(*NODE, "ts", "up_ratio", "down_ratio")

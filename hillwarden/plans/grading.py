@@ -115,16 +115,59 @@ def attendance(shifts: DataFrame, punches: DataFrame, grace_minutes: int = 15, f
 
 
 def availability(shifts: DataFrame, downtime: DataFrame, full_hours: float = 12.5) -> DataFrame:
-    """One minus the share of a shift the system was down."""
+    """One minus the share of a shift the system was down.
+
+    Where downtime has a column ``reported``, only rows with 0 count: what was
+    reported is not held against the shift.
+    """
+    if "reported" in downtime.columns:
+        downtime = downtime.filter("reported = 0")
     e = F.col("shift_ts") + span(hours=12)
     s = by_days(shifts.select("shift_ts").distinct(), F.col("shift_ts"), e)
-    w = by_days(downtime, F.col("start_ts"), F.col("end_ts"))
+    w = by_days(downtime.select("down_id", "start_ts", "end_ts"), F.col("start_ts"), F.col("end_ts"))
     hit = s.join(w, "__day").filter((F.col("start_ts") <= e) & (F.col("end_ts") >= F.col("shift_ts")))
     one = hit.groupBy("shift_ts", "down_id").agg(F.max(_overlap_hours(F.col("shift_ts"), e, F.col("start_ts"), F.col("end_ts"))).alias("__h"))
     tot = one.groupBy("shift_ts").agg(F.sum("__h").alias("__h"))
     return shifts.join(tot, "shift_ts", "left").select("shift_ts", clean_round(F.lit(1.0) - F.coalesce("__h", F.lit(0.0)) / full_hours, 4).alias("grade"))
 
 
+# Fixed value: how an evaluation names an empty list of contacts.
+NO_CONTACTS = "NAN EEEE"
+
+
+def shift_system_grades(shifts: DataFrame, releases: DataFrame, evals: DataFrame, downtime: DataFrame, wanted_contacts: int = 5) -> DataFrame:
+    """System, bug-report and contact grades of each person's shift.
+
+    ``shifts``: staff_id, shift_ts. ``releases``: data_ts. ``evals``: staff_id,
+    shift_ts, bug_log, relayed, contacts; the first of those within a day of
+    the shift's start counts. With a release in the shift the system grade and
+    the bug grade stand apart; without one their mean is the system grade, or
+    the system grade alone where no bug answer was given, and the contacts
+    named count, five for a full mark.
+    """
+    k = ["staff_id", "shift_ts"]
+    e = F.col("shift_ts") + span(hours=12)
+    system = availability(shifts.select("shift_ts").distinct(), downtime).withColumnRenamed("grade", "system")
+    # shifts start at fixed hours, so a release meets its shifts by day
+    days = by_days(shifts.select("shift_ts").distinct(), F.col("shift_ts"), e)
+    due = releases.select("data_ts", F.to_date("data_ts").alias("__day")).join(days, "__day")
+    held = due.filter((F.col("data_ts") > F.col("shift_ts")) & (F.col("data_ts") <= e)).select("shift_ts").distinct().withColumn("__held", F.lit(True))
+    v = evals.select("staff_id", F.col("shift_ts").alias("__t"), "bug_log", "relayed", "contacts", F.explode(F.array(F.date_sub(F.to_date("shift_ts"), 1), F.to_date("shift_ts"))).alias("__day"))
+    near = shifts.withColumn("__day", F.to_date("shift_ts")).join(v, ["staff_id", "__day"]).filter((F.col("__t") >= F.col("shift_ts")) & (F.col("__t") <= F.col("shift_ts") + span(days=1)))
+    one = near.groupBy(*k).agg(F.min_by(F.struct("bug_log", "relayed", "contacts"), F.struct("__t", "bug_log", "relayed", "contacts")).alias("__v"))
+    d = shifts.join(system, "shift_ts").join(held, "shift_ts", "left").join(one, k, "left")
+    answers = F.array_compact(F.array("__v.bug_log", "__v.relayed"))
+    bug = F.when(F.size(answers) > 0, F.when(F.forall(answers, lambda a: a == "Yes"), 1.0).otherwise(0.0))
+    named = F.when(F.col("__v.contacts") == NO_CONTACTS, 0.0).otherwise(F.least(F.lit(1.0), F.size(F.split("__v.contacts", ", ")) / F.lit(float(wanted_contacts))))
+    release = F.coalesce("__held", F.lit(False))
+    return d.select(
+        *k, release.alias("release"),
+        clean_round(F.when(release | bug.isNull(), F.col("system")).otherwise((F.col("system") + bug) / 2), 4).alias("system"),
+        F.when(release, bug).alias("bug"),
+        F.when(~release & F.col("__v").isNotNull() & F.col("__v.contacts").isNotNull(), clean_round(named, 4)).alias("contacts"),
+    )
+
+
 def log_grade(df: DataFrame, keys: Sequence[str], answers: Sequence[str]) -> DataFrame:
     """1 if every given answer is Yes, 0 otherwise, NULL without answers."""
     long = df.select(*keys, F.explode(F.array(*answers)).alias("__a"))

@@ -92,6 +92,17 @@ def rain_codes(summary: DataFrame, cfg: Rainfall = RAINFALL) -> DataFrame:
     )
 
 
+def stored_codes(summary: DataFrame, gate: DataFrame, cfg: Rainfall = RAINFALL) -> DataFrame:
+    """`rain_codes` that are really stored: a and b always, x only where the gate is open.
+
+    ``gate``: site_id, write, as `rain_write_gate` gives it; a site without a
+    row there is closed.
+    """
+    codes = rain_codes(summary, cfg)
+    opened = gate.filter("write").select("site_id").distinct().withColumn("__open", F.lit(True))
+    return codes.join(opened, "site_id", "left").filter((F.col("alert_level") == 1) | F.col("__open")).drop("__open")
+
+
 def rain_write_gate(public_levels: DataFrame, starts: DataFrame, triggers: DataFrame, end: Column) -> DataFrame:
     """Sites whose x / no-alert outcome must be written at ``end``.
 

@@ -145,3 +145,29 @@ def test_unsent_keeps_sites_without_a_name(spark):
     m = spark.createDataFrame([(1, 5, None, 9), (2, 6, None, 9)], "release_id int, site_id int, ts_written string, user_id int")
     n = spark.createDataFrame([(5, "north")], "site_id int, site_name string")
     assert {(r.release_id, r.site_name) for r in R.unsent(m, n).collect()} == {(1, "north"), (2, None)}
+
+
+def test_near_threshold_rows_are_stored_only_where_the_gate_is_open(spark):
+    from hillwarden.plans import rainfall as RF
+
+    rows = [(1, 7, 0, 40.0, 50.0, 50.0, 100.0), (2, 7, 0, 40.0, 50.0, 50.0, 100.0), (3, 7, 0, 40.0, 50.0, 50.0, 100.0), (4, 7, 1, 60.0, 120.0, 50.0, 100.0), (5, 7, -1, None, None, 50.0, 100.0), (6, 7, 0, 1.0, 80.0, 50.0, 100.0)]
+    summary = spark.createDataFrame(rows, "site_id int, rain_id int, alert_level int, one_day double, three_day double, half_max double, full_max double")
+    gate = spark.createDataFrame([(1, True), (2, False), (4, False), (5, True), (6, True)], "site_id int, write boolean")
+    got = sorted((r.site_id, r.rain_alert, r.cumulative) for r in RF.stored_codes(summary, gate).collect())
+    assert got == [(1, "x", 40.0), (4, "a", 60.0), (4, "b", 120.0), (6, "x", 80.0)]
+
+
+def test_system_bug_and_contact_grades(spark):
+    from datetime import datetime as dt
+
+    from hillwarden.plans import grading as GR
+
+    a, b = dt(2021, 5, 3, 8), dt(2021, 5, 3, 20)
+    shifts = spark.createDataFrame([(1, a), (2, a), (1, b), (3, b)], "staff_id int, shift_ts timestamp_ntz")
+    releases = spark.createDataFrame([(dt(2021, 5, 3, 20),)], "data_ts timestamp_ntz")  # in the first shift, not the second
+    evals = spark.createDataFrame(
+        [(1, a, "Yes", None, "A, B"), (2, a, "Yes", "No", "A"), (1, b, "No", None, "NAN EEEE"), (1, dt(2021, 5, 4, 21), "Yes", "Yes", "A")],
+        "staff_id int, shift_ts timestamp_ntz, bug_log string, relayed string, contacts string")
+    down = spark.createDataFrame([(1, dt(2021, 5, 3, 18), dt(2021, 5, 3, 22), 0), (2, dt(2021, 5, 3, 9), dt(2021, 5, 4, 9), 1)], "down_id int, start_ts timestamp_ntz, end_ts timestamp_ntz, reported int")
+    got = {(r.staff_id, r.shift_ts): (r.release, r.system, r.bug, r.contacts) for r in GR.shift_system_grades(shifts, releases, evals, down).collect()}
+    assert got == {(1, a): (True, 0.84, 1.0, None), (2, a): (True, 0.84, 0.0, None), (1, b): (False, 0.42, None, 0.0), (3, b): (False, 0.84, None, None)}
