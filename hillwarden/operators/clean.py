@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.clock import floor_to, span
 
@@ -64,18 +64,35 @@ def outlier_filter(
 
     Empty slots count towards the frame, hence RANGE. After ``slot_first`` a
     series has at most one row per slot, so a window partition is bounded by
-    the time span and not by the reading count.
+    the time span and not by the reading count. Means and deviations are
+    differences of running sums, so a frame is looked up once and not summed
+    for each axis; the sums of whole numbers are exact.
     """
     d = slot_first(df, keys, AXES, tie, minutes)
-    frame = f"(PARTITION BY {', '.join(keys)} ORDER BY ts RANGE BETWEEN INTERVAL '{(slots - 1) * minutes}' MINUTE PRECEDING AND CURRENT ROW)"
+    whole = all(t in ("tinyint", "smallint", "int") for c, t in d.dtypes if c in AXES)
+    number = lambda a: F.col(a).cast("bigint" if whole else "double")  # sums of whole numbers are exact
+    running = W.partitionBy(*keys).orderBy("ts").rowsBetween(W.unboundedPreceding, 0)
     d = d.select(
         "*",
-        *[F.expr(f"avg({a}) OVER {frame}").alias(f"__m_{a}") for a in AXES],
-        *[F.expr(f"stddev_samp({a}) OVER {frame}").alias(f"__s_{a}") for a in AXES],
+        *[F.count(a).over(running).alias(f"__n_{a}") for a in AXES],
+        *[F.sum(number(a)).over(running).alias(f"__1_{a}") for a in AXES],
+        *[F.sum(number(a) * number(a)).over(running).alias(f"__2_{a}") for a in AXES],
     )
+    # what was summed up to the frame's first row, that row included, and that row itself
+    sums = [F.col(f"__{k}_{a}") for a in AXES for k in "n12"]
+    d = d.withColumn("__at", F.struct(*AXES, *sums))
+    frame = f"(PARTITION BY {', '.join(keys)} ORDER BY ts RANGE BETWEEN INTERVAL '{(slots - 1) * minutes}' MINUTE PRECEDING AND CURRENT ROW)"
+    d = d.withColumn("__first", F.expr(f"first(__at) OVER {frame}"))
     keep = F.lit(True)
+    zero = F.lit(0)
     for a in AXES:
-        v, m, s = F.col(a), F.col(f"__m_{a}"), F.col(f"__s_{a}")
+        v, own = F.col(a), F.col(f"__first.{a}").cast("bigint" if whole else "double")
+        n = F.col(f"__n_{a}") - F.col(f"__first.__n_{a}") + own.isNotNull().cast("int")
+        one = F.coalesce(f"__1_{a}", zero) - F.coalesce(F.col(f"__first.__1_{a}"), zero) + F.coalesce(own, zero)
+        two = F.coalesce(f"__2_{a}", zero) - F.coalesce(F.col(f"__first.__2_{a}"), zero) + F.coalesce(own * own, zero)
+        m = one / n
+        # NULL for a single value, as a sample has no deviation
+        s = F.when(n > 1, F.sqrt(F.greatest(n * two - one * one, zero) / (n * (n - 1))))
         out = (v > m + width * s) | (v < m - width * s)
         keep = keep & v.isNotNull() & ~F.coalesce(out, F.lit(False))
     return d.filter(keep).select(*keys, "ts", *AXES)

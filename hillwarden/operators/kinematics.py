@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.clock import clean_round, micros
 from .clean import NODE, apply_filters
-from .series import _series, fill, resample_ffill, slope_days, smooth
+from .series import _series, fill, resample_ffill, smooth
 
 
 def linear_component(axis: str, length: Column | str) -> Column:
@@ -63,16 +63,18 @@ def node_series(readings: DataFrame, sensors: DataFrame, tie: Sequence[str] = ("
     return smooth(full, NODE, ["xz", "xy"], n)
 
 
-def velocity(df: DataFrame, keys: Sequence[str] = NODE, n: int = 7, start: Column | None = None) -> DataFrame:
-    """Rolling regression slope in m / day."""
+def velocity(df: DataFrame, keys: Sequence[str] = NODE, n: int = 7, start: Column | None = None, minutes: int = 30) -> DataFrame:
+    """Rolling regression slope in m / day of series on a grid of ``minutes``.
+
+    With rows equally far apart the slope is a sum of the last n values with
+    fixed weights, so no regression is fitted per row. NULL where one of them
+    is, or where there are fewer.
+    """
     w = _series(keys)
-    # Days since a fixed origin near the data keep the sums well conditioned.
-    origin = F.min("ts").over(W.partitionBy(*keys))
-    days = F.timestamp_diff("MICROSECOND", origin, F.col("ts")) / F.lit(86_400_000_000.0)
-    d = df.withColumn("__x", days)
-    d = d.withColumns(
-        {f"vel_{c}": clean_round(slope_days(F.col(c), F.col("__x"), w, n), 4) for c in ("xz", "xy")}
-    ).drop("__x")
+    middle = (n - 1) / 2
+    scale = sum((k - middle) ** 2 for k in range(n)) * minutes / 1440
+    slope = lambda c: sum((F.lag(c, k).over(w) * (middle - k) for k in range(1, n)), F.col(c) * middle) / F.lit(scale)
+    d = df.withColumns({f"vel_{c}": clean_round(slope(c), 4) for c in ("xz", "xy")})
     return d if start is None else d.filter(F.col("ts") >= start)
 
 

@@ -86,12 +86,6 @@ def smooth(df: DataFrame, keys: Sequence[str], cols: Sequence[str], n: int = 7,
     return d.filter((F.col("__n") >= n) | (F.col("__rows") == 1)).drop("__n", "__rows")
 
 
-def slope_days(y: Column, x_days: Column, w, n: int) -> Column:
-    """Least-squares slope over the last n rows, NULL before n rows."""
-    frame = w.rowsBetween(1 - n, 0)
-    return F.when(F.count(y).over(frame) == n, F.regr_slope(y, x_days).over(frame))
-
-
 def resample(df: DataFrame, keys: Sequence[str], minutes: int, aggs: Sequence[Column]) -> DataFrame:
     """Tumbling aggregate per series, labelled with the left edge."""
     return (

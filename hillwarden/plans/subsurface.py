@@ -55,7 +55,8 @@ def subsurface_kinematics(
 
     Output: end_ts, tsm_id, node_id, ts, xz, xy, vel_xz, vel_xy, last_good.
     """
-    raw = orthogonal_filter(range_filter(windowed_readings(readings, sensors, ends, cfg)))
+    # rows that no end time can use are not copied to any
+    raw = windowed_readings(orthogonal_filter(range_filter(readings)), sensors, ends, cfg)
     clean = outlier_filter(raw, [*SERIES, "part"], tie)
     offset = F.col("end_ts") - span(mins=int(cfg.window_days * 1440) + cfg.lead_slots * cfg.slot_minutes)
 
