@@ -171,8 +171,12 @@ def verified(pairs: DataFrame, sketches: DataFrame, rows: DataFrame, similarity:
 
 
 def _only(side: DataFrame, pairs: DataFrame) -> DataFrame:
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("rid"))
-    bits = bits_for(2 * pairs.count())
+    return _those(side, pairs.select(F.explode(F.array("a", "b")).alias("rid")), 2 * pairs.count())
+
+
+def _those(side: DataFrame, ends: DataFrame, most: int) -> DataFrame:
+    """Rows of side whose rid is among ends (of `most` rows at most), and a few others: what a bounded bitmap lets pass."""
+    bits = bits_for(most)
     words = keep(bitmap(ends.select(slot_of(F.col("rid"), bits).alias("slot"))))
     return probe(side, slot_of(F.col("rid"), bits), words, "bm_hit").where("bm_hit").drop("bm_hit")
 
@@ -220,7 +224,7 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, similarity: float = 0.8, sma
     """
     rows = keep(sketch(docs, k))
     reps = keep(rows.groupBy("same").agg(F.min("rid").alias("rid")))
-    sketches = keep(rows.select("rid", "bands", "sig").join(reps.select("rid"), "rid"))
+    sketches = keep(rows.select("rid", "bands", "sig").join(reps.select("rid"), "rid", "left_semi"))
     inside = sketches.select("rid", F.posexplode("bands").alias("band", "key"))
     members = keep(inside.join(inside.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key"))
 
@@ -272,7 +276,7 @@ def _crowded(now: DataFrame, rows: DataFrame, similarity: float, block: int = 51
     of its own, the smaller ones share blocks. Each two blocks, but not two of one class, are compared inside one task,
     which returns fewer links than it has texts, whatever the number of pairs.
     """
-    members = now.join(rows.select("rid", F.length("shingles").alias("w")), "rid")
+    members = now.join(_those(rows.select("rid", F.length("shingles").alias("w")), now.select("rid"), now.count()), "rid")
     cut = F.ceil(F.greatest(F.sum("n") / block, F.sum("w") / size)).cast("int")
     classes = keep(members.groupBy("key", "comp").agg(F.count("*").alias("n"), F.sum("w").alias("w")))
     own = classes.groupBy("key", "comp").agg(cut.alias("parts")).where("parts > 1")
@@ -290,8 +294,9 @@ def _crowded(now: DataFrame, rows: DataFrame, similarity: float, block: int = 51
     sides = members.join(tasks, (members["key"] == tasks["key"]) & (members["block"] == tasks["p"])).select(members["*"], "p", "q", F.lit(0).alias("side")).union(
         members.join(tasks.where("p < q"), (members["key"] == tasks["key"]) & (members["block"] == tasks["q"])).select(members["*"], "p", "q", F.lit(1).alias("side"))
     )
-    ends = now.select("rid").distinct()
-    body = keep(rows.select("rid", "bands", "sig", "shingles").join(ends, "rid"))
+    ends = keep(now.select("rid").distinct())
+    # the shingles of all other texts stay where they are
+    body = keep(_those(rows.select("rid", "bands", "sig", "shingles"), ends, ends.count()).join(ends, "rid"))
     whole = sides.drop("block").join(body, "rid")
 
     def run(table: pa.Table) -> pa.Table:
