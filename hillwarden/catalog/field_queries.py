@@ -288,9 +288,9 @@ def _(i):
     return I.as_of(e, i.roster, [], ["mt", "ct"], ["release_id"], size=30 * 86_400_000_000).select("release_id", "mt", "state_ts")
 
 
-@query("without_downtime", "J15", """SELECT release_id, site_id, data_ts FROM {schedule} s WHERE NOT EXISTS (SELECT 1 FROM {downtime} d WHERE s.data_ts + INTERVAL 30 MINUTE BETWEEN d.start_ts AND d.end_ts)""")
+@query("without_downtime", "J15", """SELECT release_id, site_id, data_ts FROM {schedule} s WHERE NOT EXISTS (SELECT 1 FROM {downtime} d WHERE s.data_ts - INTERVAL 150 MINUTE BETWEEN d.start_ts AND d.end_ts)""")
 def _(i):
-    return I.remove_downtime(i.schedule, i.downtime, shift=span(mins=30)).select("release_id", "site_id", "data_ts")
+    return I.remove_downtime(i.schedule, i.downtime, shift=span(mins=-150)).select("release_id", "site_id", "data_ts")
 
 
 # --- markers ----------------------------------------------------------------

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.clock import micros, span
-from ..functions.scan import islands, last_before, max_before, previous, scan, time_chunk
+from ..functions.scan import islands, last_before, max_before, previous, scan, time_chunk, value_bands
 from ..settings import EVALUATION_GAP, EVENT_GAP
 
 DAY = 86_400_000_000
@@ -92,7 +92,9 @@ def as_of(
 ) -> DataFrame:
     """Latest state at (or strictly before) each event: union, then one scan.
 
-    No nested loop and no per-event lookup; a hot key is split by time.
+    No nested loop and no per-event lookup; a hot key is split by time. Without
+    keys all rows are one series, and quantiles of their times split it, so a
+    day that most rows fall on is split too.
     """
     e = events.select("*", F.lit(None).alias("__s"), F.lit(0 if strict else 1).alias("__side"))
     packed = F.struct(F.col("ts").alias("__sts"), *[F.col(c) for c in cols])
@@ -109,7 +111,8 @@ def as_of(
     if not k:
         d, k = d.withColumn("__all", F.lit(0)), ["__all"]
     d = d.withColumn("__isevent", F.col("__s").isNull())
-    out = scan(d, k, order, {"__hit": last_before(F.col("__s"))}, time_chunk("ts", size))
+    chunk = time_chunk("ts", size) if keys else value_bands(d.withColumn("__us", micros("ts")), "__us")
+    out = scan(d.withColumn("__us", micros("ts")), k, order, {"__hit": last_before(F.col("__s"))}, chunk)
     out = out.filter("__isevent")
     keep = [c for c in events.columns]
     return out.select(*keep, F.col("__hit.__sts").alias("state_ts"), *[F.col(f"__hit.{c}").alias(c) for c in cols])
@@ -120,14 +123,31 @@ def overlapping(df: DataFrame, start: Column, end: Column, a: str = "ts", b: str
     return df.filter((F.col(a) <= end) & (F.col(b) >= start))
 
 
-def remove_downtime(schedule: DataFrame, downtime: DataFrame, ts: str = "data_ts", shift: Column | None = None) -> DataFrame:
-    """Drop schedule rows inside any downtime; the time may be shifted first."""
+def disjoint(df: DataFrame, start: str, end: str) -> DataFrame:
+    """Intervals that touch or overlap merged into one, whatever they belong to: columns start and end."""
+    d = df.select(F.col(start).alias("__a"), F.greatest(start, end).alias("__b"), F.lit(0).alias("__all")).filter("__a IS NOT NULL AND __b IS NOT NULL").distinct()
+    us = d.withColumn("__us", micros("__a"))
+    fresh = F.col("__until").isNull() | (F.col("__until") < F.col("__a"))
+    runs = islands(us, ["__all"], ["__a", "__b"], {"__until": max_before(F.col("__b"))}, fresh, [F.min("__a").alias(start), F.max("__b").alias(end)], chunk=value_bands(us, "__us"))
+    return runs.select(start, end)
+
+
+def remove_downtime(schedule: DataFrame, downtime: DataFrame, ts: str = "data_ts", shift: Column | None = None, salts: int | None = None) -> DataFrame:
+    """Drop schedule rows inside any downtime; the time may be shifted first.
+
+    Downtimes are merged, so that they are few, and cut into hours; each hour is
+    met by the schedule rows of that hour in ``salts`` shares (a quarter of the
+    shuffle partitions, 64 at most), so one day or hour that most rows fall on
+    is no single task's.
+    """
+    salts = salts or min(64, max(1, int(schedule.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4))
     t = F.col(ts) + (shift if shift is not None else span(mins=0))
-    d = schedule.withColumns({"__t": t, "__day": F.to_date(t)})
-    w = by_days(downtime.select(F.col("start_ts").alias("__a"), F.col("end_ts").alias("__b")), F.col("__a"), F.col("__b"), "__wday")
-    return d.join(
-        w, (d["__day"] == w["__wday"]) & (d["__t"] >= w["__a"]) & (d["__t"] <= w["__b"]), "left_anti"
-    ).drop("__t", "__day")
+    d = schedule.withColumn("__t", t).withColumns({"__hour": F.date_trunc("hour", "__t").cast("timestamp_ntz"), "__salt": F.pmod(F.xxhash64(*schedule.columns), F.lit(salts)).cast("int")})
+    hour = lambda c: F.date_trunc("hour", c).cast("timestamp_ntz")
+    w = disjoint(downtime, "start_ts", "end_ts").select(F.col("start_ts").alias("__a"), F.col("end_ts").alias("__b"), F.explode(F.sequence(hour("start_ts"), hour("end_ts"), F.expr("INTERVAL 1 HOUR"))).alias("__whour"))
+    w = w.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__wsalt"))
+    inside = (d["__hour"] == w["__whour"]) & (d["__salt"] == w["__wsalt"]) & (d["__t"] >= w["__a"]) & (d["__t"] <= w["__b"])
+    return d.join(w, inside, "left_anti").drop("__t", "__hour", "__salt")
 
 
 def movement_after(quakes: DataFrame, moves: DataFrame, days: int, key: str = "site_id") -> DataFrame:

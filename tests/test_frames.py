@@ -85,3 +85,58 @@ def test_gaussian_weights_copy_few_rows(spark):
     assert with_halo(df, F.col("i"), 4096, 19, 19).count() < 1.1 * 100_000
     plan = S.gaussian_mean(df, ["k"], "i", "v")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def rows_a_task(df):
+    from pyspark.sql import functions as F
+
+    return [r[0] for r in df.groupBy(F.spark_partition_id()).count().select("count").collect()]
+
+
+def test_keyless_joins_of_one_day_are_spread(spark):
+    from hillwarden.operators import intervals as I
+
+    n = 20_000
+    day = lambda k: F.expr("TIMESTAMP_NTZ'2024-03-01 00:00:00'") + F.make_dt_interval(secs=k)
+    rows = spark.range(n).select(F.col("id").alias("release_id"), day((F.col("id") * 7 % 3600).cast("decimal(18,6)")).alias("data_ts"))  # all within an hour
+    down = spark.createDataFrame([(10.0, 600.0), (300.0, 900.0), (900.0, 1000.0), (3000.0, 2000.0), (None, 5.0)], "a double, b double").select(
+        day(F.col("a").cast("decimal(18,6)")).alias("start_ts"), day(F.col("b").cast("decimal(18,6)")).alias("end_ts"))
+    merged = I.disjoint(down, "start_ts", "end_ts").collect()
+    assert sorted((r.end_ts - r.start_ts).total_seconds() for r in merged) == [0.0, 990.0]
+    left = I.remove_downtime(rows, down, salts=4)
+    gone = [k for k in range(n) if 10 <= k * 7 % 3600 <= 1000 or k * 7 % 3600 == 3000]
+    assert left.columns == rows.columns and left.count() == n - len(gone)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert max(rows_a_task(I.remove_downtime(rows, down, salts=16))) < 0.7 * n
+        states = spark.range(50).select(day((F.col("id") * 70).cast("decimal(18,6)")).alias("ts"), F.col("id").alias("mt"))
+        events = rows.withColumnRenamed("data_ts", "ts")
+        got = I.as_of(events, states, [], ["mt"], ["release_id"])
+        assert max(rows_a_task(got)) < 0.7 * n
+        assert got.filter(F.col("mt") != F.floor((F.col("release_id") * 7 % 3600 - 1) / 70)).filter("release_id * 7 % 3600 BETWEEN 1 AND 3499").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_town_in_one_cell_is_spread(spark):
+    from hillwarden.plans import earthquake as Q
+
+    n = 100_000
+    sites = spark.range(n).select(F.col("id").alias("site_id"), (11.0 + F.col("id") % 100 / 1e6).alias("latitude"), (124.0 + F.floor(F.col("id") / 100) / 1e6).alias("longitude"))
+    quakes = spark.createDataFrame([(k, 11.5, 124.0 + k / 10, 6.5) for k in range(8)], "eq_id long, latitude double, longitude double, magnitude double").withColumn("ts", F.expr("TIMESTAMP_NTZ'2024-03-01 00:00:00'"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        d = Q.quake_alerts(quakes, sites)
+        tasks = rows_a_task(d)
+        assert sum(tasks) == 8 * n  # magnitude 6.5 reaches over a hundred kilometres
+        assert max(tasks) < 0.25 * sum(tasks)
+        few = Q.nearest_gauges(sites.limit(50), sites.select(F.col("site_id").alias("rain_id"), "latitude", "longitude", F.lit(True).alias("active")))
+        assert few.filter("rank = 1 AND distance < 0.01").count() == 50 and few.count() == 200
+    finally:
+        for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"):
+            spark.conf.unset(c)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
