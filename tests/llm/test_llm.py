@@ -92,6 +92,21 @@ def test_licences(spark, odd, none):
     assert licenses.scan(odd, licenses.registry(spark, {}).limit(0)).where("n_license_blocks > 0").count() == 0
 
 
+def test_licence_files_and_notices_inside_texts(spark):
+    text = {k: v for k, v in licenses.NOTICES.items()}
+    mit, apache, bsd = text["MIT"][2], text["Apache-2.0"][1], text["BSD-2-Clause"][0]
+    rows = [
+        (1, "MIT License\n\nCopyright (c) 2020 Jane Doe\n\n" + mit, 1), (2, mit.replace("\n\n", "\n"), 2), (3, "Copyright 2020 X. Licensed under the MIT License.", 3),
+        (4, "# Copyright 2021 J. Doe\n\n" + apache + "\n\nimport os", 4), (5, "Some words.\n\n" + bsd.upper() + "\n\nMore words.", 5),
+        (6, mit.replace("free of charge", "for a fee"), 6), (7, "Copyright 2020 X", 7), (8, "(c) 2019 A. All rights reserved.\nReleased under the MIT Licence", 8),
+        (9, "\n\n".join([mit] * 2), 9), (10, "The MIT License (MIT)\n\n© 2020 Y\n\n" + "\n\n\n".join(mit.split("\n\n")), 10),
+    ]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string, digest int"), licenses.registry(spark)).collect()}
+    assert [got[k].whole_license for k in (1, 2, 3, 8, 10)] == ["MIT"] * 5
+    assert (got[4].whole_license, got[4].licenses) == (None, "Apache-2.0") and (got[5].whole_license, got[5].licenses) == (None, "BSD-2-Clause")
+    assert got[6].licenses == got[7].licenses == "" and (got[9].licenses, got[9].n_license_blocks) == ("MIT", 2)
+
+
 def test_packed_bits():
     r = np.random.default_rng(1)
     for bits in (1, 5, 8, 16, 17, 32):
