@@ -13,7 +13,7 @@ from hillwarden.catalog import QUERIES  # noqa: E402
 from hillwarden.session import build_session  # noqa: E402
 
 HEADLINE = [
-    "clean_readings", "node_velocity", "node_alerts", "backfill_levels", "rain_rolling_totals", "rainfall_alerts",
+    "clean_readings", "node_velocity", "node_alerts", "backfill_levels", "sensor_alerts", "rain_rolling_totals", "rainfall_alerts",
     "merge_alert_intervals", "trending_levels", "event_starts", "marker_levels_recomputed", "quake_alerts", "nearest_gauges",
     "decode_tilt_v2", "message_routes", "release_schedule", "sent_matching", "roc_curve", "data_presence",
 ]

@@ -171,8 +171,12 @@ def validate_adjacent(nodes: DataFrame, k: int = 2, cfg: Subsurface = SUBSURFACE
 
     Scan order i-1, i+1, i-2, i+2, ...; neighbours without data are skipped and
     the first with data decides. Each node offers itself to at most 2k others,
-    so the join is on equality of the node id.
+    so the join is on equality of the node id. The nodes, one row each and end
+    time, are stored first: all later steps would derive the kinematics again.
     """
+    from ..session import cut_lineage
+
+    nodes = cut_lineage(nodes)
     offer = nodes.filter("nd = 1").select(
         "end_ts", "tsm_id", F.col("node_id").alias("__from"), F.col("max_vel").alias("__mv"),
         F.explode(F.array(*[F.lit(s) for i in range(1, k + 1) for s in (i, -i)])).alias("__step"),
