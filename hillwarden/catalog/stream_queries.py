@@ -71,7 +71,13 @@ def replay_all(i, shape, build, twice: bool = False) -> DataFrame:
     df = build(src)
     q = df.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/ckpt").trigger(availableNow=True).start()
     q.awaitTermination()
-    return i.spark.read.schema(df.schema).parquet(f"{folder}/out").filter(F.col(df.columns[0]) != -1)
+    return i.spark.read.schema(df.schema).parquet(f"{folder}/out").filter(F.col(df.columns[0]).cast("string") != "-1")
+
+
+@query("stream_item_counts", "T2", "SELECT event_type AS source, time_bucket(INTERVAL 5 MINUTE, ts) AS bucket, count(*) AS items FROM {events} GROUP BY ALL")
+def _(i):
+    d = replay_all(i, lambda s: s.select(F.col("event_type").alias("source"), "ts"), ST.item_stream)
+    return d.withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
 
 
 @query("stream_deduplicated", "T10", "SELECT event_id, user_id, event_type FROM {events}")

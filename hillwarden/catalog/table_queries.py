@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.clock import at, clean_round, span
 from ..operators import stats as A
 from ..plans import subsurface as P
-from ..sources import tables as S
+from ..sources import sinks as SK, tables as S
 from .registry import query
 from .sensor_queries import END, KIN, NODE, R, SERIES_SQL, _kin, _nodes
 
@@ -42,13 +42,19 @@ def _upd(i):
     return t.filter("trigger_id % 3 <> 0"), new
 
 
-@query("upsert_triggers", "I5", f"SELECT coalesce(n.trigger_id, o.trigger_id) AS trigger_id, coalesce(n.site_id, o.site_id) AS site_id, coalesce(n.alert_level, o.alert_level) AS alert_level, coalesce(n.ts_updated, o.ts_updated) AS ts_updated FROM {T0} o FULL JOIN {T1} n ON o.trigger_id = n.trigger_id")
+UPSERTED = f"SELECT coalesce(n.trigger_id, o.trigger_id) AS trigger_id, coalesce(n.site_id, o.site_id) AS site_id, coalesce(n.alert_level, o.alert_level) AS alert_level, coalesce(n.ts_updated, o.ts_updated) AS ts_updated FROM {T0} o FULL JOIN {T1} n ON o.trigger_id = n.trigger_id"
+
+
+@query("upsert_triggers", "I5", UPSERTED)
 def _(i):
     old, new = _upd(i)
     return S.upsert(old, new.unionByName(new), ["trigger_id"], "ts_updated")
 
 
-@query("upsert_counters", "I6", "SELECT user_id, CAST(sum(c) AS BIGINT) AS send_status FROM (SELECT user_id, event_id % 3 AS c FROM {events} WHERE event_id % 2 = 0 UNION ALL SELECT user_id, 1 FROM {events} WHERE event_id % 2 = 1) GROUP BY user_id")
+COUNTED = "SELECT user_id, CAST(sum(c) AS BIGINT) AS send_status FROM (SELECT user_id, event_id % 3 AS c FROM {events} WHERE event_id % 2 = 0 UNION ALL SELECT user_id, 1 FROM {events} WHERE event_id % 2 = 1) GROUP BY user_id"
+
+
+@query("upsert_counters", "I6", COUNTED)
 def _(i):
     e = i.events
     a = e.filter("event_id % 2 = 0").select("user_id", (F.col("event_id") % 3).alias("send_status"))
@@ -56,6 +62,40 @@ def _(i):
     return S.upsert_accumulate(a, b, ["user_id"], ["send_status"])
 
 
+# The same into tables of files: only partitions with updates are read and rewritten.
+
+
+@query("stored_triggers", "I5", UPSERTED)
+def _(i):
+    from .stream_queries import _scratch
+
+    old, new = [d.withColumn("part", (F.col("trigger_id") % 8).cast("int")) for d in _upd(i)]
+    path = f"{_scratch(i.spark)}/triggers"
+    for d in (old, new, new.filter("part < 3")):  # the last changes nothing
+        SK.upsert_into(path, d, ["trigger_id"], "part", "ts_updated")
+    return i.spark.read.parquet(path).drop("part")
+
+
+@query("stored_counters", "I6", COUNTED)
+def _(i):
+    from .stream_queries import _scratch
+
+    e = i.events.withColumn("part", (F.col("user_id") % 8).cast("int"))
+    path = f"{_scratch(i.spark)}/counters"
+    for d in (e.filter("event_id % 2 = 0").select("part", "user_id", (F.col("event_id") % 3).alias("send_status")), e.filter("event_id % 2 = 1").select("part", "user_id", F.lit(1).cast("bigint").alias("send_status"))):
+        SK.accumulate_into(path, d, ["part", "user_id"], ["send_status"], "part")
+    return i.spark.read.parquet(path).drop("part")
+
+
+@query("stored_family", "I1", "SELECT event_id, tsm_id, node_id, ts, x FROM {readings} WHERE ts >= TIMESTAMP '2024-01-05 06:00:00' AND ts <= TIMESTAMP '2024-01-08 18:00:00' AND tsm_id IN (1, 3)")
+def _(i):
+    from .stream_queries import _scratch
+
+    path = f"{_scratch(i.spark)}/tilt"
+    S.write_family(i.readings, path)
+    return S.read_family(i.spark.read.parquet(path), "2024-01-05 06:00:00", "2024-01-08 18:00:00", [1, 3], cols=["event_id", "tsm_id", "node_id", "ts", "x"])
+
+
 @query("insert_missing", "I7,J4", f"SELECT * FROM {T0} UNION ALL SELECT * FROM {T1} n WHERE NOT EXISTS (SELECT 1 FROM {T0} o WHERE o.trigger_id = n.trigger_id)")
 def _(i):
     old, new = _upd(i)

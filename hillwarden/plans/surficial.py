@@ -135,10 +135,6 @@ def lookback(obs: DataFrame, n: int, start: Column) -> DataFrame:
     return top.groupBy("site_id").agg(F.least(F.min("ts"), start).alias("since"))
 
 
-def in_lookback(obs: DataFrame, n: int, start: Column) -> DataFrame:
-    return obs.join(lookback(obs, n, start), "site_id").filter("ts >= since").drop("since")
-
-
 # --- histories -------------------------------------------------------------
 
 

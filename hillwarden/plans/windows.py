@@ -30,10 +30,3 @@ def rain_grid(ends: DataFrame, cfg: Rainfall = RAINFALL, end: str = "end_ts") ->
         start.alias("start_ts"),
         (start - span(days=cfg.sum_days)).alias("offset_ts"),
     )
-
-
-def custom_grid(ends: DataFrame, days: float, cfg: Subsurface = SUBSURFACE, end: str = "end_ts") -> DataFrame:
-    """Window of another length, as asked for by a plot or an export."""
-    from dataclasses import replace
-
-    return evaluation_grid(ends, replace(cfg, window_days=days), end)

@@ -29,15 +29,6 @@ def write_family(df: DataFrame, path: str, key: str = "tsm_id") -> None:
     )
 
 
-def resolve_sensor(dim: DataFrame, name: str, at: Column) -> DataFrame:
-    """Id behind a name; of several versions the one still active at ``at``."""
-    live = F.col("date_deactivated").isNull() | (F.col("date_deactivated") >= at)
-    d = dim.filter(F.col("tsm_name") == name)
-    return d.withColumn("__live", live).agg(
-        F.max_by("tsm_id", F.struct(F.col("__live").cast("int"), -F.col("tsm_id"))).alias("tsm_id")
-    )
-
-
 def resolve_sensors(dim: DataFrame, at: Column) -> DataFrame:
     live = (F.col("date_deactivated").isNull() | (F.col("date_deactivated") >= at)).cast("int")
     return dim.groupBy("tsm_name").agg(F.max_by("tsm_id", F.struct(live, -F.col("tsm_id"))).alias("tsm_id"))
