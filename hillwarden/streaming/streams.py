@@ -215,7 +215,7 @@ def _stateful(df: DataFrame, key: str, fold, out: str, columns: list[str], value
                 values = b["value"] if "value" in b else pd.Series(0, index=b.index)
                 for m, at in t.groupby(t // minute).groups.items():
                     k = (int(m),)
-                    old = self.wait.getValue(k) if self.wait.exists() and self.wait.containsKey(k) else ([], [], [])
+                    old = self.wait.getValue(k) if self.wait.containsKey(k) else ([], [], [])
                     new = [[*o, *map(int, c.loc[at])] for o, c in zip(old, (t, ties, values))]
                     self.wait.updateValue(k, tuple(new))
                     self.handle.registerTimer((int(m) + 1) * minute // 1000)
@@ -224,7 +224,7 @@ def _stateful(df: DataFrame, key: str, fold, out: str, columns: list[str], value
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
             state = self.run.get() if self.run.exists() else None
             mine = expiredTimerInfo.getExpiryTimeInMs()
-            waiting = self.wait.exists() and self.wait.containsKey((mine * 1000 // minute - 1,))
+            waiting = self.wait.containsKey((mine * 1000 // minute - 1,))
             if not waiting and (state is None or state[3] != mine):
                 return iter([self._table(key, [])])  # brought up with an earlier timer
             now = timerValues.getCurrentWatermarkInMs()
@@ -233,7 +233,7 @@ def _stateful(df: DataFrame, key: str, fold, out: str, columns: list[str], value
             rows = []
             for t in due:
                 k = (t * 1000 // minute - 1,)
-                if self.wait.exists() and self.wait.containsKey(k):
+                if self.wait.containsKey(k):
                     rows += sorted(zip(*self.wait.getValue(k)))
                     self.wait.removeKey(k)
                 if t != mine:
