@@ -27,12 +27,16 @@ def routine_schedule(seasons: DataFrame, plan: DataFrame, start: str, end: str)
     """Routine releases at 11:30 of the sites whose season plans that weekday.
 
     ``seasons``: site_id, month, season_type; ``plan``: season_type, iso_week_day.
+    The calendar has a few rows a day of the range, however many sites there are,
+    and is broadcast: Spark's estimate leaves out the months a season row is
+    exploded from and would take the seasons for the smaller side.
     """
     spark = seasons.sparkSession
     days = spark.sql(
         f"SELECT d, month(d) AS month, weekday(d) + 1 AS iso_week_day FROM (SELECT explode(sequence(DATE'{start[:10]}', DATE'{end[:10]}')) AS d)"
     ).filter(F.col("iso_week_day").isin(*ROUTINE_DAYS))
-    return days.join(plan, "iso_week_day").join(seasons, ["month", "season_type"]).select(
+    calendar = days.join(plan, "iso_week_day").select("month", "season_type", "d")
+    return seasons.join(F.broadcast(calendar), ["month", "season_type"]).select(
         "site_id", (F.col("d").cast("timestamp_ntz") + span(mins=690)).alias("data_ts")
     )
 
