@@ -4,7 +4,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from hillwarden.plans import releases as RE
+from hillwarden.plans import earthquake as Q, releases as RE
 
 
 def _plan(df):
@@ -24,3 +24,16 @@ def test_routine_schedule_broadcasts_the_calendar_only(spark):
     # May wet and June dry, or the other way round; a plan row that comes twice counts twice
     days = lambda month, *week: sum(1 for k in range(1, 32) if (month, k) != (6, 31) and datetime.date(1997, month, k).isoweekday() in week)
     assert len(rows) == 40 and {r["count"] for r in rows} == {days(5, 2, 5) + 2 * days(6, 3), 2 * days(5, 3) + days(6, 2, 5)}
+
+
+def test_crowds_on_both_sides_of_a_cell_are_split(spark):
+    near = lambda n, name: spark.range(n).select(F.col("id").alias(name), (F.lit(12.0) + F.col("id") * 1e-5).alias("latitude"), F.lit(121.0).alias("longitude"))
+    quakes, sites = near(600, "eq_id"), near(400, "site_id").withColumn("__cell", F.lit(1))
+    p, r = Q._shared(quakes.withColumn("__cell", F.lit(1)), sites, 50)
+    on = ["__cell", "__share", "__lot"]
+    assert max(c["count"] for d in (p, r) for c in d.groupBy(*on).count().collect()) < 120  # hashed, so about 50
+    met = p.select("eq_id", *on).join(r.select("site_id", *on), on)
+    assert met.count() == met.select("eq_id", "site_id").distinct().count() == 600 * 400
+    assert p.rdd.getNumPartitions() >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = Q.within_radius(quakes, sites.drop("__cell"), F.lit(5.0), crowd=50)
+    assert got.count() == 600 * 400
