@@ -5,6 +5,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from hillwarden.plans import earthquake as Q, releases as RE
+from hillwarden.streaming import streams as ST
 
 
 def _plan(df):
@@ -37,3 +38,47 @@ def test_crowds_on_both_sides_of_a_cell_are_split(spark):
     assert p.rdd.getNumPartitions() >= int(spark.conf.get("spark.sql.shuffle.partitions"))
     got = Q.within_radius(quakes, sites.drop("__cell"), F.lit(5.0), crowd=50)
     assert got.count() == 600 * 400
+
+
+def test_waiting_rows_are_kept_by_segment(spark, tmp_path, monkeypatch):
+    start = F.lit(1_700_000_000)
+    d = spark.range(1200).select((F.col("id") % 2).cast("int").alias("id"), F.timestamp_seconds(start + F.pmod(F.col("id") * 611, F.lit(1200)) * 3600).alias("ts"))
+    d.write.parquet(f"{tmp_path}/in")  # a row an hour, out of order, each in a minute of its own
+
+    def run(name, held, segment, batches):
+        monkeypatch.setattr(ST, "HELD", held, raising=False)
+        monkeypatch.setattr(ST, "SEGMENT", segment, raising=False)
+        q = ST.cooldown_stream(ST.file_stream(spark, f"{tmp_path}/in", "id int, ts timestamp", batches), "id", 24, "60 days")
+        q.writeStream.format("parquet").option("path", f"{tmp_path}/{name}/out").option("checkpointLocation", f"{tmp_path}/{name}/ck").trigger(availableNow=True).start().awaitTermination()
+        return spark.read.format("statestore").option("stateVarName", "wait").load(f"{tmp_path}/{name}/ck").count()
+
+    assert run("whole", 200_000, 2_000, 100) == 2  # a segment a key, not a state entry a minute
+    many = run("cut", 50, 7, 1)
+    assert many > 100
+    end = spark.range(1).select(F.lit(-1).alias("id"), F.timestamp_seconds(start + 400 * 86_400).alias("ts"))
+    end.write.mode("append").parquet(f"{tmp_path}/in")
+    assert run("whole", 200_000, 2_000, 100) == run("cut", 50, 7, 1) == 1  # the last row waits
+    got = [sorted(spark.read.parquet(f"{tmp_path}/{n}/out").selectExpr("id", "CAST(unix_seconds(ts) - 1700000000 AS INT) / 3600 AS h").collect()) for n in ("whole", "cut")]
+    assert got[0] == got[1]
+    hours = {k: sorted((i * 611) % 1200 for i in range(1200) if i % 2 == k) for k in (0, 1)}
+    want = []
+    for k, all_hours in hours.items():
+        last = None
+        for h in all_hours:
+            if last is None or h > last + 24:
+                want.append((k, float(h)))
+                last = h
+    assert [tuple(r) for r in got[0]] == want
+
+
+def test_replayed_rows_land_in_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    from hillwarden.catalog import stream_queries as SQ
+    from hillwarden.catalog.registry import Inputs
+
+    monkeypatch.setattr(SQ, "FILE_ROWS", 100, raising=False)
+    monkeypatch.setattr(SQ, "_scratch", lambda spark: f"{tmp_path}/replay")
+    spark.range(1000).select(F.col("id").alias("event_id"), (F.col("id") % 3).alias("user_id"), (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("ts")).write.parquet(f"{tmp_path}/events.parquet")
+    got = SQ.replay_all(Inputs(spark, str(tmp_path)), lambda s: s.select("user_id", "ts"), lambda s: ST.event_session_stream(s, ["user_id"]))
+    assert sorted((r.user_id, r.n) for r in got.collect()) == [(0, 334), (1, 333), (2, 333)]
+    sizes = [r["count"] for r in spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/replay/in").groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) >= 11 and max(sizes) <= 100
