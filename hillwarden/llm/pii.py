@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -134,14 +136,14 @@ def features(candidates: DataFrame) -> DataFrame:
     )
 
 
-def detect(docs: DataFrame, *, fit_rows: int = 20_000, trees: int = 8, depth: int = 3, precision: float = 0.98) -> DataFrame:
+def detect(docs: DataFrame, *, trees: int = 8, depth: int = 3, precision: float = 0.98) -> DataFrame:
     """One row per row of docs: doc_id, rk, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added.
 
     Spans of the stated forms always stay; n_* and base_sha256 are of those.
-    Wider generators propose overlapping candidates. Boosted trees learn, from
-    a bounded sample of candidates (`fit_rows` in expectation, by hash), which
-    look and stand like spans of the stated forms; a kind's threshold is the
-    lowest at which candidates held out of the fit reach `precision`. Accepted
+    Wider generators propose overlapping candidates. Boosted trees learn from
+    seven tenths of all candidates, by hash, which look and stand like spans
+    of the stated forms; a kind's threshold is the lowest at which the other
+    three tenths, held out of the fit, reach `precision`. Accepted
     candidates that overlap no stated span, nor a better one, are added.
     Where candidates are all alike, nothing is learned or added.
 
@@ -158,7 +160,7 @@ def detect(docs: DataFrame, *, fit_rows: int = 20_000, trees: int = 8, depth: in
     sizes = {r["label"]: r["n"] for r in flat.groupBy("label").agg(F.count("*").alias("n")).collect()}
     added = F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")
     if sizes.get(0.0, 0) >= 10 and sizes.get(1.0, 0) >= 10:
-        chosen = _accept(flat, sum(sizes.values()), fit_rows, trees, depth, precision)
+        chosen = _accept(flat, sum(sizes.values()), trees, depth, precision)
         rows = rows.join(chosen, "rk", "left")
         added = F.coalesce(F.col("added"), added)
     order = lambda s: F.array_sort(s.cast("array<struct<kind:int,start:bigint,end:bigint>>"))
@@ -172,26 +174,27 @@ def detect(docs: DataFrame, *, fit_rows: int = 20_000, trees: int = 8, depth: in
     )
 
 
-def _accept(flat: DataFrame, total: int, fit_rows: int, trees: int, depth: int, precision: float) -> DataFrame:
+def _accept(flat: DataFrame, total: int, trees: int, depth: int, precision: float) -> DataFrame:
     """rk and `added` spans: candidates over their kind's threshold that touch no stated span and no better candidate."""
     lot = F.pmod(F.xxhash64("rk", "kind", "start", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
-    share = min(1.0, fit_rows / total)
-    part = F.when(lot < 0.7 * share, 0).when(lot < share, 1).otherwise(2)
+    part = F.when(lot < 0.7, 0).otherwise(1)
+    # MLlib looks for splits in a sample of the square of maxBins, 10,000 rows at least; so wide it takes every row
+    bins = max(32, math.isqrt(total) + 1)
     columns = [f"f_{x}" for x in FEATURES]
     flat = flat.withColumn("part", part)
     model = Pipeline(
         stages=[
             VectorAssembler(inputCols=columns, outputCol="features"),
-            GBTClassifier(labelCol="label", featuresCol="features", maxIter=trees, maxDepth=depth, seed=3, stepSize=0.3),
+            GBTClassifier(labelCol="label", featuresCol="features", maxIter=trees, maxDepth=depth, maxBins=bins, seed=3, stepSize=0.3),
         ]
     ).fit(flat.where("part = 0").select("label", *columns))
     scored = keep(model.transform(flat).withColumn("p", vector_to_array("probability")[1]).select("rk", "kind", "start", "end", "touch", "label", "part", "p"))
-    # candidates that stood in the sample but not in the fit set the thresholds
-    bins = scored.where("part = 1").groupBy("kind", F.floor(F.col("p") * 100).cast("int").alias("bin")).agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect()
+    # candidates held out of the fit set the thresholds
+    heights = scored.where("part = 1").groupBy("kind", F.floor(F.col("p") * 100).cast("int").alias("bin")).agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect()
     limit = {}
     for kind in range(len(KINDS)):
         good = n = 0.0
-        for r in sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["bin"]):
+        for r in sorted((r for r in heights if r["kind"] == kind), key=lambda r: -r["bin"]):
             good, n = good + r["good"], n + r["n"]
             if n >= 20 and good / n >= precision:
                 limit[kind] = max(0.5, r["bin"] / 100)

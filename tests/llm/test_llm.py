@@ -280,6 +280,22 @@ def test_pii_of_very_long_runs(spark):
     assert got[6].spans == f"email:0:{len(rows[5][1])}" and got[8].spans == "email:100000:100005"
 
 
+def test_pii_learns_from_all_candidates(spark, monkeypatch):
+    fitted = []
+
+    class Watched(pii.Pipeline):
+        def fit(self, rows):
+            fitted.append((rows.count(), self.getStages()[-1].getMaxBins()))
+            return super().fit(rows)
+
+    monkeypatch.setattr(pii, "Pipeline", Watched)
+    text = " and ".join([f"call 555-123-{k:04d} or +1 555 123 {k:04d} or write bob{k}@example.com" for k in range(30)])
+    docs = spark.range(300).selectExpr("id AS doc_id", f"concat('{text} ', id) AS text")
+    assert pii.detect(docs).count() == 300
+    (n, bins), all_ = fitted[0], 300 * 90
+    assert 0.68 * all_ < n < 0.72 * all_ and bins**2 >= n  # so many bins that no row is left out of the search for splits
+
+
 def test_filters_keep_the_callers_columns(spark):
     rows = [(1, "a b", 7, "x", 8, 9), (2, "a b", 7, "x", 8, 9), (3, "c", 7, "x", 8, 9)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, rk int, bm_hit string, bm_slot int, bm_word int")
