@@ -202,5 +202,16 @@ def with_halo(
     ).drop("__home")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows by ``keys`` over tasks, before a step in which a few rows make many.
+
+    Neither the files' sizes nor those of a shuffle may then say how many tasks
+    there are, so their number is fixed.
+    """
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return df.repartition(tasks, *keys)
+
+
 def own_rows(df: DataFrame) -> DataFrame:
     return df.filter("__own").drop("__own", CHUNK)

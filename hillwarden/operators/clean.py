@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.clock import floor_to, span
+from ..functions.scan import spread
 
 NODE = ("tsm_id", "node_id")
 AXES = ("x", "y", "z")
@@ -68,7 +69,7 @@ def outlier_filter(
     differences of running sums, so a frame is looked up once and not summed
     for each axis; the sums of whole numbers are exact.
     """
-    d = slot_first(df, keys, AXES, tie, minutes)
+    d = spread(slot_first(df, keys, AXES, tie, minutes), *keys)
     whole = all(t in ("tinyint", "smallint", "int") for c, t in d.dtypes if c in AXES)
     number = lambda a: F.col(a).cast("bigint" if whole else "double")  # sums of whole numbers are exact
     running = W.partitionBy(*keys).orderBy("ts").rowsBetween(W.unboundedPreceding, 0)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.clock import clean_round, floor_to, right_closed_slot, span
-from ..functions.scan import CHUNK, own_rows, with_halo
+from ..functions.scan import CHUNK, own_rows, spread, with_halo
 
 
 def _series(keys: Sequence[str], ts: str = "ts"):
@@ -36,7 +36,7 @@ def resample_ffill(
     """
     w = _series(keys)
     step = span(mins=minutes)
-    d = df.select(
+    d = spread(df, *keys).select(
         *keys, "ts", *cols, F.lead("ts").over(w).alias("__next"), F.lag("ts").over(w).alias("__prev")
     )
     stop = F.coalesce(F.col("__next") - step, F.greatest(end, F.col("ts")) if end is not None else F.col("ts"))
@@ -116,7 +116,7 @@ def grid(df: DataFrame, keys: Sequence[str], cols: Sequence[str], minutes: int =
     """Every slot between a series' first and last one; missing slots NULL."""
     w = _series(keys)
     step = span(mins=minutes)
-    d = df.select(*keys, "ts", *cols, F.lead("ts").over(w).alias("__next"))
+    d = spread(df, *keys).select(*keys, "ts", *cols, F.lead("ts").over(w).alias("__next"))
     slots = F.sequence(F.col("ts"), F.coalesce(F.col("__next") - step, F.col("ts")), step)
     return d.select(*keys, *cols, F.posexplode(slots).alias("__p", "__t")).select(
         *keys,

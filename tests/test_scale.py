@@ -82,3 +82,10 @@ def test_replayed_rows_land_in_files_of_bounded_size(spark, tmp_path, monkeypatc
     assert sorted((r.user_id, r.n) for r in got.collect()) == [(0, 334), (1, 333), (2, 333)]
     sizes = [r["count"] for r in spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/replay/in").groupBy(F.input_file_name()).count().collect()]
     assert len(sizes) >= 11 and max(sizes) <= 100
+
+
+def test_expanding_steps_keep_their_tasks(spark):
+    from hillwarden.functions.scan import spread
+
+    d = spread(spark.range(1000).withColumn("k", F.col("id") % 100), "k")
+    assert d.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
