@@ -79,18 +79,26 @@ def velocity(df: DataFrame, keys: Sequence[str] = NODE, n: int = 7, start: Colum
 
 
 def linreg_displacement(df: DataFrame, keys: Sequence[str], value: str, n: int = 7, lag: int = 144, digits: int = 4) -> DataFrame:
-    """Rolling line fit evaluated at the row, and its change over ``lag`` rows."""
+    """Rolling line fit evaluated at the row, and its change over ``lag`` rows.
+
+    Row numbers lie one apart, so only the values' mean and their covariance
+    with the row number are updated over the frame, in the order and with the
+    roundings of ``regr_slope`` and ``regr_intercept``, as columns: no
+    aggregate runs per row. NULL where one of the values is, or where there
+    are fewer.
+    """
     w = _series(keys)
-    frame = w.rowsBetween(1 - n, 0)
-    pos = F.row_number().over(w).cast("double")
-    d = df.withColumn("__x", pos)
-    full = F.count(value).over(frame) == n
-    pred = F.when(
-        full,
-        F.regr_slope(F.col(value), F.col("__x")).over(frame) * F.col("__x")
-        + F.regr_intercept(F.col(value), F.col("__x")).over(frame),
-    )
-    d = d.withColumn("predicted", clean_round(pred, digits)).drop("__x")
+    own = list(df.columns)
+    d = df.withColumns({"__x": F.row_number().over(w).cast("double"), **{f"__v{k}": F.lag(value, n - 1 - k).over(w).cast("double") for k in range(n - 1)}, f"__v{n - 1}": F.col(value).cast("double")})
+    d = d.withColumns({"__mean": F.col("__v0"), "__cov": F.lit(0.0)})
+    for k in range(1, n):
+        v, mean = F.col(f"__v{k}"), F.col("__mean")
+        d = d.withColumn("__mean", mean + (v - mean) / F.lit(k + 1.0))
+        d = d.withColumn("__cov", F.col("__cov") + F.lit((k + 1) / 2) * (v - F.col("__mean")))
+    slope = F.col("__cov") / F.lit(sum((k - (n - 1) / 2) ** 2 for k in range(n)))
+    d = d.withColumn("__slope", slope)
+    pred = F.col("__slope") * F.col("__x") + (F.col("__mean") - F.col("__slope") * (F.col("__x") - F.lit((n - 1) / 2)))
+    d = d.select(*own, clean_round(pred, digits).alias("predicted"))
     return d.withColumn(
         "displacement", clean_round(F.col("predicted") - F.lag("predicted", lag).over(w), digits)
     )

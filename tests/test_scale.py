@@ -89,3 +89,25 @@ def test_expanding_steps_keep_their_tasks(spark):
 
     d = spread(spark.range(1000).withColumn("k", F.col("id") % 100), "k")
     assert d.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+
+
+def _grid(spark, rows):
+    d = spark.createDataFrame(rows, "tsm_id int, node_id int, slot int, xz double")
+    return d.select("tsm_id", "node_id", (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("slot") * 30)).alias("ts"), "xz", F.col("xz").alias("xy"))
+
+
+def test_line_fit_updates_columns_and_rounds_as_regressions_do(spark):
+    from pyspark.sql import Window as W
+
+    from hillwarden.operators import kinematics as K
+
+    d = _grid(spark, [(1, n, k, None if n == 2 and k % 11 == 0 else round((k * 7919 * (n + 1) % 401 - 200) / 1e4, 4)) for n in range(3) for k in range(400)])
+    w = W.partitionBy("tsm_id", "node_id").orderBy("ts")
+    frame = w.rowsBetween(-6, 0)
+    want = d.withColumn("x", F.row_number().over(w).cast("double"))
+    line = F.regr_slope("xz", "x").over(frame) * F.col("x") + F.regr_intercept("xz", "x").over(frame)
+    want = want.withColumn("want", F.when(F.count("xz").over(frame) == 7, F.round(line, 4) + F.lit(0.0))).select("tsm_id", "node_id", "ts", "want")
+    got = K.linreg_displacement(d, ["tsm_id", "node_id"], "xz")
+    assert got.columns == [*d.columns, "predicted", "displacement"] and "regr" not in _plan(got)
+    both = got.join(want, ["tsm_id", "node_id", "ts"])
+    assert both.count() == 1200 and both.filter("NOT predicted <=> want").count() == 0
