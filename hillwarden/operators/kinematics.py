@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.clock import clean_round, micros
+from ..functions.clock import clean_round
 from .clean import NODE, apply_filters
 from .series import _series, fill, resample_ffill, smooth
 
@@ -139,72 +139,63 @@ def adjacent_ratio(df: DataFrame, cols: Sequence[str], sensor: str = "tsm_id") -
     return d.withColumns(out)
 
 
-def rolling_spearman(df: DataFrame, value: str, n: int = 144, keys: Sequence[str] = NODE, chunk_days: int = 7) -> DataFrame:
-    """Rank correlation of the last ``n`` grid rows with time.
+def rolling_spearman(df: DataFrame, value: str, n: int = 144, keys: Sequence[str] = NODE, keep: Sequence[str] = ()) -> DataFrame:
+    """Rank correlation of the last ``n`` grid rows with time, beside the columns ``keep``.
 
-    Grouped-map over (series, week) with the rows before the week copied in,
-    so a group is bounded by the slot grid and not by the series. Inside, ranks
-    follow the window from row to row instead of being sorted anew. Equal values
-    share their mean rank; a window of one value has none. NaN counts as above
-    all numbers, each apart.
+    Grouped-map over the series; one is bounded by the slot grid, and lies
+    together already where it was windowed before. Inside, the rank sums follow
+    from comparing each value with the n - 1 before it, one distance at a time
+    for all rows, and nothing is sorted per row. Equal values share their mean
+    rank; a window of one value has none. NaN counts as above all numbers, each
+    apart.
     """
-    from ..functions.scan import CHUNK, with_halo
-
-    slot_us = 30 * 60 * 1_000_000
-    d = with_halo(df.select(*keys, "ts", value), micros("ts"), chunk_days * 86_400_000_000, (n - 1) * slot_us)
-    fields = {f.name: f.dataType.simpleString() for f in df.select(*keys, "ts").schema.fields}
-    schema = ", ".join(f"{k} {t}" for k, t in fields.items()) + ", rho double"
-    key_list = list(keys)
+    d = df.select(*keys, "ts", *keep, value) if value not in keep else df.select(*keys, "ts", *keep)
+    types = {f.name: f.dataType.simpleString() for f in d.schema.fields}
+    given = [*keys, "ts", *keep]
+    schema = ", ".join(f"`{c}` {types[c]}" for c in given) + ", rho double"
 
     def moving_rho(values: np.ndarray) -> np.ndarray:
         """Rank correlation of each run of n values with their order.
 
-        Only the first run is ranked. From one run to the next a value leaves
-        and one enters: values above either move by one rank, equals by half a
-        rank. These changes to the sum of rank times position, and to the tie
-        correction, come from comparisons alone and are then added up.
+        The covariance of rank and position is half the sum, over the pairs of
+        a run, of their distance, signed by which value is greater. A pair
+        enters with its later value and leaves with its earlier one, so the
+        sums of runs are differences of running totals; so is the tie
+        correction, from the number of equals a value meets.
         """
         rho = np.full(len(values), np.nan)
-        m = len(values) - n + 1
-        if m < 1:
+        if len(values) < n:
             return rho
-        code = np.unique(values, return_inverse=True, equal_nan=False)[1]
-        first = pd.Series(code[:n]).rank().to_numpy()
-        sizes = np.unique(code[:n], return_counts=True)[1]
-        product = np.full(m, float(np.dot(first, np.arange(n))))
-        ties = np.full(m, float((sizes**3 - sizes).sum()))
-        if m > 1:
-            stay = np.lib.stride_tricks.sliding_window_view(code[1:-1], n - 1)  # what two runs have in common
-            begin = np.arange(1, m)  # position of its first value
-            place = np.arange(n - 1)
-
-            def change(x, position):
-                equal = stay == x[:, None]
-                up = (stay > x[:, None]) + 0.5 * equal
-                same = equal.sum(axis=1)
-                rank = n - up.sum(axis=1)  # one more than those below, and half of the equals
-                return up @ place + up.sum(axis=1) * begin + rank * position, 3 * same * (same + 1)
-
-            gone, gone_ties = change(code[: m - 1], begin - 1)
-            new, new_ties = change(code[n:], begin + n - 1)
-            product[1:] += np.cumsum(new - gone)
-            ties[1:] += np.cumsum(new_ties - gone_ties)
+        code = np.unique(values, return_inverse=True, equal_nan=False)[1].astype(np.int32)
+        new, gone, same_new, same_gone = np.zeros((4, len(code)), np.int32)
+        tied = code.max() + 1 < len(code)
+        for k in range(1, n):
+            sign = np.sign(code[k:] - code[:-k])
+            if tied:
+                equal = sign == 0
+                same_new[k:] += equal
+                same_gone[:-k] += equal
+            sign *= k
+            new[k:] += sign
+            gone[:-k] += sign
+
+        def total(enter, leave):
+            out = np.cumsum(enter, dtype=np.int64)[n - 1 :]
+            out[1:] -= np.cumsum(leave, dtype=np.int64)[: len(out) - 1]
+            return out
+
+        met = lambda same: 3 * same.astype(np.int64) * (same + 1)
+        ties = total(met(same_new), met(same_gone)).astype(float)
         spread = n * (n * n - 1) / 12
-        covariance = product - (np.arange(m) + (n - 1) / 2) * (n * (n + 1) / 2)
+        covariance = total(new, gone) / 2
         den = np.sqrt(np.maximum(spread - ties / 12, 0) * spread)
         with np.errstate(invalid="ignore", divide="ignore"):
             rho[n - 1 :] = np.where(den > 0, covariance / den, np.nan)
         return rho
 
-    def per_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ts")
-        rho = moving_rho(pdf[value].to_numpy(float))
-        out = pdf[key_list + ["ts"]].copy()
-        out["rho"] = rho
-        return out[pdf["__own"].to_numpy(bool)]
-
-    return (
-        d.groupBy(*keys, CHUNK)
-        .applyInPandas(per_group, schema)
-        .withColumn("rho", clean_round(F.nanvl("rho", F.lit(None).cast("double")), 6))
-    )
+    def per_group(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("ts")
+        rho = moving_rho(rows.column(value).to_numpy().astype(float))
+        return rows.select(given).append_column("rho", pa.array(rho))
+
+    return d.groupBy(*keys).applyInArrow(per_group, schema).withColumn("rho", clean_round(F.nanvl("rho", F.lit(None).cast("double")), 6))

@@ -491,8 +491,7 @@ def resultant_alerts(series: DataFrame, disp: float = 0.05, vel: float = 0.032,
 
     key = ["tsm_id", "node_id"]
     d = velocity(linreg_displacement(series, key, "xz"), key)
-    rho = rolling_spearman(series, "xz", keys=key)
-    d = d.join(rho, [*key, "ts"], "left")
+    d = rolling_spearman(d, "xz", keys=key, keep=("displacement", "vel_xz"))
     steady = F.coalesce(F.abs("rho") > trend, F.lit(False))
     level = lambda c, lim: F.when(F.coalesce(F.abs(c) > lim, F.lit(False)) & steady, 2).otherwise(0)
     return d.select(*key, "ts", "displacement", "vel_xz", "rho", level("displacement", disp).alias("disp_alert"), level("vel_xz", vel).alias("vel_alert"))

@@ -111,3 +111,14 @@ def test_line_fit_updates_columns_and_rounds_as_regressions_do(spark):
     assert got.columns == [*d.columns, "predicted", "displacement"] and "regr" not in _plan(got)
     both = got.join(want, ["tsm_id", "node_id", "ts"])
     assert both.count() == 1200 and both.filter("NOT predicted <=> want").count() == 0
+
+
+def test_rank_correlation_rides_along_without_copies_or_joins(spark):
+    from hillwarden.operators import kinematics as K
+    from hillwarden.plans import subsurface as P
+
+    d = _grid(spark, [(1, n, k, (k * 37 % 101) / 100) for n in range(3) for k in range(200)])
+    plan = _plan(K.rolling_spearman(d, "xz", 20))
+    assert "Generate" not in plan and plan.count("Exchange") == 1
+    plan = _plan(P.resultant_alerts(d))
+    assert "Join" not in plan and plan.count("Exchange") == 1
