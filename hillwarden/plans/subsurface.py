@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.clock import clean_round, micros, span
-from ..functions.scan import CHUNK, with_halo
+from ..functions.scan import CHUNK, spread, with_halo
 from ..operators.clean import orthogonal_filter, outlier_filter, range_filter
 from ..operators.kinematics import linear_component, velocity
 from ..operators.series import fill, resample_ffill, smooth
@@ -503,7 +503,8 @@ def drift_weeks(
     """Weeks in which a sensor's gravity magnitude drifts steadily.
 
     Slots hold the first reading of each axis, so a series is bounded by its
-    time span. Steps: unwrap below -2048, magnitude on the 30-minute grid, whose
+    time span. Only slots with readings are sorted; the empty ones between them
+    come up where they are summed. Steps: unwrap below -2048, magnitude on the 30-minute grid, whose
     weekly count is ``n``, then (0.5, 3.0), the centred 12-row three-sigma cut
     and linear interpolation, where cut slots stay as empty rows and the last
     value holds to the end; then six-hour means, empty where the mean deviation
@@ -513,32 +514,42 @@ def drift_weeks(
     """
     from ..functions.clock import floor_to
     from ..operators.clean import slot_first
-    from ..operators.series import grid, week_ending_sunday
+    from ..operators.series import week_ending_sunday
 
-    f = grid(slot_first(readings, keys, ["x", "y", "z"], tie), keys, ["x", "y", "z"])
+    f = spread(slot_first(readings, keys, ["x", "y", "z"], tie), *keys)
     f = f.withColumns({a: F.when(F.col(a) < -2048, F.col(a) + 4096).otherwise(F.col(a)).cast("double") / 1024.0 for a in ("x", "y", "z")})
-    w = W.partitionBy(*keys).orderBy("ts")
-    f = f.select(*keys, "ts", F.sqrt(F.col("x") * F.col("x") + F.col("y") * F.col("y") + F.col("z") * F.col("z")).alias("raw"), F.row_number().over(w).cast("double").alias("__k"))
+    whole = W.partitionBy(*keys)
+    row = (micros("ts") - micros(F.min("ts").over(whole))) / F.lit(30 * 60_000_000) + 1
+    f = f.select(*keys, "ts", F.sqrt(F.col("x") * F.col("x") + F.col("y") * F.col("y") + F.col("z") * F.col("z")).alias("raw"), row.alias("__k"))
     f = f.withColumn("mag", F.when((F.col("raw") <= 3.0) & (F.col("raw") >= 0.5), F.col("raw")))
-    near = w.rowsBetween(-6, 5)
+    # frames of grid rows, found by their numbers
+    near = whole.orderBy("__k").rangeBetween(-6, 5)
     full = F.count("mag").over(near) == 12
     f = f.withColumns({"__m": F.when(full, F.avg("mag").over(near)), "__s": F.when(full, F.stddev_samp("mag").over(near))})
     far = (F.abs(F.col("mag") - F.col("__m")) > 3 * F.col("__s")) & (F.col("__s") != 0)
     f = f.withColumn("mag", F.when(F.coalesce(far, F.lit(False)), None).otherwise(F.col("mag")))
     # a cut slot loses its row number too, an unread one keeps it
     f = f.withColumn("__i", F.when(F.col("mag").isNotNull() | F.col("raw").isNull(), F.col("__k")))
-    back = w.rowsBetween(W.unboundedPreceding, 0)
-    ahead = W.partitionBy(*keys).orderBy(F.desc("ts")).rowsBetween(W.unboundedPreceding, 0)
     item = F.when(F.col("mag").isNotNull(), F.struct("__k", "mag"))
+    f = f.select(*keys, "ts", "raw", "mag", "__k", "__i", F.last(item, ignorenulls=True).over(whole.orderBy("__k").rowsBetween(W.unboundedPreceding, 0)).alias("__p"))
+    back = whole.orderBy(F.desc("__k"))
+    f = f.withColumns({"__n": F.last(item, ignorenulls=True).over(back.rowsBetween(W.unboundedPreceding, -1)), "__end": F.coalesce(F.lag("__k").over(back) - 1, F.col("__k"))})
+    # first and last row number that is kept, unread slots included
+    unread = F.col("__end") > F.col("__k")
     f = f.withColumns({
-        "__p": F.last(item, ignorenulls=True).over(back), "__n": F.last(item, ignorenulls=True).over(ahead),
-        "__pi": F.last("__i", ignorenulls=True).over(back), "__ni": F.last("__i", ignorenulls=True).over(ahead),
-    })
-    share = F.try_divide(F.col("__k") - F.col("__p.__k"), F.col("__n.__k") - F.col("__p.__k"))
-    f = f.withColumns({
-        "mag": F.coalesce("mag", F.col("__p.mag") + (F.col("__n.mag") - F.col("__p.mag")) * share, F.col("__p.mag")),
-        "__i": F.when(F.col("__pi").isNotNull() & F.col("__ni").isNotNull(), F.col("__k")).otherwise(F.col("__pi")),
+        "__i0": F.min(F.coalesce("__i", F.when(unread, F.col("__k") + 1))).over(whole),
+        "__i1": F.max(F.when(unread, F.col("__end")).otherwise(F.col("__i"))).over(whole),
     })
+    # only now a row spreads itself over the unread slots behind it, on its way into an aggregate
+    f = f.withColumn("__slot", F.explode(F.sequence(F.col("__end").cast("long"), F.col("__k").cast("long"))))
+    f = f.withColumns({"__at": F.col("__slot").cast("double"), "__own": F.col("__slot") == F.col("__k")})
+    share = F.try_divide(F.col("__at") - F.col("__p.__k"), F.col("__n.__k") - F.col("__p.__k"))
+    kept = (F.col("__at") >= F.col("__i0")) & (F.col("__at") <= F.col("__i1"))
+    f = f.select(
+        *keys, (F.col("ts") + span(mins=30 * (F.col("__slot") - F.col("__k").cast("long")).cast("int"))).alias("ts"), F.when(F.col("__own"), F.col("raw")).alias("raw"),
+        F.coalesce(F.when(F.col("__own"), F.col("mag")), F.col("__p.mag") + (F.col("__n.mag") - F.col("__p.mag")) * share, F.col("__p.mag")).alias("mag"),
+        F.when(kept, F.col("__at")).otherwise(F.when(F.col("__at") > F.col("__i1"), F.col("__i1"))).alias("__i"),
+    )
     h = f.groupBy(*keys, floor_to("ts", 360).alias("slot")).agg(F.avg("mag").alias("mag"), F.avg("__i").alias("__i"), F.count("raw").alias("n"))
     hw = W.partitionBy(*keys).orderBy("slot")
     # deviation of two values: their distance over the square root of 2

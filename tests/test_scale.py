@@ -122,3 +122,14 @@ def test_rank_correlation_rides_along_without_copies_or_joins(spark):
     assert "Generate" not in plan and plan.count("Exchange") == 1
     plan = _plan(P.resultant_alerts(d))
     assert "Join" not in plan and plan.count("Exchange") == 1
+
+
+def test_drift_weeks_sorts_readings_and_not_empty_slots(spark):
+    from hillwarden.plans import subsurface as P
+
+    d = _grid(spark, [(1, 1, k * 50, 1000.0) for k in range(200)]).select("tsm_id", "node_id", "ts", F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), F.col("xz").alias("z"))
+    lines = _plan(P.drift_weeks(d, ["tsm_id", "node_id"])).splitlines()
+    at = next(i for i, x in enumerate(lines) if "Generate" in x)
+    above = [x for x in lines[:at] if "Window " in x]
+    assert above and all("slot" in x for x in above)  # six-hour rows only
+    assert any("Window " in x for x in lines[at:])
