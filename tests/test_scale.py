@@ -84,13 +84,6 @@ def test_replayed_rows_land_in_files_of_bounded_size(spark, tmp_path, monkeypatc
     assert len(sizes) >= 11 and max(sizes) <= 100
 
 
-def test_expanding_steps_keep_their_tasks(spark):
-    from hillwarden.functions.scan import spread
-
-    d = spread(spark.range(1000).withColumn("k", F.col("id") % 100), "k")
-    assert d.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
-
-
 def _grid(spark, rows):
     d = spark.createDataFrame(rows, "tsm_id int, node_id int, slot int, xz double")
     return d.select("tsm_id", "node_id", (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("slot") * 30)).alias("ts"), "xz", F.col("xz").alias("xy"))
@@ -133,3 +126,24 @@ def test_drift_weeks_sorts_readings_and_not_empty_slots(spark):
     above = [x for x in lines[:at] if "Window " in x]
     assert above and all("slot" in x for x in above)  # six-hour rows only
     assert any("Window " in x for x in lines[at:])
+
+
+def test_pairs_of_sites_and_gauges_are_not_sorted(spark):
+    points = lambda n, name, a, b: spark.range(n).select(F.col("id").alias(name), (10 + F.col("id") * a % 997 / 997).alias("latitude"), (120 + F.col("id") * b % 991 / 991).alias("longitude"))
+    sites = points(300, "site_id", 379, 613).unionByName(points(40, "site_id", 0, 0).withColumn("site_id", F.col("site_id") + 1000))
+    gauges = points(500, "rain_id", 211, 757).unionByName(points(60, "rain_id", 0, 0).withColumn("rain_id", F.col("rain_id") + 1000)).withColumn("active", F.col("rain_id") % 5 != 0)
+    far = spark.createDataFrame([(5000, -45.0, -60.0), (5001, None, 1.0)], "site_id long, latitude double, longitude double")
+    sites = sites.unionByName(far)
+    got = Q.nearest_gauges(sites, gauges, crowd=16)
+    assert "slice(" in _plan(got)  # each site keeps its few before rows are ranked
+    pairs = sites.filter("latitude IS NOT NULL").crossJoin(gauges.filter("active").select("rain_id", F.col("latitude").alias("a"), F.col("longitude").alias("b")))
+    best = pairs.withColumn("d", Q.haversine("latitude", "longitude", "a", "b")).groupBy("site_id").agg(F.slice(F.sort_array(F.collect_list(F.struct("d", "rain_id"))), 1, 4).alias("l"))
+    want = {(r.site_id, k + 1): x.rain_id for r in best.collect() for k, x in enumerate(r.l)}
+    assert {(r.site_id, r["rank"]): r.rain_id for r in got.collect()} == want and len(want) == 341 * 4
+
+
+def test_expanding_steps_keep_their_tasks(spark):
+    from hillwarden.functions.scan import spread
+
+    d = spread(spark.range(1000).withColumn("k", F.col("id") % 100), "k")
+    assert d.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
