@@ -145,8 +145,8 @@ def _jaccard(pairs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             value = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                p, q = np.unique(np.frombuffer(x, np.uint32)), np.unique(np.frombuffer(y, np.uint32))
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                p, q = np.unique(np.frombuffer(x.as_py(), np.uint32)), np.unique(np.frombuffer(y.as_py(), np.uint32))
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 value.append(both / max(1, len(p) + len(q) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(np.array(value, np.float64))], names=["a", "b", "similarity"])

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,27 +16,30 @@ from hillwarden.llm.token_files import text_groups
 from hillwarden.llm.tokens import encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
 
 def pieces(docs: DataFrame, path: str, *, size: int = 2048, end_id: int = 0) -> DataFrame:
-    """Every text's ids with end_id after them, cut into pieces of `size`; a first piece holds what is left over."""
+    """Every text's ids with end_id after them, cut into pieces of `size`; a first piece holds what is left over.
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    A worker holds the strings and ids of one stretch of half a million characters (or one longer text), not of a batch.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(path)
         for batch in batches:
-            texts, doc_ids = batch["text"].tolist(), batch["doc_id"].tolist()
-            for i, j in text_groups(texts):
-                ids, begin = tool.batch(texts[i:j])
-                ids, begin = np.insert(ids, begin[1:], end_id).astype("<u4"), begin + np.arange(j - i + 1)
+            for doc_ids, texts in text_groups(batch, 1 << 19):
+                ids, begin = tool.batch(texts)
+                ids, begin = np.insert(ids, begin[1:], end_id).astype("<u4"), (begin + np.arange(len(texts) + 1)).tolist()
                 out = []
-                for d, a, b in zip(doc_ids[i:j], begin[:-1], begin[1:], strict=True):
+                for d, a, b in zip(doc_ids, begin[:-1], begin[1:], strict=True):
                     marks = [a, *range(a + ((b - a) % size or size), b + 1, size)]
                     for n, (x, y) in enumerate(zip(marks, marks[1:], strict=False)):
-                        out.append((None if pd.isna(d) else int(d), n, x - a, y - x, zlib.crc32(ids[x:y].tobytes())))
-                yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
+                        out.append((d, n, x - a, y - x, zlib.crc32(ids[x:y].tobytes())))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), PIECE.types, strict=True)], schema=PIECE)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInPandas(cut, PIECES)
+    return rows.mapInArrow(cut, PIECES)
 
 
 def knapsack(value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

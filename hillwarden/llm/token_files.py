@@ -8,11 +8,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hillwarden.llm.tables import keep
 from hillwarden.llm.tokens import encoder
+from hillwarden.llm.words import groups_of
 
 MAGIC = b"HWB1"
 HEAD = struct.Struct("<4sBxxxQQ")  # magic, bits per id, number of texts, number of ids
@@ -20,6 +23,7 @@ HEAD = struct.Struct("<4sBxxxQQ")  # magic, bits per id, number of texts, number
 WHOLE = {8: "<u1", 16: "<u2", 32: "<u4"}
 
 STORED = "shard int, block int, n_docs long, n_tokens long, doc_ids array<bigint>, payload binary"
+BLOCK = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("payload", pa.binary())])
 
 
 def width_of(vocab: int) -> int:
@@ -67,15 +71,12 @@ def text_ids(block: bytes, number: int) -> np.ndarray:
     return unpack(data, bits, int(begin[number]), int(begin[number + 1] - begin[number])).astype(np.uint32)
 
 
-def text_groups(texts: list[str], limit: int = 1 << 21) -> Iterator[tuple[int, int]]:
-    i = 0
-    while i < len(texts):
-        j, n = i, 0
-        while j < len(texts) and (j == i or n + len(texts[j]) <= limit):
-            n += len(texts[j])
-            j += 1
-        yield i, j
-        i = j
+def text_groups(batch: pa.RecordBatch, limit: int = 1 << 21) -> Iterator[tuple[list[int | None], list[str]]]:
+    """doc_ids and texts of stretches of a batch, of up to `limit` characters or one longer text each; only one stretch's strings are made at a time."""
+    chars = pc.utf8_length(batch.column("text")).to_numpy(zero_copy_only=False)
+    for i, j in groups_of(np.concatenate([[0], np.cumsum(chars, dtype=np.int64)]), limit):
+        part = batch.slice(i, j - i)
+        yield part.column("doc_id").to_pylist(), part.column("text").to_pylist()
 
 
 def write_tokens(docs: DataFrame, path: str, *, end_id: int = 0, shards: int | None = None) -> DataFrame:
@@ -91,23 +92,22 @@ def write_tokens(docs: DataFrame, path: str, *, end_id: int = 0, shards: int | N
     Other columns are not read.
     """
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         shard, number, tool = TaskContext.get().partitionId(), 0, encoder(path)
         bits = width_of(max(tool.vocab, end_id + 1))
         for batch in batches:
-            texts, doc_ids = batch["text"].tolist(), batch["doc_id"].tolist()
-            for i, j in text_groups(texts):
-                ids, begin = tool.batch(texts[i:j])
-                ids, begin = np.insert(ids, begin[1:], end_id), begin + np.arange(j - i + 1)
-                own = [None if pd.isna(d) else int(d) for d in doc_ids[i:j]]
-                yield pd.DataFrame({"shard": [shard], "block": [number], "n_docs": [j - i], "n_tokens": [len(ids)], "doc_ids": [own], "payload": [write_block(ids, begin, bits)]})
+            for own, texts in text_groups(batch):
+                ids, begin = tool.batch(texts)
+                ids, begin = np.insert(ids, begin[1:], end_id), begin + np.arange(len(texts) + 1)
+                row = [shard, number, len(texts), len(ids), own, write_block(ids, begin, bits)]
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, BLOCK.types, strict=True)], schema=BLOCK)
                 number += 1
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     dealt = rows.repartitionByRange(shards, "doc_id") if shards else rows.repartitionByRange("doc_id")
-    return keep(dealt.sortWithinPartitions("doc_id", "text").mapInPandas(encode, STORED))
+    return keep(dealt.sortWithinPartitions("doc_id", "text").mapInArrow(encode, STORED))
 
 
 def read_tokens(blocks: DataFrame) -> DataFrame:

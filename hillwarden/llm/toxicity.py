@@ -181,7 +181,7 @@ def score(docs: DataFrame, model: Model, *, threshold: float = 0.7) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            value = np.array([own.score(t) if t else own.score("") for t in batch.column("text").to_pylist()], np.float64)
+            value = np.fromiter((own.score(t.as_py() or "") for t in batch.column("text")), np.float64, batch.num_rows)
             columns = [batch.column(c) for c in batch.schema.names if c != "text"]
             names = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(value), pa.array((value >= threshold).astype(np.int32))], names=[*names, "score", "predicted"])

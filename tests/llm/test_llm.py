@@ -2,10 +2,12 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from hillwarden.llm import class_lm, decontaminate, exact_dedup, langid, licenses, near_dup, packing, pii, tables, toxicity
@@ -141,6 +143,20 @@ def test_token_files(odd, none):
     assert tf.read_tokens(tf.write_tokens(none, tokenizer_path())).count() == 0
 
 
+def test_text_groups_hold_one_stretch():
+    texts = ["", "é" * 3, "x" * 7, "", "yy", "z" * 20, "", "w"]
+    batch = pa.record_batch({"doc_id": pa.array([None, *range(1, 8)], pa.int64()), "text": pa.array(texts)})
+    got = list(tf.text_groups(batch.slice(1), 10))
+    assert got == [([1, 2, 3], texts[1:4]), ([4], texts[4:5]), ([5], texts[5:6]), ([6, 7], texts[6:])]
+    assert list(tf.text_groups(batch.slice(0, 1)))[0][0] == [None] and not list(tf.text_groups(batch.slice(0, 0)))
+    large = pa.record_batch({"doc_id": pa.array(range(5_000)), "text": pa.array(["abc " * 1_000] * 5_000)})
+    tracemalloc.start()
+    n = sum(len("".join(t)) for _, t in tf.text_groups(large, 1 << 19))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 20_000_000 and peak < 5_000_000
+
+
 def test_packing(odd, none):
     got = packing.pack_documents(odd, tokenizer_path()).toPandas()
     ids = dict(ids_of([r for r in ROWS if r[0] == 9]))[9]
