@@ -40,6 +40,21 @@ def test_crowds_on_both_sides_of_a_cell_are_split(spark):
     assert got.count() == 600 * 400
 
 
+def test_all_quakes_meet_all_sites_without_a_shuffle_of_pairs(spark):
+    rows = [(1, 6.0, 10.0, 12.0, 121.0), (1, 6.0, 10.0, 12.0, 121.0), (1, 6.0, 10.0, 12.5, 121.0), (2, 3.0, None, -40.0, -60.0), (3, 5.0, 4.0, None, 121.0)]
+    quakes = spark.createDataFrame(rows, "t long, magnitude double, depth double, latitude double, longitude double").withColumn("ts", F.timestamp_seconds("t"))
+    sites = spark.createDataFrame([(7, 12.0, 121.0), (7, 12.5, 121.0), (8, 12.25, 121.0), (None, 50.0, 10.0)], "site_id long, latitude double, longitude double")
+    km = lambda a, b: F.round(F.lit(2 * 6371.0) * F.asin(F.sqrt(sum((F.pow(F.sin(F.radians(F.col(f"{b}.latitude") - F.col(f"{a}.latitude")) / 2), 2), F.cos(F.radians(f"{a}.latitude")) * F.cos(F.radians(f"{b}.latitude")) * F.pow(F.sin(F.radians(F.col(f"{b}.longitude") - F.col(f"{a}.longitude")) / 2), 2)), F.lit(0.0)))), 3)
+    want = quakes.alias("q").crossJoin(sites.alias("s")).select("q.ts", "s.site_id", "q.magnitude", "q.depth", km("q", "s").alias("distance")).distinct()
+    want = {(r.ts, r.site_id, r.magnitude, r.depth, r.distance) for r in want.collect()}
+    for crowd in (1024, 1):  # places of a key in one row, or as rows
+        got = Q.quake_site_distance(quakes, sites, crowd=crowd)
+        noted = [(r.ts, r.site_id, r.magnitude, r.depth, r.distance) for r in got.collect()]
+        assert len(noted) == len(set(noted)) == len(want) and set(noted) == want
+        assert all(r.hypocentral == (None if None in (r.distance, r.depth) else round((r.distance**2 + r.depth**2) ** 0.5, 3)) for r in got.collect())
+    assert max(r[4] for r in want if r[4] is not None) > 10_000
+
+
 def test_waiting_rows_are_kept_by_segment(spark, tmp_path, monkeypatch):
     start = F.lit(1_700_000_000)
     d = spark.range(1200).select((F.col("id") % 2).cast("int").alias("id"), F.timestamp_seconds(start + F.pmod(F.col("id") * 611, F.lit(1200)) * 3600).alias("ts"))
