@@ -371,3 +371,54 @@ def test_class_model(spark, odd, none):
     assert sorted((r.n_tokens, r.n_known, round(r.base_score, 4)) for r in got) == want
     assert all(r.score < 0 and r.train_tokens == sum(c.values()) for r in got)
     assert class_lm.class_scores(none).count() == 0
+
+
+def test_words_go_where_the_class_bigrams_are_likeliest():
+    rng = np.random.default_rng(3)
+    words, classes, total = 40, 5, 5 + class_lm.SHAPES
+    pairs = rng.poisson(0.7, (words, words)) * (1 - np.eye(words, dtype=int))
+    of = rng.integers(0, classes, words)
+    of[:6] = classes + rng.integers(0, class_lm.SHAPES, 6)  # no class yet
+    table = lambda own: np.bincount((own[:, None] * total + own[None, :]).ravel(), pairs.ravel(), total * total).reshape(total, total).astype(float)
+    flow = lambda x: np.sum(x[x > 0] * np.log(x[x > 0]))
+    likely = lambda t: flow(t) - flow(t.sum(0)) - flow(t.sum(1))
+    side = lambda p: class_lm._sparse(np.repeat(np.arange(words), words), np.tile(of, words), p.ravel().astype(float), total)
+    drop = lambda x: tuple(c[x[2] > 0] for c in x)
+    got = class_lm.best_classes(table(of), of, drop(side(pairs)), drop(side(pairs.T)), classes, block=7)
+    for w in range(words):
+        tried = [likely(table(np.where(np.arange(words) == w, c, of))) for c in range(classes)]
+        best = int(np.argmax(tried))
+        stay = of[w] < classes and tried[of[w]] >= tried[best] - 1e-6
+        assert got[w] == (of[w] if stay else best)
+
+
+def test_every_word_is_in_a_class_by_its_neighbours(spark):
+    rng = np.random.default_rng(5)
+    # words of two kinds take turns; all have one shape, and most are too rare for the lexicon
+    word = lambda kind: f"{kind}{int(600 * rng.random() ** 4):03d}e"
+    texts = [" ".join(word("pq"[k % 2]) for k in range(40)) for _ in range(120)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").selectExpr("*", "doc_id % 5 = 0 AS held_out")
+    train = [t.split() for i, t in enumerate(texts) if i % 5]
+    model, rare = class_lm.learn(docs.where("not held_out"), clustered=30, classes=4, most=80, rounds=4)
+    c = Counter(w for t in train for w in t)
+    data = lambda t: (np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))
+    key = {w: int(class_lm.token_keys(*data(w))[0][0]) for w in {w for t in texts for w in t.split()}}
+    outside = {r.key % 2**64: r for r in rare.collect()}
+    inside = dict(zip(model.lexicon.keys.tolist(), zip(model.lexicon.counts.tolist(), model.of[model.lexicon.symbols].tolist())))
+    place = {w: inside.get(key[w]) or (outside[key[w]].c, outside[key[w]].k) for w in c}
+    assert len(inside) <= 81 and len(outside) > 150 and len(inside) + len(outside) == len(c) + 1
+    assert all(n == c[w] and k < 4 for w, (n, k) in place.items())
+    often = [w for w in c if key[w] in outside and c[w] > 2]
+    kinds = {k: Counter(w[0] for w in often if place[w][1] == k) for k in range(4)}
+    assert sum(max(x.values(), default=0) for x in kinds.values()) > 0.95 * len(often)  # classes tell the kinds apart
+    assert model.mass[:4].sum() == sum(c.values()) + len(train)  # all tokens and ends
+
+    # every score, token by token
+    end = inside[int(class_lm.END)]
+    got = {r.doc_id: r for r in class_lm.score(docs, model, rare).collect()}
+    for i, t in enumerate(texts):
+        k = [end[1]] + [place[w][1] if w in place else 4 + (key[w] >> 58) for w in t.split()] + [end[1]]
+        n = [place[w][0] if w in place else 0 for w in t.split()] + [end[0]]
+        want = sum(model.step[a, b] + float(model.emission(np.array(x), np.array(b), 0.5)) for a, b, x in zip(k, k[1:], n))
+        assert got[i].score == pytest.approx(want) and got[i].n_known == sum(x > 0 for x in n) and got[i].n_tokens == len(n)
+        assert got[i].base_score == pytest.approx(sum(np.log10(x + 1) for x in n) - len(n) * np.log10(model.tokens + model.words + 1))
