@@ -4,6 +4,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
+from hillwarden.functions.geo import haversine
 from hillwarden.plans import earthquake as Q, releases as RE
 from hillwarden.streaming import streams as ST
 
@@ -40,6 +41,22 @@ def test_crowds_on_both_sides_of_a_cell_are_split(spark):
     assert got.count() == 600 * 400
 
 
+def test_the_radius_join_copies_a_row_only_where_it_can_meet(spark, monkeypatch):
+    place = lambda n, name, k: spark.range(n).select(F.col("id").alias(name), (F.pmod(F.col("id") * 37 * k, F.lit(1800)) / 10 - 90).alias("latitude"), (F.pmod(F.col("id") * 101 * k, F.lit(3600)) / 10 - 180).alias("longitude"))
+    quakes, sites = place(300, "eq_id", 7).withColumn("km", F.element_at(F.array(*map(F.lit, (30.0, 400.0, 2500.0, 21000.0))), (F.col("eq_id") % 4 + 1).cast("int"))), place(400, "site_id", 11)
+    seen = []
+    shared = Q._shared
+    monkeypatch.setattr(Q, "_shared", lambda p, r, crowd: seen.extend((p, r)) or shared(p, r, crowd))
+    got = {(x.eq_id, x.site_id) for x in Q.within_radius(quakes, sites, F.col("km")).collect()}
+    far = haversine("latitude", "longitude", "a", "b")
+    want = quakes.crossJoin(sites.select("site_id", F.col("latitude").alias("a"), F.col("longitude").alias("b"))).filter(far <= F.col("km"))
+    assert got == {(x.eq_id, x.site_id) for x in want.collect()} and len(got) > 30_000
+    p, r = seen
+    assert r.count() == 4 * 400  # one for each size of cell that a quake picks
+    assert p.count() < 0.5 * 27 * 300
+    assert not [c for c in p.columns + r.columns if c[:3] in ("__p", "__r")]
+
+
 def test_all_quakes_meet_all_sites_without_a_shuffle_of_pairs(spark):
     rows = [(1, 6.0, 10.0, 12.0, 121.0), (1, 6.0, 10.0, 12.0, 121.0), (1, 6.0, 10.0, 12.5, 121.0), (2, 3.0, None, -40.0, -60.0), (3, 5.0, 4.0, None, 121.0)]
     quakes = spark.createDataFrame(rows, "t long, magnitude double, depth double, latitude double, longitude double").withColumn("ts", F.timestamp_seconds("t"))
